@@ -44,6 +44,7 @@ def upsert(
     null_safe: bool = True,
     reduced: bool = False,
     broadcast_updates: bool = False,
+    keep_newer: bool = False,
 ) -> DataFrame:
     """The target after merging `updates` into it by key.
 
@@ -52,6 +53,9 @@ def upsert(
     `{target column: update column}`. `None` means every non-key column the updates have; an empty
     `update_cols` leaves matching rows alone.
 
+    With `keep_newer` a matching row only takes an update that is not older by `latest_by`, so
+    updates may arrive in any order.
+
     The target must be unique by key, as every table written by this function is; updates are
     reduced to one row per key first unless `reduced` says they already are. Then no key is hot on
     either side of the join. `broadcast_updates` is for updates whose size the caller has checked:
@@ -73,6 +77,9 @@ def upsert(
         )
 
     matched = F.col("__in_updates").isNotNull()
+    if keep_newer:
+        age = [(F.col(f"`__u_{c}`"), F.col(f"`{c}`")) for c in latest_by]
+        matched &= F.struct(*[u for u, _ in age]) >= F.struct(*[t for _, t in age])
     marked = source.withColumn("__in_updates", F.lit(True))
 
     def merged(column: str) -> Column:

@@ -18,6 +18,9 @@ def build_session(app: str = "ticketlake", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.streaming.stateStore.providerClass": (
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+        ),
         "spark.ui.enabled": "false",
         **{key.replace("__", "."): str(value) for key, value in conf.items()},
     }

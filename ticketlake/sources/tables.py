@@ -16,7 +16,8 @@ A table has one writer at a time. The number of buckets bounds how much an upser
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,9 +48,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def _size(spark: SparkSession, path: str) -> int:
-    fs, target = _fs(spark, path)
-    return fs.getContentSummary(target).getLength()
+def _size(spark: SparkSession, files: Sequence[str]) -> int:
+    """Bytes of some files of one folder."""
+    if not files:
+        return 0
+    fs, folder = _fs(spark, files[0].rsplit("/", 1)[0])
+    return fs.getContentSummary(folder).getLength()
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -238,7 +242,7 @@ def rename_overwrite(spark: SparkSession, path: str, mapping: dict[str, str]) ->
 def upsert_table(
     spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[Key], update_cols=None,
     insert_cols=None, *, latest_by: Sequence[str] = (), null_safe: bool = True,
-    tag: str | None = None, small_update_bytes: int = SMALL_UPDATE_BYTES,
+    keep_newer: bool = False, tag: str | None = None, small_update_bytes: int = SMALL_UPDATE_BYTES,
 ) -> None:
     """Merge updates into a stored table (see `operators.upsert.upsert`).
 
@@ -251,34 +255,39 @@ def upsert_table(
     pairs = key_pairs(keys)
     header, folders = _live(spark, path)
     schema = T.StructType.fromJson(header["schema"])
-    stage = scratch_path(spark, "stage")
-    try:
-        staged = _stage(updates, stage, pairs, header, schema, latest_by, null_safe)
-        touched = [row[0] for row in staged.select(BUCKET).distinct().collect()]  # <= MAX_BUCKETS
+    with _staged_updates(updates, pairs, header, schema, latest_by, null_safe) as stage:
+        touched = [row[0] for row in stage.select(BUCKET).distinct().collect()]  # <= MAX_BUCKETS
         target = _read(spark, schema, [f for b in touched for f in folders.get(b, [])])
-        source = staged.drop(BUCKET)
-        small = _size(spark, stage) <= small_update_bytes
+        source = stage.drop(BUCKET)
+        small = _size(spark, stage.inputFiles()) <= small_update_bytes
         if update_cols is not None and not update_cols:
             rows = new_rows(target, source, keys, insert_cols, null_safe=null_safe, reduced=True)
             kind, rebalance = "append", True
         else:
             rows = upsert(
-                target, source, keys, update_cols, insert_cols, null_safe=null_safe, reduced=True,
-                broadcast_updates=small,
+                target, source, keys, update_cols, insert_cols, latest_by=latest_by,
+                null_safe=null_safe, reduced=True, broadcast_updates=small, keep_newer=keep_newer,
             )
             kind, rebalance = "merge", not small
         _write(rows, path, kind, schema, header["keys"], header["buckets"], tag, rebalance)
-    finally:
-        _remove(spark, stage)
 
 
-def _stage(updates, stage, pairs, header, schema, latest_by, null_safe) -> DataFrame:
-    """Write the reduced updates with the bucket each falls into, and read them back."""
+def _staged_updates(updates, pairs, header, schema, latest_by, null_safe):
+    """The reduced updates with the bucket each falls into, staged."""
     source_of = dict(pairs)
     if not set(header["keys"]) <= set(source_of):
         raise ValueError(f"table is bucketed by {header['keys']}, which is not part of the merge key")
     reduced = reduce_updates(updates, [s for _, s in pairs], latest_by, null_safe)
     typed_keys = [F.col(source_of[k]).cast(schema[k].dataType) for k in header["keys"]]
-    placed = reduced.withColumn(BUCKET, bucket_of(typed_keys, header["buckets"]))
-    placed.write.parquet(stage)
-    return updates.sparkSession.read.schema(placed.schema).parquet(stage)
+    return staged(reduced.withColumn(BUCKET, bucket_of(typed_keys, header["buckets"])))
+
+
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The rows written to the shared scratch folder and read back; removed on leaving."""
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "stage")
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        _remove(spark, path)
