@@ -17,17 +17,16 @@ def global_row_number(
     range sizes, at most `buckets` rows each, ever meet in one place.
     """
     keyed = df.withColumn("__order", order)
-    sample = (
-        keyed.select("__order")
-        .filter(F.col("__order").isNotNull())
-        .orderBy(F.md5(F.to_json(F.struct("__order"))), "__order")
-        .limit(buckets - 1)
-    )
-    cuts = sample.agg(F.array_sort(F.collect_list("__order"))).scalar()
+    # The three uses of `keyed` stay free of filters of their own, so that they share one shuffle:
+    # collect_list drops a sampled NULL, and the range is never NULL.
+    sample = keyed.select("__order").orderBy(
+        F.md5(F.to_json(F.struct("__order"))).asc_nulls_first(), "__order"
+    ).limit(buckets - 1)
+    cuts = sample.agg(F.sort_array(F.collect_list("__order"))).scalar()
     below = F.filter("__cuts", lambda cut: cut <= F.col("__order"))
     ranged = (
         keyed.withColumn("__cuts", cuts)
-        .withColumn("__range", F.when(F.col("__order").isNull(), 0).otherwise(F.size(below)))
+        .withColumn("__range", F.coalesce(F.size(below), F.lit(0)))
         .drop("__cuts")
     )
     sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"))
