@@ -17,7 +17,7 @@ HOURS_CASES = [
     (None, "10:00:00", "Inconnu"), (SATURDAY, None, "Inconnu"), (None, None, "Inconnu"),
     (WEEKDAY, "10:00:00:00", "Invalide"), (WEEKDAY, "", "Invalide"), (WEEKDAY, " 9: 5:+1", "HO"),
     (WEEKDAY, "9:5:1", "HO"), (WEEKDAY, "10:30:8.5", "Invalide"), (WEEKDAY, "1_0:00:00", "Invalide"),
-    (WEEKDAY, "2147483647:59:59", "HNO"), (WEEKDAY, "-1:00:00", "HNO"),
+    (WEEKDAY, "2147483647:59:59", "HNO"), (WEEKDAY, "99999999999:00:00", "HNO"), (WEEKDAY, "9:0:99999999999", "HO"), (WEEKDAY, "-1:00:00", "HNO"),
 ]
 SHIFT_CASES = [
     ("06:59:59", "Shift 3"), ("07:00:00", "Shift 1"), ("14:59:59", "Shift 1"), ("15:00:00", "Shift 2"),

@@ -21,20 +21,28 @@ WORKING_MINUTES = (510, 1110)  # 08:30 to 18:30
 SHIFT_MINUTES = (420, 900, 1380)  # 07:00, 15:00, 23:00
 
 
+THREE_INTEGERS = r"^\s*[+-]?\d+\s*:\s*[+-]?\d+\s*:\s*[+-]?\d+\s*$"
+
+
+def well_formed(time: Column) -> Column:
+    """Whether a text is exactly three integers, `H:m:s`. Ranges are not checked."""
+    return time.rlike(THREE_INTEGERS)
+
+
 def time_parts(time: Column) -> list[Column]:
-    """Hour, minute and second of `H:m:s`; a part that is missing or not an integer is NULL."""
+    """Hour, minute and second of a well-formed `H:m:s`; NULL for any other text.
+
+    The pattern is tested before the parts are converted: a conversion that fails costs an
+    exception, which a column full of malformed times would pay on every row.
+    """
     parts = F.split(time, ":")
-    return [F.get(parts, F.lit(i)).try_cast("int") for i in range(3)]
+    return [F.when(well_formed(time), F.get(parts, F.lit(i)).try_cast("int")) for i in range(3)]
 
 
 def minute_of_day(time: Column) -> Column:
-    """`60 * H + m`, or NULL unless the text is exactly three integers. Ranges are not checked."""
-    hour, minute, second = time_parts(time)
-    well_formed = (
-        (F.size(F.split(time, ":")) == 3)
-        & hour.isNotNull() & minute.isNotNull() & second.isNotNull()
-    )
-    return F.when(well_formed, hour.cast("bigint") * 60 + minute)
+    """`60 * H + m` of a well-formed `H:m:s`."""
+    hour, minute, _ = time_parts(time)
+    return hour.cast("bigint") * 60 + minute
 
 
 def is_holiday(date: Column, holidays: DataFrame | Iterable) -> Column:
@@ -63,7 +71,7 @@ def working_hours_band(
     return (
         F.when(date.isNull() | time.isNull(), UNKNOWN)
         .when(is_holiday(date, holidays) | (F.weekday(date) >= 5), OFF_HOURS)
-        .when(minute.isNull(), INVALID)
+        .when(~well_formed(time), INVALID)
         .when((minute >= opening) & (minute < closing), WORKING)
         .otherwise(OFF_HOURS)
     )
@@ -75,7 +83,7 @@ def shift_band(time: Column) -> Column:
     morning, afternoon, night = SHIFT_MINUTES
     return (
         F.when(time.isNull(), UNKNOWN)
-        .when(minute.isNull(), INVALID)
+        .when(~well_formed(time), INVALID)
         .when((minute >= morning) & (minute < afternoon), SHIFTS[0])
         .when((minute >= afternoon) & (minute < night), SHIFTS[1])
         .otherwise(SHIFTS[2])

@@ -11,10 +11,7 @@ from ticketlake.functions.bands import time_parts
 def second_of_day(time: Column) -> Column:
     """Seconds since midnight of a well-formed `H:m:s` clock time (00:00:00-23:59:59), else NULL."""
     hour, minute, second = time_parts(time)
-    valid = (
-        (F.size(F.split(time, ":")) == 3)
-        & hour.between(0, 23) & minute.between(0, 59) & second.between(0, 59)
-    )
+    valid = hour.between(0, 23) & minute.between(0, 59) & second.between(0, 59)
     return F.when(valid, hour * 3600 + minute * 60 + second)
 
 

@@ -21,6 +21,8 @@ def build_session(app: str = "ticketlake", master: str | None = None, **conf) ->
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
+        # Python call sites in error messages cost a stack walk per column expression
+        "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.ui.enabled": "false",
         **{key.replace("__", "."): str(value) for key, value in conf.items()},
     }
