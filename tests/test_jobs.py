@@ -25,16 +25,16 @@ def load(spark, sf, root, part):
     number = F.substring("Numero", 4, 18).cast("bigint")
     deployments = fx.events_split(fx.deployments_raw(spark, sf), number)[part]
     requests = fx.events_split(fx.requests_raw(spark, sf), F.substring("Numero", 5, 18).cast("bigint"))[part]
-    jobs.load_incidents(incidents, root, buckets=4)
+    jobs.load_incidents(incidents, root, buckets=2, days=400)
     jobs.load_shift(shift, root)
     jobs.load_assignees(assignee, root, buckets=4)
     jobs.load_deployments(
         readers.read_csv(spark, as_csv(fx.deployments_csv(deployments)), schemas.DEPLOYMENTS_CSV), root,
-        fx.HOLIDAYS, buckets=4)
+        fx.HOLIDAYS, buckets=2, days=400)
     jobs.load_requests(
-        readers.read_csv(spark, as_csv(fx.requests_csv(requests)), schemas.REQUESTS_CSV), root, buckets=4)
-    jobs.load_incident_gold(spark, root, fx.group_types(spark), buckets=4)
-    jobs.load_deployment_request_gold(spark, root, buckets=4)
+        readers.read_csv(spark, as_csv(fx.requests_csv(requests)), schemas.REQUESTS_CSV), root, buckets=2, days=400)
+    jobs.load_incident_gold(spark, root, fx.group_types(spark), buckets=2, days=400)
+    jobs.load_deployment_request_gold(spark, root, buckets=2, days=400)
 
 
 def test_full_load_rerun_and_second_extract(spark, sf):
@@ -69,7 +69,7 @@ def test_full_load_rerun_and_second_extract(spark, sf):
 
 def test_required_column_is_enforced(spark):
     path = scratch_path(spark, "required")
-    tables.ensure_table(spark, path, schemas.REQUESTS_SILVER, ["Numero"], 2)
+    tables.ensure_table(spark, path, schemas.REQUESTS_SILVER, tables.Layout(["Numero"], 2))
     assert not tables.read_path(spark, path).collect()
     day = dt.date(2025, 1, 2)
     bad = spark.createDataFrame(

@@ -232,11 +232,11 @@ def test_overwrite_reads_the_table_it_replaces_and_changes_its_schema(spark):
 
 def test_a_lost_job_leaves_the_table_as_it_was(spark):
     path = scratch_path(spark, "t")
-    tables.overwrite_path(spark.createDataFrame([("a", 1)], "k string, v int"), path, ["k"], 4)
+    tables.overwrite_path(spark.createDataFrame([("a", 1)], "k string, v int"), path, tables.Layout(["k"], 4))
     broken = spark.createDataFrame([("a", 2), ("b", 0)], "k string, v int").withColumn(
         "v", F.when(F.col("v") > 0, F.col("v")).otherwise(F.raise_error(F.lit("lost")).cast("int")))
     with pytest.raises(Exception, match="lost"):
-        tables.overwrite_path(broken, path, ["k"], 4)
+        tables.overwrite_path(broken, path, tables.Layout(["k"], 4))
     assert rows(tables.read_path(spark, path)) == [("a", 1)]
     tables.upsert_table(spark, path, spark.createDataFrame([("b", 3)], "k string, v int"), ["k"])
     assert rows(tables.read_path(spark, path)) == [("a", 1), ("b", 3)]
@@ -247,7 +247,7 @@ def test_stored_upsert_equals_the_function(spark, small):
     t = spark.createDataFrame([(None, 1, "x")] + [(f"k{i}", i % 3, "x") for i in range(40)], UPSERT_SCHEMA)
     u = spark.createDataFrame([(None, 2, "y")] + [(f"k{i}", i % 5, "y") for i in range(30, 60)] * 2, UPSERT_SCHEMA)
     path = scratch_path(spark, "t")
-    tables.overwrite_path(t, path, ["k"], 8)
+    tables.overwrite_path(t, path, tables.Layout(["k"], 8))
     tables.upsert_table(spark, path, u, ["k"], latest_by=["at"], small_update_bytes=small)
     want = rows(upsert(t, u, ["k"], latest_by=["at"]))
     assert rows(tables.read_path(spark, path)) == want
@@ -261,6 +261,26 @@ def test_stored_upsert_equals_the_function(spark, small):
 def test_bucket_key_must_be_part_of_the_merge_key(spark):
     path = scratch_path(spark, "t")
     df = spark.createDataFrame([("a", 1, "x")], UPSERT_SCHEMA)
-    tables.overwrite_path(df, path, ["k"], 4)
+    tables.overwrite_path(df, path, tables.Layout(["k"], 4))
     with pytest.raises(ValueError, match="not part of the merge key"):
         tables.upsert_table(spark, path, df, ["at"])
+
+
+def test_a_row_that_changes_its_period_moves(spark):
+    """Merging by key alone finds the old row in whatever period it lives."""
+    path = scratch_path(spark, "t")
+    schema = schemas.schema(("k", schemas.S), ("d", schemas.D), ("v", schemas.I))
+    day = dt.date(2025, 1, 1)
+    start = [(f"k{i}", day + dt.timedelta(days=40 * i), 0) for i in range(6)] + [("none", None, 0)]
+    tables.ensure_table(spark, path, schema, tables.Layout(["k"], 2, "d", 30))
+    tables.upsert_table(spark, path, spark.createDataFrame(start, schema), ["k"])
+    moved = [("k0", day + dt.timedelta(days=200), 1), ("none", day, 1), ("new", None, 1)]
+    for small in (0, 1 << 30):
+        tables.upsert_table(spark, path, spark.createDataFrame(moved, schema), ["k"], small_update_bytes=small)
+        want = {**{r[0]: r for r in start}, **{r[0]: r for r in moved}}
+        assert rows(tables.read_path(spark, path)) == rows(spark.createDataFrame(list(want.values()), schema))
+    tables.upsert_table(spark, path, spark.createDataFrame(moved + [("k9", day, 5)], schema), ["k"], [])
+    assert tables.read_path(spark, path).count() == 9
+    kept = spark.createDataFrame([("k1", day, 7)], schema)
+    tables.upsert_table(spark, path, kept, ["k"], ["v"])  # the date stays, so the row stays in place
+    assert tables.read_path(spark, path).filter("k = 'k1'").first()[1:] == (day + dt.timedelta(days=40), 7)

@@ -14,7 +14,7 @@ from ticketlake.streaming import tickets
 def test_upsert_stream_equals_batch_and_skips_a_repeated_batch(spark, sf):
     first, second = fx.incident_loads(spark, sf)
     src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "silver", "ckpt"))
-    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, ["Numero"], 2)
+    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], 2))
     arriving(first, src, files=1)
     arriving(second, src, files=2)
     stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=1)
@@ -37,7 +37,7 @@ def test_upsert_stream_equals_batch_and_skips_a_repeated_batch(spark, sf):
 def test_an_older_update_never_wins(spark):
     src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "t", "ckpt"))
     schema = schemas.schema(("k", schemas.S), ("at", schemas.I), ("v", schemas.S))
-    tables.ensure_table(spark, path, schema, ["k"])
+    tables.ensure_table(spark, path, schema, tables.Layout(["k"]))
     for at, v in [(5, "new"), (3, "late"), (6, "newest")]:
         spark.createDataFrame([("a", at, v)], schema).coalesce(1).write.mode("append").parquet(src)
         stream = readers.stream_tickets(spark, src, schema)

@@ -18,7 +18,9 @@ from ticketlake.operators.upsert import Key
 from ticketlake.plans import star
 from ticketlake.sources import tables
 
-LARGE_TABLE_BUCKETS = 64  # silver and fact tables; raise it with the size of a table
+# Silver and fact tables: hash buckets per period. Raise the buckets with the size of a table, so that
+# one bucket of one period stays within some gigabytes.
+BUCKETS, PERIOD_DAYS = 64, 30
 
 
 def silver_path(root: str, name: str) -> str:
@@ -39,55 +41,56 @@ def gold(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 def _merge(
     path: str, schema: T.StructType, updates: DataFrame, keys: Sequence[Key], update_cols,
-    latest_by: Sequence[str] = (), bucket_keys: Sequence[str] = ("Numero",),
-    buckets: int = LARGE_TABLE_BUCKETS,
+    latest_by: Sequence[str] = (), layout: tables.Layout = tables.Layout(),
 ) -> None:
     spark = updates.sparkSession
-    tables.ensure_table(spark, path, schema, list(bucket_keys), buckets)
+    tables.ensure_table(spark, path, schema, layout)
     tables.upsert_table(spark, path, updates, keys, update_cols, latest_by=latest_by)
 
 
 # --- silver -------------------------------------------------------------------------------------------
-def load_incidents(bronze: DataFrame, root: str, buckets: int = LARGE_TABLE_BUCKETS) -> None:
+def load_incidents(bronze: DataFrame, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS) -> None:
     """Merge an incident extract; several rows of one ticket in it leave the latest."""
     _merge(
         silver_path(root, "supervision_silver"), schemas.INCIDENTS_SILVER, bronze,
-        schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, ["Mis_a_jour"], buckets=buckets,
+        schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, ["Mis_a_jour"],
+        tables.Layout(["Numero"], buckets, "Ouvert", days),
     )
 
 
 def load_shift(bronze: DataFrame, root: str) -> None:
     """Shift reference table: insert what is new, then rewrite it without copies."""
     path, keys = silver_path(root, "Dim_Shift"), ["Ouvert", "Plage_horaire"]
-    _merge(path, schemas.SHIFT_SILVER, bronze, keys, [], bucket_keys=(), buckets=1)
+    _merge(path, schemas.SHIFT_SILVER, bronze, keys, [])
     tables.overwrite_path(quality.dedup(tables.read_path(bronze.sparkSession, path)), path)
 
 
-def load_assignees(bronze: DataFrame, root: str, buckets: int = LARGE_TABLE_BUCKETS) -> None:
+def load_assignees(bronze: DataFrame, root: str, buckets: int = BUCKETS) -> None:
     """Ticket-assignee bridge, insert only."""
     _merge(
         silver_path(root, "Dim_Collaborateur"), schemas.ASSIGNEE_SILVER, clean.clean_assignees(bronze),
-        ["Numero", "Affecte"], [], buckets=buckets,
+        ["Numero", "Affecte"], [], layout=tables.Layout(["Numero"], buckets),
     )
 
 
 def load_deployments(
     bronze: DataFrame, root: str, holidays: DataFrame | Iterable = HOLIDAYS_2025,
-    buckets: int = LARGE_TABLE_BUCKETS,
+    buckets: int = BUCKETS, days: int = PERIOD_DAYS,
 ) -> None:
     """Clean, classify and merge a deployment extract."""
     _merge(
         silver_path(root, "MEP_silver"), schemas.DEPLOYMENTS_SILVER,
         clean.clean_deployments(bronze, holidays), schemas.DEPLOYMENT_KEYS, schemas.DEPLOYMENT_UPDATES,
-        ["Mis_a_jour", "Mis_h"], buckets=buckets,
+        ["Mis_a_jour", "Mis_h"], tables.Layout(["Numero"], buckets, "Ouvert", days),
     )
 
 
-def load_requests(bronze: DataFrame, root: str, buckets: int = LARGE_TABLE_BUCKETS) -> None:
+def load_requests(bronze: DataFrame, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS) -> None:
     """Clean, classify and merge a request extract; open requests are left out."""
     _merge(
         silver_path(root, "demandes_silver"), schemas.REQUESTS_SILVER, clean.clean_requests(bronze),
-        schemas.REQUEST_KEYS, schemas.REQUEST_UPDATES, ["Ferme", "Ferme_h"], buckets=buckets,
+        schemas.REQUEST_KEYS, schemas.REQUEST_UPDATES, ["Ferme", "Ferme_h"],
+        tables.Layout(["Numero"], buckets, "Cree", days),
     )
 
 
@@ -125,13 +128,12 @@ def refresh_date_dim(source: DataFrame, root: str, spec: star.DateDim) -> None:
     schema = schemas.date_dim_schema(spec.date, source.schema[spec.date].dataType)
     _merge(
         gold_path(root, spec.name), schema, star.date_dim(source, spec), [spec.date], schemas.DATE_PARTS,
-        bucket_keys=(), buckets=1,
     )
 
 
 def load_incident_gold(
     spark: SparkSession, root: str, group_lookup: DataFrame, changed: DataFrame | None = None,
-    buckets: int = LARGE_TABLE_BUCKETS,
+    buckets: int = BUCKETS, days: int = PERIOD_DAYS,
 ) -> None:
     """Incident dimensions, then the fact. `changed` limits the load to rows new since the last one."""
     source = silver(spark, root, "supervision_silver") if changed is None else changed
@@ -143,12 +145,13 @@ def load_incident_gold(
     found = {look.dim: gold(spark, root, look.dim) for look in facts.INCIDENT_LOOKUPS}
     _merge(
         gold_path(root, "factSupervision_gold"), schemas.INCIDENTS_FACT,
-        facts.fact_incidents(source, found), ["Numero"], None, ["Mis_a_jour"], buckets=buckets,
+        facts.fact_incidents(source, found), ["Numero"], None, ["Mis_a_jour"],
+        tables.Layout(["Numero"], buckets, "Ouvert", days),
     )
 
 
 def load_deployment_request_gold(
-    spark: SparkSession, root: str, buckets: int = LARGE_TABLE_BUCKETS
+    spark: SparkSession, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS
 ) -> None:
     """Deployment and request dimensions, the shared type dimension, then both facts."""
     deployments, requests = silver(spark, root, "MEP_silver"), silver(spark, root, "demandes_silver")
@@ -168,11 +171,12 @@ def load_deployment_request_gold(
     _merge(
         gold_path(root, "factMep_gold"), schemas.DEPLOYMENTS_FACT,
         facts.fact_deployments(deployments, found), ["Numero"], None, ["Mis_a_jour", "Mis_h"],
-        buckets=buckets,
+        tables.Layout(["Numero"], buckets, "Ouvert", days),
     )
     _merge(
         gold_path(root, "factDemande_gold"), schemas.REQUESTS_FACT,
-        facts.fact_requests(requests, found), ["Numero"], None, ["Ferme", "Ferme_h"], buckets=buckets,
+        facts.fact_requests(requests, found), ["Numero"], None, ["Ferme", "Ferme_h"],
+        tables.Layout(["Numero"], buckets, "Cree", days),
     )
 
 

@@ -95,7 +95,7 @@ def scan_requests(spark, sf):
 @query("scan_path", "SELECT Numero, Affecte FROM v_assignee")
 def scan_path(spark, sf):
     path = scratch_path(spark, "bridge")
-    tables.overwrite_path(fx.assignee(spark, sf), path, keys=["Numero"], buckets=4)
+    tables.overwrite_path(fx.assignee(spark, sf), path, tables.Layout(["Numero"], 4))
     return tables.read_path(spark, path)
 
 
@@ -399,10 +399,11 @@ def dim_shift(spark, sf):
     path = scratch_path(spark, "shift")
     keys = ["Ouvert", "Plage_horaire"]
     rows = fx.shift(spark, sf)
-    tables.ensure_table(spark, path, rows.schema, keys, buckets=4)
+    layout = tables.Layout(keys, 4)
+    tables.ensure_table(spark, path, rows.schema, layout)
     tables.upsert_table(spark, path, rows, keys, update_cols=[])
     tables.upsert_table(spark, path, rows, keys, update_cols=[])
-    tables.overwrite_path(quality.dedup(tables.read_path(spark, path)), path, keys, buckets=4)
+    tables.overwrite_path(quality.dedup(tables.read_path(spark, path)), path, layout)
     return tables.read_path(spark, path)
 
 
@@ -446,7 +447,8 @@ def upsert_stored(spark, sf):
     """The same through a stored table: first load, second load, second load again."""
     first, second = fx.incident_loads(spark, sf)
     path = scratch_path(spark, "silver")
-    tables.ensure_table(spark, path, first.schema, schemas.INCIDENT_KEYS, buckets=8)
+    layout = tables.Layout(["Numero"], buckets=2, period="Ouvert", days=365)
+    tables.ensure_table(spark, path, first.schema, layout)
     for load in (first, second, second):
         tables.upsert_table(
             spark, path, load, schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, latest_by=["Mis_a_jour"])

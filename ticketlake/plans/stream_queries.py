@@ -61,7 +61,7 @@ def stream_ingest(spark, sf):
     "v_load1", "v_load2", ["Numero"], schemas.INCIDENTS_CSV.names, schemas.INCIDENTS_CSV.names, ["Mis_a_jour"]))
 def stream_upsert(spark, sf):
     src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "silver", "ckpt"))
-    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, ["Numero"], buckets=4)
+    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], 4))
     for load in fx.incident_loads(spark, sf):
         arriving(load, src, files=2)
         stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=1)

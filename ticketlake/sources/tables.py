@@ -1,23 +1,27 @@
 """Tables as folders of Parquet snapshots.
 
-A table folder holds `snap=<n>` folders, each split by `bucket`, a hash of the table's key. Spark
-writes `_SUCCESS` into a snapshot folder when its job has committed, and only such snapshots are
-read: a lost job leaves the table as it was, and a job may read the table it writes. A small header
-in `_meta` states the schema and what the snapshot does to the ones before it:
+A table folder holds `snap=<n>` folders, each split into `bucket` folders. Spark writes `_SUCCESS`
+into a snapshot folder when its job has committed, and only such snapshots are read: a lost job
+leaves the table as it was, and a job may read the table it writes. A small header in `_meta` states
+the schema and what the snapshot does to the ones before it:
 
 * `full` replaces everything (overwrite, also of the schema),
-* `merge` replaces the buckets it contains (upsert),
+* `merge` replaces the buckets it lists (upsert),
 * `append` adds rows (insert-only upsert).
 
-A table has one writer at a time. The number of buckets bounds how much an upsert has to rewrite;
-`compact` and `expire_snapshots` keep the folder short.
+A `Layout` places rows in buckets by a hash of the key and, for large tables, by the period of a date
+column. Updates cluster in recent tickets, so an upsert finds most periods untouched and rewrites the
+few others. A table has one writer at a time; `compact` and `expire_snapshots` keep the folder short.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
+from functools import reduce
+from operator import and_
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,6 +36,25 @@ MAX_BUCKETS = 4096
 SMALL_UPDATE_BYTES = 16 << 20  # compressed size up to which updates are sent to every executor
 
 
+class Layout(NamedTuple):
+    """Where rows live: `buckets` hash buckets of `keys` in every `days` days of `period`."""
+
+    keys: Sequence[str] = ()
+    buckets: int = 1
+    period: str | None = None
+    days: int = 30
+
+    def checked(self) -> Layout:
+        if not 1 <= self.buckets <= MAX_BUCKETS or self.days < 1:
+            raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}, days at least 1")
+        return self._replace(keys=list(self.keys))
+
+    def renamed(self, mapping: dict[str, str]) -> Layout:
+        return self._replace(
+            keys=[mapping.get(k, k) for k in self.keys], period=mapping.get(self.period, self.period)
+        )
+
+
 # --- folders ----------------------------------------------------------------------------------------
 def _fs(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -100,7 +123,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return bool(committed(spark, path))
 
 
-def _live(spark: SparkSession, path: str) -> tuple[dict, dict[int, list[str]]]:
+def _live(spark: SparkSession, path: str) -> tuple[dict, dict[str, list[str]]]:
     """Header of the newest snapshot, and the folders to read for each bucket."""
     numbers = committed(spark, path)
     if not numbers:
@@ -110,13 +133,14 @@ def _live(spark: SparkSession, path: str) -> tuple[dict, dict[int, list[str]]]:
         history.append((number, _header(spark, path, number)))
         if history[-1][1]["kind"] == "full":
             break
-    folders: dict[int, list[str]] = {}
+    folders: dict[str, list[str]] = {}
     for number, header in reversed(history):
+        for bucket in header["replaces"]:
+            folders.pop(bucket, None)
         for name in _children(spark, _snap(path, number)):
             if name.startswith(f"{BUCKET}="):
-                bucket = int(name.split("=")[1])
-                kept = folders.get(bucket, []) if header["kind"] == "append" else []
-                folders[bucket] = kept + [f"{_snap(path, number)}/{name}"]
+                bucket = name.split("=", 1)[1]
+                folders.setdefault(bucket, []).append(f"{_snap(path, number)}/{name}")
     return history[0][1], folders
 
 
@@ -132,13 +156,35 @@ def read_path(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def bucket_of(keys: Sequence, buckets: int) -> Column:
-    return F.pmod(F.hash(*keys), F.lit(buckets)) if keys else F.lit(0)
+def bucket_of(layout: Layout, schema: T.StructType, columns: dict[str, Column]) -> Column:
+    """Bucket name of a row, from its layout columns cast to the table's types.
+
+    Neither part depends on the session's time zone, so a row always finds its bucket again.
+    """
+    def typed(name: str) -> Column:
+        return columns[name].cast(schema[name].dataType)
+
+    slot = F.pmod(F.hash(*map(typed, layout.keys)), F.lit(layout.buckets)) if layout.keys else F.lit(0)
+    if layout.period is None:
+        return slot.cast("string")
+    moment = typed(layout.period)
+    zoned = isinstance(schema[layout.period].dataType, T.TimestampType)
+    day = F.floor(F.unix_seconds(moment) / 86400) if zoned else F.unix_date(moment.cast("date"))
+    period = F.coalesce(F.floor(day / layout.days).cast("string"), F.lit("none"))
+    return F.concat_ws("_", period, slot.cast("string"))
+
+
+def _own_bucket(layout: Layout, schema: T.StructType) -> Column:
+    return bucket_of(layout, schema, {name: F.col(f"`{name}`") for name in schema.names})
+
+
+def _layout(header: dict) -> Layout:
+    return Layout(**header["layout"])
 
 
 def _write(
-    df: DataFrame, path: str, kind: str, schema: T.StructType, keys: Sequence[str], buckets: int,
-    tag: str | None, rebalance: bool = True,
+    df: DataFrame, path: str, kind: str, schema: T.StructType, layout: Layout, tag: str | None,
+    replaces: Sequence[str] = (), rebalance: bool = True,
 ) -> int:
     """Write one snapshot. Required columns are checked in the same job.
 
@@ -150,11 +196,13 @@ def _write(
     seen += [int(n.split(".")[0]) for n in _children(spark, f"{path}/_meta") if n.endswith(".json")]
     number = max(seen, default=-1) + 1
     header = {
-        "kind": kind, "schema": schema.jsonValue(), "keys": list(keys), "buckets": buckets, "tag": tag,
+        "kind": kind, "schema": schema.jsonValue(), "layout": layout.checked()._asdict(), "tag": tag,
+        "replaces": list(replaces),
     }
     _write_text(spark, _meta(path, number), json.dumps(header, ensure_ascii=False))
     checked = assert_not_null(df, [f.name for f in schema.fields if not f.nullable])
-    rows = checked.select(*[F.col(f"`{c}`") for c in schema.names], bucket_of(keys, buckets).alias(BUCKET))
+    columns = [F.col(f"`{c}`") for c in schema.names]
+    rows = checked.select(*columns, _own_bucket(layout, schema).alias(BUCKET))
     if rebalance:
         rows = rows.hint("rebalance", BUCKET)
     rows.write.partitionBy(BUCKET).parquet(_snap(path, number))
@@ -162,14 +210,12 @@ def _write(
 
 
 def ensure_table(
-    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str] = (), buckets: int = 1
+    spark: SparkSession, path: str, schema: T.StructType, layout: Layout = Layout()
 ) -> None:
     """Create an empty table unless it exists. Columns declared NOT NULL are enforced by writes."""
-    if not 1 <= buckets <= MAX_BUCKETS:
-        raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}")
     if not table_exists(spark, path):
-        empty = spark.createDataFrame([], T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
-        _write(empty, path, "full", schema, keys, buckets, None, rebalance=False)
+        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
+        _write(spark.createDataFrame([], nullable), path, "full", schema, layout, None, rebalance=False)
 
 
 def create_catalog_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
@@ -181,21 +227,20 @@ def create_catalog_table(spark: SparkSession, name: str, schema: T.StructType) -
 
 
 def overwrite_path(
-    df: DataFrame, path: str, keys: Sequence[str] = (), buckets: int = 1, tag: str | None = None,
+    df: DataFrame, path: str, layout: Layout = Layout(), tag: str | None = None,
     required: Sequence[str] = (),
 ) -> None:
     """Replace a table, its schema included. `df` may read the table it replaces."""
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, f.name not in required) for f in df.schema.fields]
     )
-    _write(df, path, "full", schema, keys, buckets, tag)
+    _write(df, path, "full", schema, layout, tag)
 
 
 def append_path(df: DataFrame, path: str, tag: str | None = None) -> None:
     """Add rows to a table."""
     header, _ = _live(df.sparkSession, path)
-    schema = T.StructType.fromJson(header["schema"])
-    _write(df, path, "append", schema, header["keys"], header["buckets"], tag)
+    _write(df, path, "append", T.StructType.fromJson(header["schema"]), _layout(header), tag)
 
 
 def last_tag(spark: SparkSession, path: str) -> str | None:
@@ -211,10 +256,7 @@ def compact(spark: SparkSession, path: str) -> None:
     """Rewrite the live rows as one snapshot."""
     header, _ = _live(spark, path)
     schema = T.StructType.fromJson(header["schema"])
-    _write(
-        read_path(spark, path), path, "full", schema, header["keys"], header["buckets"],
-        last_tag(spark, path),
-    )
+    _write(read_path(spark, path), path, "full", schema, _layout(header), last_tag(spark, path))
 
 
 def expire_snapshots(spark: SparkSession, path: str) -> list[int]:
@@ -231,11 +273,10 @@ def expire_snapshots(spark: SparkSession, path: str) -> list[int]:
 def rename_overwrite(spark: SparkSession, path: str, mapping: dict[str, str]) -> None:
     """Rename columns of a stored table by rewriting it, keys included."""
     header, _ = _live(spark, path)
-    new_name = {f["name"]: mapping.get(f["name"], f["name"]) for f in header["schema"]["fields"]}
+    required = [mapping.get(f["name"], f["name"]) for f in header["schema"]["fields"] if not f["nullable"]]
     overwrite_path(
-        read_path(spark, path).withColumnsRenamed(mapping), path,
-        [new_name[k] for k in header["keys"]], header["buckets"],
-        required=[new_name[f["name"]] for f in header["schema"]["fields"] if not f["nullable"]],
+        read_path(spark, path).withColumnsRenamed(mapping), path, _layout(header).renamed(mapping),
+        required=required,
     )
 
 
@@ -248,38 +289,62 @@ def upsert_table(
 
     Updates are reduced to one row per key and staged in the shared scratch folder: they are
     computed once, later steps do not depend on the executors that made them, and their size is
-    known. Only the buckets they fall into are read and rewritten; an insert-only merge rewrites
-    nothing and appends. Updates under `small_update_bytes` are broadcast, so that the buckets are
-    rewritten without a shuffle of the target; larger ones take a shuffled full outer join.
+    known. Only the buckets that hold their keys, or will, are read and rewritten; an insert-only
+    merge rewrites nothing and appends. Updates under `small_update_bytes` are broadcast, so that
+    the buckets are rewritten without a shuffle of the target; larger ones take a shuffled full
+    outer join.
     """
     pairs = key_pairs(keys)
     header, folders = _live(spark, path)
-    schema = T.StructType.fromJson(header["schema"])
-    with _staged_updates(updates, pairs, header, schema, latest_by, null_safe) as stage:
-        touched = [row[0] for row in stage.select(BUCKET).distinct().collect()]  # <= MAX_BUCKETS
-        target = _read(spark, schema, [f for b in touched for f in folders.get(b, [])])
+    schema, layout = T.StructType.fromJson(header["schema"]), _layout(header)
+    if not set(layout.keys) <= {t for t, _ in pairs}:
+        raise ValueError(f"table is bucketed by {layout.keys}, which is not part of the merge key")
+    reduced = reduce_updates(updates, [s for _, s in pairs], latest_by, null_safe)
+    place = bucket_of(layout, schema, _source_columns(updates, schema, pairs, insert_cols))
+    with staged(reduced.withColumn(BUCKET, place)) as stage:
         source = stage.drop(BUCKET)
+        touched = _touched(spark, stage, pairs, schema, layout, folders, null_safe)
+        target = _read(spark, schema, [f for b in touched for f in folders.get(b, [])])
         small = _size(spark, stage.inputFiles()) <= small_update_bytes
         if update_cols is not None and not update_cols:
             rows = new_rows(target, source, keys, insert_cols, null_safe=null_safe, reduced=True)
-            kind, rebalance = "append", True
-        else:
-            rows = upsert(
-                target, source, keys, update_cols, insert_cols, latest_by=latest_by,
-                null_safe=null_safe, reduced=True, broadcast_updates=small, keep_newer=keep_newer,
-            )
-            kind, rebalance = "merge", not small
-        _write(rows, path, kind, schema, header["keys"], header["buckets"], tag, rebalance)
-
-
-def _staged_updates(updates, pairs, header, schema, latest_by, null_safe):
-    """The reduced updates with the bucket each falls into, staged."""
-    source_of = dict(pairs)
-    if not set(header["keys"]) <= set(source_of):
-        raise ValueError(f"table is bucketed by {header['keys']}, which is not part of the merge key")
-    reduced = reduce_updates(updates, [s for _, s in pairs], latest_by, null_safe)
-    typed_keys = [F.col(source_of[k]).cast(schema[k].dataType) for k in header["keys"]]
-    return staged(reduced.withColumn(BUCKET, bucket_of(typed_keys, header["buckets"])))
+            _write(rows, path, "append", schema, layout, tag)
+            return
+        rows = upsert(
+            target, source, keys, update_cols, insert_cols, latest_by=latest_by, null_safe=null_safe,
+            reduced=True, broadcast_updates=small, keep_newer=keep_newer,
+        )
+        _write(rows, path, "merge", schema, layout, tag, replaces=touched, rebalance=not small)
+
+
+def _source_columns(updates: DataFrame, schema: T.StructType, pairs, insert_cols) -> dict[str, Column]:
+    """What an inserted row takes each table column from."""
+    renamed = dict(insert_cols) if isinstance(insert_cols, Mapping) else {}
+    source_of = {**{name: name for name in schema.names}, **renamed, **dict(pairs)}
+    return {
+        name: F.col(f"`{source}`") if source in updates.columns else F.lit(None)
+        for name, source in source_of.items()
+    }
+
+
+def _touched(spark, stage, pairs, schema, layout, folders, null_safe) -> list[str]:
+    """Names of the buckets an upsert has to rewrite: few values, bounded by the layout.
+
+    Those the updates themselves fall into, and, when the period is not part of the key, those in
+    which rows with the same keys live so far; finding them reads only the key and period columns.
+    """
+    buckets = stage.select(BUCKET)
+    if layout.period is not None and layout.period not in dict(pairs):
+        needed = list(dict.fromkeys([*dict(pairs), *layout.keys, layout.period]))
+        known = _read(spark, schema, [f for fs in folders.values() for f in fs]).select(*needed)
+        wanted = stage.select(*[F.col(f"`{s}`").alias(f"__u_{t}") for t, s in pairs])
+        same = [
+            known[t].eqNullSafe(wanted[f"__u_{t}"]) if null_safe else known[t] == wanted[f"__u_{t}"]
+            for t, _ in pairs
+        ]
+        hits = known.join(wanted, reduce(and_, same), "left_semi")
+        buckets = buckets.union(hits.select(bucket_of(layout, schema, {n: F.col(n) for n in needed})))
+    return sorted(row[0] for row in buckets.distinct().collect())
 
 
 @contextmanager
