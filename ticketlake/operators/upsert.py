@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +29,8 @@ def reduce_updates(
     """
     if null_safe:
         return latest_per_key(updates, keys, latest_by)
-    broken = reduce(or_, (F.col(k).isNull() for k in keys))
-    return latest_per_key(updates.filter(~broken), keys, latest_by).unionByName(updates.filter(broken))
+    filled = _filled(keys)
+    return latest_per_key(updates.filter(filled), keys, latest_by).unionByName(updates.filter(~filled))
 
 
 def upsert(
@@ -61,6 +61,11 @@ def upsert(
     either side of the join. `broadcast_updates` is for updates whose size the caller has checked:
     the target is then rewritten without being shuffled.
     """
+    if not null_safe:
+        return _upsert_filled_keys(
+            target, updates, keys, update_cols, insert_cols, latest_by=latest_by, reduced=reduced,
+            broadcast_updates=broadcast_updates, keep_newer=keep_newer,
+        )
     pairs = key_pairs(keys)
     source_keys = [s for _, s in pairs]
     key_of = dict(pairs)
@@ -68,13 +73,11 @@ def upsert(
     to_update = _column_map(update_cols, others, updates)
     to_insert = {**_column_map(insert_cols, others, updates), **key_of}
 
-    one_per_key = updates if reduced else reduce_updates(updates, source_keys, latest_by, null_safe)
+    one_per_key = updates if reduced else reduce_updates(updates, source_keys, latest_by)
     source = _prefixed(one_per_key)
 
     if not to_update:
-        return target.unionByName(
-            new_rows(target, one_per_key, keys, insert_cols, null_safe=null_safe, reduced=True)
-        )
+        return target.unionByName(new_rows(target, one_per_key, keys, insert_cols, reduced=True))
 
     matched = F.col("__in_updates").isNotNull()
     if keep_newer:
@@ -85,20 +88,20 @@ def upsert(
     def merged(column: str) -> Column:
         if column not in to_update:
             return F.col(f"`{column}`")
-        new = F.col(f"`__u_{to_update[column]}`")
+        new = F.col(f"`__u_{to_update[column]}`").cast(target.schema[column].dataType)
         return F.when(matched, new).otherwise(F.col(f"`{column}`")).alias(column)
 
     if broadcast_updates:
         small = F.broadcast(marked)
-        kept = target.join(small, _match(pairs, null_safe), "left")
-        hits = target.select(*key_of).join(small, _match(pairs, null_safe), "inner")
-        fresh = source.join(hits.select(*key_of), _match(pairs, null_safe), "left_anti")
+        kept = target.join(small, _match(pairs), "left")
+        hits = target.select(*key_of).join(small, _match(pairs), "inner")
+        fresh = source.join(hits.select(*key_of), _match(pairs), "left_anti")
         return kept.select(*[merged(c) for c in target.columns]).unionByName(
             fresh.select(*_inserted(target, to_insert))
         )
 
     known = target.withColumn("__in_target", F.lit(True))
-    joined = known.join(marked, _match(pairs, null_safe), "full_outer")
+    joined = known.join(marked, _match(pairs), "full_outer")
     is_new = F.col("__in_target").isNull()
     return joined.select(
         *[
@@ -114,12 +117,41 @@ def new_rows(
 ) -> DataFrame:
     """The rows an upsert would insert: updates whose key the target does not have."""
     pairs = key_pairs(keys)
-    others = [c for c in target.columns if c not in dict(pairs)]
-    to_insert = {**_column_map(insert_cols, others, updates), **dict(pairs)}
     one_per_key = updates if reduced else reduce_updates(updates, [s for _, s in pairs], latest_by, null_safe)
-    source = _prefixed(one_per_key)
-    fresh = source.join(target.select(*dict(pairs)), _match(pairs, null_safe), "left_anti")
-    return fresh.select(*_inserted(target, to_insert))
+    others = [c for c in target.columns if c not in dict(pairs)]
+    inserted = _inserted(target, {**_column_map(insert_cols, others, updates), **dict(pairs)})
+    if null_safe:
+        fresh = _prefixed(one_per_key).join(target.select(*dict(pairs)), _match(pairs), "left_anti")
+        return fresh.select(*inserted)
+    filled = _filled([t for t, _ in pairs]), _filled([s for _, s in pairs])
+    known, source = target.filter(filled[0]), one_per_key.filter(filled[1])
+    return new_rows(known, source, keys, insert_cols, reduced=True).unionByName(
+        _prefixed(one_per_key.filter(~filled[1])).select(*inserted)
+    )
+
+
+def _upsert_filled_keys(target, updates, keys, update_cols, insert_cols, *, latest_by, reduced, **how) -> DataFrame:
+    """Upsert in which a key with a NULL part equals no other key.
+
+    Such rows have nothing to meet, so they stay out of the join, where all of them would fall
+    into one partition: the target's are kept and the updates' are inserted as they are.
+    """
+    pairs = key_pairs(keys)
+    one_per_key = updates if reduced else reduce_updates(updates, [s for _, s in pairs], latest_by, False)
+    filled = _filled([t for t, _ in pairs]), _filled([s for _, s in pairs])
+    merged = upsert(
+        target.filter(filled[0]), one_per_key.filter(filled[1]), keys, update_cols, insert_cols,
+        latest_by=latest_by, reduced=True, **how,
+    )
+    added = new_rows(
+        target.filter(~filled[0]), one_per_key.filter(~filled[1]), keys, insert_cols, reduced=True,
+        null_safe=False,
+    )
+    return merged.unionByName(target.filter(~filled[0])).unionByName(added)
+
+
+def _filled(columns: Sequence[str]) -> Column:
+    return reduce(and_, (F.col(f"`{c}`").isNotNull() for c in columns))
 
 
 def _prefixed(updates: DataFrame) -> DataFrame:
@@ -132,12 +164,8 @@ def _column_map(spec, others: Sequence[str], updates: DataFrame) -> dict[str, st
     return dict(spec) if isinstance(spec, Mapping) else {c: c for c in spec}
 
 
-def _match(pairs, null_safe: bool) -> Column:
-    def same(target_key: str, source_key: str) -> Column:
-        left, right = F.col(f"`{target_key}`"), F.col(f"`__u_{source_key}`")
-        return left.eqNullSafe(right) if null_safe else left == right
-
-    return reduce(and_, (same(t, s) for t, s in pairs))
+def _match(pairs) -> Column:
+    return reduce(and_, (F.col(f"`{t}`").eqNullSafe(F.col(f"`__u_{s}`")) for t, s in pairs))
 
 
 def _inserted(target: DataFrame, to_insert: Mapping[str, str]) -> list[Column]:

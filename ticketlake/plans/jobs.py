@@ -6,7 +6,9 @@ again on the same or a later extract: silver and facts are merged by key, dimens
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -39,6 +41,13 @@ def gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     return tables.read_path(spark, gold_path(root, name))
 
 
+def _together(*loads: Callable[[], None], at_once: int = 4) -> None:
+    """Run independent table loads side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(load) for load in loads]:
+            done.result()
+
+
 def _merge(
     path: str, schema: T.StructType, updates: DataFrame, keys: Sequence[Key], update_cols,
     latest_by: Sequence[str] = (), layout: tables.Layout = tables.Layout(),
@@ -131,17 +140,22 @@ def refresh_date_dim(source: DataFrame, root: str, spec: star.DateDim) -> None:
     )
 
 
+def _dim_loads(source: DataFrame, root: str, dates, values) -> list[Callable[[], None]]:
+    return [partial(refresh_date_dim, source, root, spec) for spec in dates] + [
+        partial(refresh_value_dim, source, root, spec) for spec in values
+    ]
+
+
 def load_incident_gold(
     spark: SparkSession, root: str, group_lookup: DataFrame, changed: DataFrame | None = None,
     buckets: int = BUCKETS, days: int = PERIOD_DAYS,
 ) -> None:
     """Incident dimensions, then the fact. `changed` limits the load to rows new since the last one."""
     source = silver(spark, root, "supervision_silver") if changed is None else changed
-    for date in star.INCIDENT_DATES:
-        refresh_date_dim(source, root, date)
-    for spec in star.INCIDENT_DIMS:
-        refresh_value_dim(source, root, spec)
-    refresh_group_dim(source, root, group_lookup)
+    _together(
+        *_dim_loads(source, root, star.INCIDENT_DATES, star.INCIDENT_DIMS),
+        lambda: refresh_group_dim(source, root, group_lookup),
+    )
     found = {look.dim: gold(spark, root, look.dim) for look in facts.INCIDENT_LOOKUPS}
     _merge(
         gold_path(root, "factSupervision_gold"), schemas.INCIDENTS_FACT,
@@ -155,28 +169,26 @@ def load_deployment_request_gold(
 ) -> None:
     """Deployment and request dimensions, the shared type dimension, then both facts."""
     deployments, requests = silver(spark, root, "MEP_silver"), silver(spark, root, "demandes_silver")
-    for source, dates, values in [
-        (deployments, star.DEPLOYMENT_DATES, star.DEPLOYMENT_DIMS),
-        (requests, star.REQUEST_DATES, star.REQUEST_DIMS),
-    ]:
-        for date in dates:
-            refresh_date_dim(source, root, date)
-        for spec in values:
-            refresh_value_dim(source, root, spec)
-    refresh_type_dim([requests, deployments], root)
+    _together(
+        *_dim_loads(deployments, root, star.DEPLOYMENT_DATES, star.DEPLOYMENT_DIMS),
+        *_dim_loads(requests, root, star.REQUEST_DATES, star.REQUEST_DIMS),
+        lambda: refresh_type_dim([requests, deployments], root),
+    )
     found = {
         look.dim: gold(spark, root, look.dim)
         for look in facts.DEPLOYMENT_LOOKUPS + facts.REQUEST_LOOKUPS
     }
-    _merge(
-        gold_path(root, "factMep_gold"), schemas.DEPLOYMENTS_FACT,
-        facts.fact_deployments(deployments, found), ["Numero"], None, ["Mis_a_jour", "Mis_h"],
-        tables.Layout(["Numero"], buckets, "Ouvert", days),
-    )
-    _merge(
-        gold_path(root, "factDemande_gold"), schemas.REQUESTS_FACT,
-        facts.fact_requests(requests, found), ["Numero"], None, ["Ferme", "Ferme_h"],
-        tables.Layout(["Numero"], buckets, "Cree", days),
+    _together(
+        lambda: _merge(
+            gold_path(root, "factMep_gold"), schemas.DEPLOYMENTS_FACT,
+            facts.fact_deployments(deployments, found), ["Numero"], None, ["Mis_a_jour", "Mis_h"],
+            tables.Layout(["Numero"], buckets, "Ouvert", days),
+        ),
+        lambda: _merge(
+            gold_path(root, "factDemande_gold"), schemas.REQUESTS_FACT,
+            facts.fact_requests(requests, found), ["Numero"], None, ["Ferme", "Ferme_h"],
+            tables.Layout(["Numero"], buckets, "Cree", days),
+        ),
     )
 
 

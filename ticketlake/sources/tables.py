@@ -201,7 +201,7 @@ def _write(
     }
     _write_text(spark, _meta(path, number), json.dumps(header, ensure_ascii=False))
     checked = assert_not_null(df, [f.name for f in schema.fields if not f.nullable])
-    columns = [F.col(f"`{c}`") for c in schema.names]
+    columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
     rows = checked.select(*columns, _own_bucket(layout, schema).alias(BUCKET))
     if rebalance:
         rows = rows.hint("rebalance", BUCKET)
