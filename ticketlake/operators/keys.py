@@ -14,7 +14,8 @@ def global_row_number(
     A fixed-size sample (the `buckets - 1` orders with the smallest digests, so always the same for
     the same rows) cuts the order into ranges. Rows are numbered inside their range, which is one
     window partition, and shifted by the sizes of the ranges before it. Only the sample and the
-    range sizes, at most `buckets` rows each, ever meet in one place.
+    range sizes, at most `buckets` rows each, ever meet in one place; both come back as scalar
+    subqueries, without a join.
     """
     keyed = df.withColumn("__order", order)
     # The three uses of `keyed` stay free of filters of their own, so that they share one shuffle:
@@ -23,23 +24,39 @@ def global_row_number(
         F.md5(F.to_json(F.struct("__order"))).asc_nulls_first(), "__order"
     ).limit(buckets - 1)
     cuts = sample.agg(F.sort_array(F.collect_list("__order"))).scalar()
-    below = F.filter("__cuts", lambda cut: cut <= F.col("__order"))
     ranged = (
         keyed.withColumn("__cuts", cuts)
-        .withColumn("__range", F.coalesce(F.size(below), F.lit(0)))
+        .withColumn("__range", _cuts_up_to(F.col("__order"), F.col("__cuts"), buckets))
         .drop("__cuts")
     )
-    sizes = ranged.groupBy("__range").agg(F.count("*").alias("__size"))
-    earlier = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "__range", F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__start")
-    )
+    sizes = ranged.groupBy("__range").agg(F.count("*").alias("size"))
+    start = F.get(_rows_before(sizes, buckets).scalar(), F.col("__range"))
     inside = Window.partitionBy("__range").orderBy(F.col("__order").asc_nulls_first())
-    return (
-        ranged.join(F.broadcast(starts), "__range")
-        .withColumn(name, F.col("__start") + F.row_number().over(inside))
-        .drop("__range", "__order", "__start")
+    return ranged.withColumn(name, start + F.row_number().over(inside)).drop("__range", "__order")
+
+
+def _rows_before(sizes: DataFrame, ranges: int) -> DataFrame:
+    """One array: for every range the number of rows in the ranges before it."""
+    def before(position: Column) -> Column:
+        smaller = F.filter("sizes", lambda entry: entry["__range"] < position)
+        return F.aggregate(smaller, F.lit(0).cast("bigint"), lambda total, entry: total + entry["size"])
+
+    return sizes.agg(F.collect_list(F.struct("__range", "size")).alias("sizes")).select(
+        F.transform(F.sequence(F.lit(0), F.lit(ranges - 1)), before)
+    )
+
+
+def _cuts_up_to(order: Column, cuts: Column, limit: int) -> Column:
+    """How many of the ascending `cuts` (fewer than `limit`) are not above `order`, by bisection.
+
+    Past the end of the array and for a NULL order the comparison is NULL, and the position stays.
+    """
+    steps = [1 << bit for bit in reversed(range(max(1, (limit - 1).bit_length())))]
+    position = F.aggregate(
+        F.array(*map(F.lit, steps)), F.lit(0),
+        lambda at, step: F.when(F.get(cuts, at + step - 1) <= order, at + step).otherwise(at),
     )
+    return F.coalesce(position, F.lit(0))
 
 
 def max_id(dim: DataFrame, id_col: str) -> DataFrame:
