@@ -40,7 +40,7 @@ def preview(table: DataFrame, order: list[str], n: int = 1000) -> DataFrame:
 
 def with_lineage(df: DataFrame, run_ts, source: str) -> DataFrame:
     """Add the load time, where the rows came from, and the date and run bronze is partitioned by."""
-    loaded = F.lit(run_ts).cast("timestamp_ntz")
+    loaded = F.lit(str(run_ts)).cast("timestamp_ntz")  # as text: no session zone shifts it
     return df.withColumns(
         {
             "_loaded_at": loaded,
