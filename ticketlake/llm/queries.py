@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import pii, url_filter
-from ticketlake.llm.common import table
+from ticketlake.llm import bpe, language_id, packing, pii, quality, url_filter
+from ticketlake.llm.common import id_fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,6 +52,27 @@ def op1_url_filter(spark, sf):
     return found.select("page_id", "host", "path", "rule", "verdict")
 
 
+SEQUENCE_TOKENS, END_ID = 4096, 1
+
+
+@query("op2_packing")
+def op2_packing(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    pieces = packing.token_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), SEQUENCE_TOKENS, END_ID)
+    digests = pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))
+    return packing.pack(digests, SEQUENCE_TOKENS)
+
+
+@query("op3_language_id")
+def op3_language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    fold = id_fold(F.col("doc_id"), 3)
+    model = language_id.fit(docs.filter(fold != 1))
+    return language_id.identify(docs, model).select(
+        "doc_id", F.coalesce(fold == 1, F.lit(False)).alias("held_out"), F.col("language.lang").alias("lang_pred"),
+        "language.score", F.size("language.spans").alias("n_spans"))
+
+
 @query("op5_pii")
 def op5_pii(spark, sf):
     base = [kind.name for kind in pii.KINDS]
@@ -62,3 +84,27 @@ def op5_pii(spark, sf):
         F.sha2(pii.spans_text(F.filter("pii", lambda s: s["kind"].isin(base))), 256).alias("base_sha256"),
         pii.spans_text(F.col("pii")).alias("spans"),
     )
+
+
+@query("op6_bpe")
+def op6_bpe(spark, sf):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    encoded = bpe.encode(table(spark, sf, "documents").select("doc_id", "text"), *vocabulary).drop("text")
+    decoded = bpe.decode(encoded, *vocabulary)
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+#: Score from which on a document counts as good.
+GOOD = 0.3
+
+
+@query("op10_quality")
+def op10_quality(spark, sf):
+    docs, labels = table(spark, sf, "documents").select("doc_id", "text"), table(spark, sf, "labels")
+    model = quality.fit(docs, labels.filter(id_fold(F.col("doc_id"), 5) != 0))
+    held_out = F.coalesce(id_fold(F.col("doc_id"), 5) == 0, F.lit(False))
+    scored = quality.classify(docs.withColumn("held_out", held_out), model)
+    return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= GOOD, 1).otherwise(0).alias("predicted"))
