@@ -1,4 +1,4 @@
-"""Quality classifier: learned vectors of hashed words and character n-grams, averaged per document.
+"""Quality classifier: learned vectors of hashed word and character n-grams, averaged per document.
 
 The average goes through a softmax over the labels. It is trained by stochastic gradient descent in
 numpy on a bounded sample of labelled documents; scoring covers whole texts of all documents, row by
@@ -19,6 +19,8 @@ from ticketlake.llm.common import hashed_fraction
 
 BUCKETS = 1 << 16
 NGRAMS = (3, 4)
+#: Features without weight that every average holds, so that a few words decide little.
+PRIOR_FEATURES = 20
 #: Labelled documents of each label that training uses, about.
 SAMPLE_PER_LABEL = 1500
 
@@ -32,12 +34,28 @@ class Model:
 
 
 def features(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, W.Words]:
-    """Feature buckets of each distinct word, their offsets, and the words of the texts."""
+    """Buckets of each distinct word and its character n-grams, their offsets, and the words."""
     found = W.split_words(texts)
     hashes, offsets = W.ngram_hashes(found.vocab, NGRAMS, whole_word=True)
     return (hashes % np.uint64(BUCKETS)).astype(np.int64), offsets, found
 
 
+def word_pairs(found: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets of the adjacent word pairs of each text and their offsets.
+
+    All pairs of a word with itself share a bucket, so that repetition of unknown words counts.
+    """
+    if not len(found.codes):
+        return np.zeros(0, np.int64), np.zeros_like(found.offsets)
+    own, _ = W.ngram_hashes(found.vocab, (), whole_word=True)
+    inside = np.ones(len(found.codes), dtype=bool)
+    inside[found.offsets[1:][found.counts > 0] - 1] = False  # the last word of a text starts no pair
+    left = np.flatnonzero(inside)
+    a, b = found.codes[left], found.codes[left + 1]
+    pair = W.mixed(own[a] * np.uint64(3) + own[b]) % np.uint64(BUCKETS - 1)
+    return np.where(a == b, BUCKETS - 1, pair.astype(np.int64)), np.concatenate([[0], np.cumsum(inside)])[found.offsets]
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
     """About `per_label` rows `(text, quality)` of each label 0 and 1, chosen by a hash of the id.
 
@@ -67,10 +85,12 @@ def train(
     for chunk in W.text_chunks(pa.array([t for t, _ in rows], pa.string())):
         bucket, starts, found = features(chunk)
         lengths = np.diff(starts)
-        for a, b in zip(found.offsets[:-1], found.offsets[1:]):
-            mine, n = np.unique(bucket[W.take_lists(starts[:-1], lengths, found.codes[a:b])], return_counts=True)
+        pairs, pair_at = word_pairs(found)
+        for i, (a, b) in enumerate(zip(found.offsets[:-1], found.offsets[1:])):
+            grams = bucket[W.take_lists(starts[:-1], lengths, found.codes[a:b])]
+            mine, n = np.unique(np.concatenate([grams, pairs[pair_at[i]:pair_at[i + 1]]]), return_counts=True)
             ids.append(mine)
-            shares.append(n / max(1, n.sum()))
+            shares.append(n / (n.sum() + PRIOR_FEATURES))
             offsets.append(offsets[-1] + len(mine))
     rng = np.random.default_rng(seed)
     weight = np.where(target == 1, 0.5 / np.mean(target == 1), 0.5 / np.mean(target == 0))
@@ -116,8 +136,10 @@ def scores(texts: pa.Array, model: Model) -> np.ndarray:
     out = []
     for chunk in W.text_chunks(texts):
         bucket, starts, found = features(chunk)
-        total = W.per_text(model.feature[bucket], starts)[found.codes]
-        margin = W.per_text(total, found.offsets) / np.maximum(1, W.per_text(np.diff(starts)[found.codes], found.offsets))
+        pairs, pair_at = word_pairs(found)
+        words = W.per_text(W.per_text(model.feature[bucket], starts)[found.codes], found.offsets)
+        n = W.per_text(np.diff(starts)[found.codes], found.offsets) + np.diff(pair_at)
+        margin = (words + W.per_text(model.feature[pairs], pair_at)) / (n + PRIOR_FEATURES)
         out.append(1 / (1 + np.exp(-np.clip(margin + model.bias, -50, 50))))
     return np.round(np.concatenate(out), 9) if out else np.zeros(0)
 
