@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import bpe, language_id, packing, pii, quality, url_filter
-from ticketlake.llm.common import id_fold, table
+from ticketlake.llm import ann, bpe, knn_join, language_id, near_dup, packing, pii, quality, url_filter, vectors
+from ticketlake.llm.common import id_fold, on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -18,7 +18,11 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(function: Query) -> Query:
-        QUERIES[name] = function
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            on_workers(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql
         return function
@@ -108,3 +112,31 @@ def op10_quality(spark, sf):
     held_out = F.coalesce(id_fold(F.col("doc_id"), 5) == 0, F.lit(False))
     scored = quality.classify(docs.withColumn("held_out", held_out), model)
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= GOOD, 1).otherwise(0).alias("predicted"))
+
+
+@query("op7_near_dup")
+def op7_near_dup(spark, sf):
+    return near_dup.near_duplicates(table(spark, sf, "documents"), size=4, percent=80)
+
+
+TOP, QUERY_STEP = 20, 20
+
+
+@query("op4_knn_join", """
+    WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE) for x in embedding]::DOUBLE[] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT q.vec_id AS query_id, d.vec_id, list_inner_product(q.v, d.v)::BIGINT AS score
+        FROM v q JOIN v d ON q.vec_id <> d.vec_id WHERE q.vec_id % 20 = 0)
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+    WHERE rank <= 20""")
+def op4_knn_join(spark, sf):
+    rows = table(spark, sf, "embeddings").filter(vectors.usable(F.col("embedding"))).select(
+        "vec_id", F.transform("embedding", lambda x: F.floor(x.cast("double") * 64)).alias("vector"))
+    return knn_join.top_products(rows, rows.filter(F.col("vec_id") % QUERY_STEP == 0), TOP)
+
+
+@query("op8_ann")
+def op8_ann(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(rows, rows.filter(F.col("vec_id") % QUERY_STEP == 0), TOP)
