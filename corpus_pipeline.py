@@ -1,15 +1,67 @@
-"""The corpus pipeline: stages over `documents`, each one written and read again before the next."""
+"""The corpus pipeline: stages over `documents`, each one written and read again before the next.
+
+Every stage takes the session, the documents its predecessor kept and the folder of the tables. All but
+the last return the columns of `documents`.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ticketlake.llm.common import staged, table
+from ticketlake.llm import language_id, near_dup, packing, pii, quality
+from ticketlake.llm.common import id_fold, on_workers, staged, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
-STAGES: list[tuple[str, Stage]] = []
+#: Score from which on a document is good enough, as in the query of the classifier.
+GOOD = 0.3
+SEQUENCE_TOKENS, END_ID = 4096, 1
+TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+
+
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier doesn't reject; labels of held-out ids are not learned from."""
+    on_workers(spark)
+    labels = table(spark, sf_dir, "labels").filter(id_fold(F.col("doc_id"), 5) != 0)
+    model = quality.fit(docs, labels)
+    return docs.filter(quality.score_column(model, F.col("text")) >= GOOD)
+
+
+def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language can be told; undetermined ones go."""
+    on_workers(spark)
+    model = language_id.fit(docs)
+    labelled = language_id.identify(docs, model, out="_language")
+    return labelled.filter(F.col("_language.lang") != language_id.UNDETERMINED).select(*docs.columns)
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, that of the smallest id."""
+    on_workers(spark)
+    return near_dup.deduplicated(docs)
+
+
+def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data masked and their length counted again."""
+    masked = pii.find_pii(docs, out="_pii").withColumn("text", pii.masked(F.col("text"), F.col("_pii")))
+    return masked.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces with their places in training sequences."""
+    on_workers(spark)
+    pieces = packing.token_pieces(docs.select("doc_id", "text"), TOKENIZER, SEQUENCE_TOKENS, END_ID)
+    return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", good_quality), ("language", known_language), ("near_dup", one_of_each), ("pii", without_pii),
+    ("packing", packed),
+]
+#: No stage but the masking of personal data can be told in SQL; tests compare with plain Python.
 ORACLE_SQL: str | None = None
 
 

@@ -297,3 +297,9 @@ def class_texts(base: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFram
     named = wanted.filter("first_id IS NOT NULL")
     pairs = named.join(rows.select("doc_id", "digest"), "digest").filter("doc_id = first_id").select("node", "doc_id").distinct()
     return base.join(pairs, "doc_id").select("node", "text").dropDuplicates(["node"])
+
+
+def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
+    """The rows of `docs` that `near_duplicates` keeps, each once: of repeated rows one is left."""
+    kept = near_duplicates(docs, id_col, text, **how).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, text])

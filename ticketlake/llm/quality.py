@@ -21,6 +21,8 @@ BUCKETS = 1 << 16
 NGRAMS = (3, 4)
 #: Features without weight that every average holds, so that a few words decide little.
 PRIOR_FEATURES = 20
+#: Steps of descent that even a small sample gets, about.
+LEAST_STEPS = 800
 #: Labelled documents of each label that training uses, about.
 SAMPLE_PER_LABEL = 1500
 
@@ -96,6 +98,7 @@ def train(
     weight = np.where(target == 1, 0.5 / np.mean(target == 1), 0.5 / np.mean(target == 0))
     vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim))
     out, bias = np.zeros((dim, 2)), np.zeros(2)
+    epochs = max(epochs, LEAST_STEPS // -(-len(rows) // batch))
     steps = epochs * -(-len(rows) // batch)
     step = 0
     for _ in range(epochs):

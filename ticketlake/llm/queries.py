@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import ann, bpe, knn_join, language_id, near_dup, packing, pii, quality, url_filter, vectors
+from ticketlake.llm import ann, bpe, knn_join, language_id, lm_score, near_dup, packing, pii, quality, url_filter, vectors
 from ticketlake.llm.common import id_fold, on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +140,8 @@ def op4_knn_join(spark, sf):
 def op8_ann(spark, sf):
     rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return ann.nearest(rows, rows.filter(F.col("vec_id") % QUERY_STEP == 0), TOP)
+
+
+@query("op9_lm_score")
+def op9_lm_score(spark, sf):
+    return lm_score.score_documents(table(spark, sf, "documents"))
