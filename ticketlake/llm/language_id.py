@@ -28,6 +28,8 @@ SAMPLE_PER_LANG = 2000
 SWITCH, WRONG_SCRIPT = 12.0, 20.0
 #: Share of a language's letters from which on it uses a script.
 SCRIPT_SHARE = 0.01
+#: Words whose best paths are found together, about.
+PATH_WORDS = 1 << 20
 UNDETERMINED = "und"
 RESULT = ("struct<lang:string,score:double,spans:array<struct<first_word:int,last_word:int,lang:string,letters:int>>>")
 
@@ -147,62 +149,97 @@ def steady(scores: np.ndarray, offsets: np.ndarray, best: np.ndarray) -> np.ndar
     return most <= SWITCH / 2
 
 
-def viterbi(scores: np.ndarray) -> np.ndarray:
-    """Languages of the words of one text along its best path; ties stay, then take the first."""
-    n, k = scores.shape
-    back = np.zeros((n, k), dtype=np.int32)
-    total = scores[0].copy()
-    own = np.arange(k)
-    for t in range(1, n):
-        top = int(total.argmax())
-        moved = total[top] - SWITCH > total
-        back[t] = np.where(moved, top, own)
-        total = np.where(moved, total[top] - SWITCH, total) + scores[t]
-    path = np.empty(n, dtype=np.int64)
-    path[-1] = int(total.argmax())
-    for t in range(n - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
+def viterbi(scores: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Languages of the words of texts along their best paths; ties stay, then take the first.
+
+    All texts take a step at a time: the longer ones go on when the shorter ones have ended.
+    """
+    order = np.argsort(-np.diff(offsets), kind="stable")
+    first, sizes = offsets[:-1][order], np.diff(offsets)[order]
+    steps = int(sizes.max(initial=0))
+    going = np.searchsorted(-sizes, -np.arange(steps), side="left")  # texts with a word t
+    own = np.arange(scores.shape[1], dtype=np.int16)
+    back = np.zeros(scores.shape, dtype=np.int16)
+    total = scores[first]
+    for t in range(1, steps):
+        now = total[:going[t]]
+        top = now.argmax(axis=1)
+        moved = np.take_along_axis(now, top[:, None], axis=1) - SWITCH
+        better = moved > now
+        at = first[:going[t]] + t
+        back[at] = np.where(better, top[:, None].astype(np.int16), own)
+        total[:going[t]] = np.where(better, moved, now) + scores[at]
+    path, state = np.zeros(len(scores), dtype=np.int64), total.argmax(axis=1)
+    for t in range(steps - 1, -1, -1):
+        at = first[:going[t]] + t
+        path[at] = state[:going[t]]
+        state[:going[t]] = back[at, path[at]] if t else state[:going[t]]
     return path
 
 
+def path_spans(model: Model, scores: list, counted: list, every: list) -> list[dict]:
+    """Results of texts whose best path may switch."""
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in counted])]).astype(np.int64)
+    path, out = viterbi(np.concatenate(scores), offsets), []
+    for a, b, letters, n in zip(offsets[:-1], offsets[1:], counted, every):
+        own = path[a:b]
+        cuts = np.flatnonzero(np.diff(own)) + 1
+        firsts, lasts = np.concatenate([[0], cuts]), np.concatenate([cuts - 1, [b - a - 1]])
+        runs = np.add.reduceat(letters, firsts)
+        share = np.bincount(own[firsts], runs, len(model.langs))
+        out.append({"lang": model.langs[int(share.argmax())], "score": round(float(share.max() / n), 9), "spans": [
+            {"first_word": int(f), "last_word": int(z), "lang": model.langs[own[f]], "letters": int(x)}
+            for f, z, x in zip(firsts, lasts, runs)]})
+    return out
+
+
+def word_scores(texts: pa.Array, model: Model) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of the texts, and for each distinct word its scores, its letters, and whether it counts.
+
+    A script that a language doesn't use counts against it; a script that none uses counts for nothing.
+    """
+    found, bucket, starts, letters, by_script = lettered(texts)
+    scores = np.stack([W.per_text(logs[bucket], starts) for logs in model.logs], axis=1)
+    alien = by_script @ (~model.uses).T
+    readable = alien.min(axis=1) == 0
+    scores = np.where(readable[:, None], scores - WRONG_SCRIPT * (alien > 0), 0.0)
+    return found, scores, letters, readable & (letters > 0)
+
+
 def identify_texts(texts: pa.Array, model: Model) -> list[dict]:
     """Language, score and spans of each text; see `identify`."""
-    out: list[dict] = []
-    for chunk in W.text_chunks(texts):
-        found, bucket, starts, letters, by_script = lettered(chunk)
-        k = len(model.langs)
-        of_word = np.stack([W.per_text(model.logs[j][bucket], starts) for j in range(k)], axis=1) if k else np.zeros((len(letters), 0))
-        if k:
-            # letters in a script that a language doesn't use count against it; if none uses it, nothing does
-            alien = by_script @ (~model.uses).T
-            narrowed = alien.min(axis=1) == 0
-            of_word[narrowed] -= WRONG_SCRIPT * (alien[narrowed] > 0)
-            of_word[~narrowed] = 0
-            readable = narrowed & (letters > 0)
-        else:
-            readable = np.zeros(len(letters), bool)
+    nothing = {"lang": UNDETERMINED, "score": 0.0, "spans": []}
+    out: list[dict] = [nothing] * len(texts)
+    pending: list[tuple] = []
+    waiting, base = 0, 0
+
+    def settle() -> None:
+        for (i, *_), result in zip(pending, path_spans(model, *[[p[j] for p in pending] for j in (1, 2, 3)])):
+            out[i] = result
+        pending.clear()
+
+    for chunk in W.text_chunks(texts) if model.langs else []:
+        found, of_word, letters, readable = word_scores(chunk, model)
         scores, weight = of_word[found.codes], letters[found.codes]
         counted = np.where(readable[found.codes], weight, 0)
         every, known = W.per_text(weight, found.offsets), W.per_text(counted, found.offsets)
-        best = W.per_text(scores, found.offsets).argmax(axis=1) if k else np.zeros(len(every), int)
-        calm = steady(scores, found.offsets, best) if k else np.ones(len(every), bool)
-        for i, (a, b) in enumerate(zip(found.offsets[:-1], found.offsets[1:])):
-            if not known[i]:
-                out.append({"lang": UNDETERMINED, "score": 0.0, "spans": []})
-            elif calm[i]:
+        best = W.per_text(scores, found.offsets).argmax(axis=1)
+        calm = steady(scores, found.offsets, best)
+        for i in np.flatnonzero(known):
+            a, b = found.offsets[i], found.offsets[i + 1]
+            if calm[i]:
                 name = model.langs[best[i]]
-                out.append({"lang": name, "score": round(float(known[i] / every[i]), 9), "spans": [
-                    {"first_word": 0, "last_word": int(b - a - 1), "lang": name, "letters": int(known[i])}]})
+                out[base + i] = {"lang": name, "score": round(float(known[i] / every[i]), 9), "spans": [
+                    {"first_word": 0, "last_word": int(b - a - 1), "lang": name, "letters": int(known[i])}]}
             else:
-                path = viterbi(scores[a:b])
-                cuts = np.flatnonzero(np.diff(path)) + 1
-                firsts, lasts = np.concatenate([[0], cuts]), np.concatenate([cuts - 1, [b - a - 1]])
-                runs = np.add.reduceat(counted[a:b], firsts)
-                share = np.bincount(path[firsts], runs, k)
-                out.append({"lang": model.langs[int(share.argmax())],
-                            "score": round(float(share.max() / every[i]), 9), "spans": [
-                    {"first_word": int(f), "last_word": int(z), "lang": model.langs[path[f]], "letters": int(n)}
-                    for f, z, n in zip(firsts, lasts, runs)]})
+                pending.append((base + i, scores[a:b].copy(), counted[a:b], every[i]))
+                waiting += b - a
+        if waiting > PATH_WORDS:
+            settle()
+            waiting = 0
+        base += len(chunk)
+    if pending:
+        settle()
     return out
 
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from array import array
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+#: Results that are remembered between chunks, about.
+MEMO_ENTRIES = 300_000
 #: Bytes of text that are taken apart at a time, at least one document; bounds a worker's memory.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 
 @dataclass
@@ -75,11 +78,71 @@ def take_lists(starts: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> np
     return np.repeat(shift, sizes) + np.arange(sizes.sum())
 
 
+#: Words that `letter_parts` can cut, after a space or not: Latin-1 letters, digits, signs but `'` and `<`.
+PLAIN_WORD = r"^ ?[!-&(-;=-~ß-öø-ÿÀ-ÖØ-Þ]+$"
+
+
+def letter_parts(vocab: pa.Array, single_digits: bool) -> Words:
+    """Stretches of letters, of digits and of signs of words that match `PLAIN_WORD`.
+
+    A space in front belongs to what follows it. In such words every byte from 0x80 is of a letter.
+    """
+    lengths = pc.binary_length(vocab).to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
+    whole = joined(vocab)
+    text = np.frombuffer(whole, dtype=np.uint8)
+    digit = (text >= 48) & (text <= 57)
+    kind = np.where(digit, 1, np.where(((text | 32) >= 97) & ((text | 32) <= 122) | (text >= 128), 2, 0))
+    first = np.zeros(len(text), dtype=bool)
+    first[starts[:-1]] = True
+    space = np.flatnonzero(text == 32)
+    kind[space] = kind[space + 1]
+    cut = first | (kind != np.roll(kind, 1))
+    if single_digits:
+        cut |= digit
+    at = np.flatnonzero(cut)
+    parts = pa.LargeStringArray.from_buffers(
+        len(at), pa.py_buffer(np.append(at, len(text)).astype(np.int64)), pa.py_buffer(whole))
+    return coded(np.concatenate([[0], np.cumsum(cut)])[starts], parts)
+
+
+class IdLists:
+    """Lists of ids by text, computed once and remembered in flat arrays of bounded size."""
+
+    def __init__(self, compute: Callable[[str], Sequence[int]]):
+        self.compute = compute
+        self.forget()
+
+    def forget(self) -> None:
+        self.index: dict[str, int] = {}
+        self.ids, self.ends = array("I"), array("q", [0])
+
+    def find(self, keys: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All remembered ids, and where the list of each key starts and how long it is."""
+        if len(self.index) > MEMO_ENTRIES:
+            self.forget()
+        index, compute, ids, ends = self.index, self.compute, self.ids, self.ends
+        for key in keys:
+            if key not in index:
+                ids.extend(compute(key))
+                index[key] = len(ends) - 1
+                ends.append(len(ids))
+        at = np.fromiter(map(index.__getitem__, keys), dtype=np.int64, count=len(keys))
+        bounds = np.array(ends, dtype=np.int64)
+        return np.array(ids, dtype=np.uint32), bounds[at], bounds[at + 1] - bounds[at]
+
+
+def joined(vocab: pa.Array) -> bytes:
+    """The bytes of all words one after the other."""
+    vocab = pa.concat_arrays([vocab.cast(pa.large_string())])  # without offset
+    offsets = np.frombuffer(vocab.buffers()[1], dtype=np.int64)[:len(vocab) + 1] if len(vocab) else [0, 0]
+    return vocab.buffers()[2][offsets[0]:offsets[-1]].to_pybytes() if offsets[-1] > offsets[0] else b""
+
+
 def code_points(vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Code points of all words one after the other, and where each word starts (and the end)."""
     lengths = pc.utf8_length(vocab).to_numpy(zero_copy_only=False)
-    joined = "".join(vocab.to_pylist())
-    points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
+    points = np.frombuffer(joined(vocab).decode().encode("utf-32-le"), dtype=np.uint32)
     return points, np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
 
 
