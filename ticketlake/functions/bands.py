@@ -59,7 +59,7 @@ def is_holiday(date: Column, holidays: DataFrame | Iterable) -> Column:
 
 
 def working_hours_band(
-    date: Column, time: Column, holidays: DataFrame | Iterable = HOLIDAYS_2025
+    date: Column, time: Column, holidays: DataFrame | Iterable
 ) -> Column:
     """`HO` / `HNO` band of a date and an `H:m:s` text.
 

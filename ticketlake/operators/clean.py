@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake import schemas
-from ticketlake.functions.bands import HOLIDAYS_2025, shift_band, working_hours_band
+from ticketlake.functions.bands import shift_band, working_hours_band
 
 
 def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -47,7 +47,7 @@ def top_n(df: DataFrame, columns: Sequence[str], n: int) -> DataFrame:
     return ordered(df, columns).limit(n)
 
 
-def classify_deployments(df: DataFrame, holidays: DataFrame | Iterable = HOLIDAYS_2025) -> DataFrame:
+def classify_deployments(df: DataFrame, holidays: DataFrame | Iterable) -> DataFrame:
     """Add the working-hours band of the opening time and the type."""
     band = working_hours_band(F.col("Ouvert"), F.col("Ovrt_h"), holidays)
     return tag_type(df.withColumn("Plages_horaires", band), schemas.DEPLOYMENT_TYPE)
@@ -62,7 +62,7 @@ def clean_assignees(bronze: DataFrame) -> DataFrame:
     return rename_columns(bronze, schemas.ASSIGNEE_RENAMES)
 
 
-def clean_deployments(bronze: DataFrame, holidays: DataFrame | Iterable = HOLIDAYS_2025) -> DataFrame:
+def clean_deployments(bronze: DataFrame, holidays: DataFrame | Iterable) -> DataFrame:
     """Bronze deployments to silver columns."""
     slim = drop_columns(rename_columns(bronze, schemas.DEPLOYMENT_RENAMES), schemas.DEPLOYMENT_DROPS)
     return classify_deployments(slim, holidays)

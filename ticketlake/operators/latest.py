@@ -21,6 +21,10 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | s
     return df.withColumn("__rank", F.row_number().over(window)).filter("__rank = 1").drop("__rank")
 
 
-def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[str]) -> DataFrame:
-    """The row of each key with the greatest `latest_by` values, NULLs last."""
-    return first_per_key(df, keys, [F.col(c).desc_nulls_last() for c in latest_by])
+def as_column(order: Column | str) -> Column:
+    return F.col(order) if isinstance(order, str) else order
+
+
+def latest_per_key(df: DataFrame, keys: Sequence[str], latest_by: Sequence[Column | str]) -> DataFrame:
+    """The row of each key with the greatest `latest_by` columns or expressions, NULLs last."""
+    return first_per_key(df, keys, [as_column(c).desc_nulls_last() for c in latest_by])

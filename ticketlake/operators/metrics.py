@@ -7,6 +7,7 @@ small grouped result meets the dimensions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,9 +96,12 @@ def kpi_team_load(fact: DataFrame, dims: Dims, open_states: Sequence[str]) -> Da
 
 
 def kpi_assignee_load(fact: DataFrame, bridge: DataFrame) -> DataFrame:
-    """Tickets per assignee through the ticket-assignee bridge."""
+    """Tickets per assignee through the ticket-assignee bridge, whose rows are distinct.
+
+    Tickets without an assignee count under a NULL name.
+    """
     return (
-        fact.select("Numero").join(bridge, "Numero", "inner")
+        fact.select("Numero").join(bridge, "Numero", "left")
         .groupBy("Affecte").agg(F.count("*").alias("tickets"))
     )
 
@@ -105,17 +109,31 @@ def kpi_assignee_load(fact: DataFrame, bridge: DataFrame) -> DataFrame:
 def kpi_trend(
     fact: DataFrame, dims: Dims, closed: Sequence[str], open_states: Sequence[str]
 ) -> DataFrame:
-    """Tickets opened per month, and how many of those are closed or still in progress."""
-    month = F.trunc(F.col("Ouvert").cast("date"), "month")
-    counts = fact.groupBy(month.alias("month"), "ID_Etat").agg(F.count("*").alias("n"))
-    stated = _label(counts, dims["etat"], "ID_Etat", "Etat")
+    """Per month: tickets opened in it, tickets closed in it, and those opened in it still in progress.
 
-    def of(states: Sequence[str]) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("Etat").isin(list(states)), F.col("n"))), F.lit(0))
+    A closed ticket was closed when it was last updated. The fact is read once: each ticket counts in
+    its opening month and in that of its last update, by state, before the labels are looked up.
+    """
+    def month(moment: str) -> Column:
+        return F.trunc(F.col(moment).cast("date"), "month")
 
-    return stated.groupBy("month").agg(
-        F.sum("n").alias("opened"), of(closed).alias("closed"), of(open_states).alias("in_progress")
+    moments = F.array(
+        F.struct(month("Ouvert").alias("month"), F.lit(True).alias("opening")),
+        F.struct(month("Mis_a_jour").alias("month"), F.lit(False).alias("opening")))
+    counts = (
+        fact.select("ID_Etat", F.inline(moments))
+        .groupBy("month", "opening", "ID_Etat").agg(F.count("*").alias("n"))
     )
+    stated = _label(counts, dims["etat"], "ID_Etat", "Etat")
+
+    def of(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
+
+    is_closed, is_open = (F.coalesce(F.col("Etat").isin(list(s)), F.lit(False)) for s in (closed, open_states))
+    # a month in which tickets that are still open were updated is no month of its own
+    return stated.filter(F.col("opening") | is_closed).groupBy("month").agg(
+        of(F.col("opening")).alias("opened"), of(~F.col("opening")).alias("closed"),
+        of(F.col("opening") & is_open).alias("in_progress"))
 
 
 def _both(deployments: DataFrame, requests: DataFrame) -> DataFrame:
@@ -162,11 +180,15 @@ def kpi_type_trend(deployments: DataFrame, requests: DataFrame, dims: Dims) -> D
     return _label(counts, dims["type"], "ID_Type", "Type")
 
 
-def kpi_band_load(fact: DataFrame, collaborators: DataFrame, bands: DataFrame) -> DataFrame:
-    """Tickets per collaborator and time band."""
-    counts = fact.groupBy("ID_Collaborateur", "ID_Plage_Horaires").agg(F.count("*").alias("tickets"))
-    named = _label(counts, collaborators, "ID_Collaborateur", "Collaborateur")
-    return _label(named, bands, "ID_Plage_Horaires", "Plages_horaires")
+def kpi_band_load(*parts: tuple[DataFrame, DataFrame, DataFrame]) -> DataFrame:
+    """Tickets per collaborator and time band over several facts, each with its two dimensions."""
+    def one(fact: DataFrame, collaborators: DataFrame, bands: DataFrame) -> DataFrame:
+        counts = fact.groupBy("ID_Collaborateur", "ID_Plage_Horaires").agg(F.count("*").alias("tickets"))
+        named = _label(counts, collaborators, "ID_Collaborateur", "Collaborateur")
+        return _label(named, bands, "ID_Plage_Horaires", "Plages_horaires")
+
+    both = reduce(DataFrame.unionByName, [one(*part) for part in parts])
+    return both.groupBy("Collaborateur", "Plages_horaires").agg(F.sum("tickets").alias("tickets"))
 
 
 def kpi_band_share(fact: DataFrame, bands: DataFrame) -> DataFrame:
@@ -178,15 +200,20 @@ def kpi_band_share(fact: DataFrame, bands: DataFrame) -> DataFrame:
     )
 
 
-def kpi_collab_rank(fact: DataFrame, collaborators: DataFrame, seconds: Column) -> DataFrame:
+def kpi_collab_rank(*parts: tuple[DataFrame, DataFrame, Column]) -> DataFrame:
     """Collaborators by ticket count (most first), then mean duration (shortest first), then name.
 
-    Names are unique, so the rank is a row number and needs no one-task sort either.
+    Each part is a fact, its collaborators and its duration in seconds. Names are unique, so the rank
+    is a row number and needs no one-task sort either.
     """
-    load = fact.groupBy("ID_Collaborateur").agg(
-        F.count("*").alias("tickets"), mean_hours(seconds).alias("mean_hours")
-    )
-    named = _label(load, collaborators, "ID_Collaborateur", "Collaborateur")
+    def one(fact: DataFrame, collaborators: DataFrame, seconds: Column) -> DataFrame:
+        load = fact.groupBy("ID_Collaborateur").agg(
+            F.count("*").alias("tickets"), F.sum(seconds).alias("seconds"), F.count(seconds).alias("measured"))
+        return _label(load, collaborators, "ID_Collaborateur", "Collaborateur")
+
+    named = reduce(DataFrame.unionByName, [one(*part) for part in parts]).groupBy("Collaborateur").agg(
+        F.sum("tickets").alias("tickets"),
+        F.round(F.try_divide(F.sum("seconds"), F.sum("measured")) / 3600, 2).alias("mean_hours"))
     order = F.struct(-F.col("tickets"), F.col("mean_hours"), F.col("Collaborateur"))
     return global_row_number(named, order, name="rank")
 
@@ -194,19 +221,21 @@ def kpi_collab_rank(fact: DataFrame, collaborators: DataFrame, seconds: Column)
 def kpi_sla(fact: DataFrame, dims: Dims, limits: DataFrame, closed: Sequence[str]) -> DataFrame:
     """Share of closed tickets resolved within the limit of their priority.
 
-    `limits` is `(priority, hours)`; it is resolved to keys before it meets the fact.
+    `limits` is `(priority, hours)`; it is resolved to keys before it meets the fact. A priority
+    without a limit, and tickets without a priority, have a row of their own without a share.
     """
-    allowed = dims["priorite"].join(limits, F.col("Priorite") == F.col("priority"), "inner").select(
-        "ID_Priorite", F.col("Priorite").alias("priority"), (F.col("hours") * 3600).alias("limit_s")
+    allowed = dims["priorite"].join(limits, F.col("Priorite") == F.col("priority"), "left").select(
+        "ID_Priorite", F.col("Priorite").alias("label"), (F.col("hours") * 3600).alias("limit_s")
     )
-    timed = _in_states(fact, dims, closed).join(allowed, "ID_Priorite", "inner")
+    timed = _in_states(fact, dims, closed).join(allowed, "ID_Priorite", "left")
     return (
-        timed.groupBy("priority")
+        timed.groupBy(F.col("label").alias("priority"))
         .agg(
             F.count("*").alias("closed_tickets"),
             F.count_if(resolution_seconds() <= F.col("limit_s")).alias("within_limit"),
+            F.count("limit_s").alias("limited"),
         )
-        .withColumn("compliance", F.round(F.col("within_limit") / F.col("closed_tickets"), 4))
+        .withColumn("compliance", F.round(F.try_divide("within_limit", "limited"), 4)).drop("limited")
     )
 
 

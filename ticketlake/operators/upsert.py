@@ -9,7 +9,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticketlake.operators.latest import latest_per_key
+from ticketlake.operators.latest import as_column, latest_per_key
 
 Key = str | tuple[str, str]
 
@@ -20,7 +20,7 @@ def key_pairs(keys: Sequence[Key]) -> list[tuple[str, str]]:
 
 
 def reduce_updates(
-    updates: DataFrame, keys: Sequence[str], latest_by: Sequence[str] = (), null_safe: bool = True
+    updates: DataFrame, keys: Sequence[str], latest_by: Sequence[Column | str] = (), null_safe: bool = True
 ) -> DataFrame:
     """At most one update per key: the latest, ties broken by all columns.
 
@@ -40,10 +40,9 @@ def upsert(
     update_cols: Sequence[str] | Mapping[str, str] | None = None,
     insert_cols: Sequence[str] | Mapping[str, str] | None = None,
     *,
-    latest_by: Sequence[str] = (),
+    latest_by: Sequence[Column | str] = (),
     null_safe: bool = True,
     reduced: bool = False,
-    broadcast_updates: bool = False,
     keep_newer: bool = False,
 ) -> DataFrame:
     """The target after merging `updates` into it by key.
@@ -53,18 +52,18 @@ def upsert(
     `{target column: update column}`. `None` means every non-key column the updates have; an empty
     `update_cols` leaves matching rows alone.
 
-    With `keep_newer` a matching row only takes an update that is not older by `latest_by`, so
-    updates may arrive in any order.
+    `latest_by` are columns or expressions of columns that both frames have. With `keep_newer` a
+    matching row only takes an update that is not older by them, NULL being oldest, so updates may
+    arrive in any order.
 
     The target must be unique by key, as every table written by this function is; updates are
     reduced to one row per key first unless `reduced` says they already are. Then no key is hot on
-    either side of the join. `broadcast_updates` is for updates whose size the caller has checked:
-    the target is then rewritten without being shuffled.
+    either side of the join.
     """
     if not null_safe:
         return _upsert_filled_keys(
             target, updates, keys, update_cols, insert_cols, latest_by=latest_by, reduced=reduced,
-            broadcast_updates=broadcast_updates, keep_newer=keep_newer,
+            keep_newer=keep_newer,
         )
     pairs = key_pairs(keys)
     source_keys = [s for _, s in pairs]
@@ -74,15 +73,15 @@ def upsert(
     to_insert = {**_column_map(insert_cols, others, updates), **key_of}
 
     one_per_key = updates if reduced else reduce_updates(updates, source_keys, latest_by)
-    source = _prefixed(one_per_key)
+    ages = {f"__age_{i}": as_column(c) for i, c in enumerate(latest_by if keep_newer else [])}
+    source = _prefixed(one_per_key.withColumns(ages))
 
     if not to_update:
         return target.unionByName(new_rows(target, one_per_key, keys, insert_cols, reduced=True))
 
     matched = F.col("__in_updates").isNotNull()
-    if keep_newer:
-        age = [(F.col(f"`__u_{c}`"), F.col(f"`{c}`")) for c in latest_by]
-        matched &= F.struct(*[u for u, _ in age]) >= F.struct(*[t for _, t in age])
+    if ages:
+        matched &= F.struct(*[F.col(f"__u_{a}") for a in ages]) >= F.struct(*[F.col(a) for a in ages])
     marked = source.withColumn("__in_updates", F.lit(True))
 
     def merged(column: str) -> Column:
@@ -91,16 +90,7 @@ def upsert(
         new = F.col(f"`__u_{to_update[column]}`").cast(target.schema[column].dataType)
         return F.when(matched, new).otherwise(F.col(f"`{column}`")).alias(column)
 
-    if broadcast_updates:
-        small = F.broadcast(marked)
-        kept = target.join(small, _match(pairs), "left")
-        hits = target.select(*key_of).join(small, _match(pairs), "inner")
-        fresh = source.join(hits.select(*key_of), _match(pairs), "left_anti")
-        return kept.select(*[merged(c) for c in target.columns]).unionByName(
-            fresh.select(*_inserted(target, to_insert))
-        )
-
-    known = target.withColumn("__in_target", F.lit(True))
+    known = target.withColumns({**ages, "__in_target": F.lit(True)})
     joined = known.join(marked, _match(pairs), "full_outer")
     is_new = F.col("__in_target").isNull()
     return joined.select(

@@ -10,11 +10,12 @@ from collections.abc import Callable, Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake import schemas
-from ticketlake.functions.bands import HOLIDAYS_2025
+from ticketlake.functions.times import at_time
 from ticketlake.operators import clean, dims, facts, quality
 from ticketlake.operators.upsert import Key
 from ticketlake.plans import star
@@ -25,6 +26,14 @@ from ticketlake.sources import tables
 BUCKETS, PERIOD_DAYS = 64, 30
 
 
+def latest_at(date: str, time: str) -> list[Column]:
+    """Order of two states of a ticket: by the moment of the change, then by its date.
+
+    Times of day are texts that need not be padded; a malformed one counts as oldest.
+    """
+    return [at_time(F.col(date), F.col(time)), F.col(date)]
+
+
 def silver_path(root: str, name: str) -> str:
     return f"{root}/silver/{name}"
 
@@ -50,11 +59,12 @@ def _together(*loads: Callable[[], None], at_once: int = 4) -> None:
 
 def _merge(
     path: str, schema: T.StructType, updates: DataFrame, keys: Sequence[Key], update_cols,
-    latest_by: Sequence[str] = (), layout: tables.Layout = tables.Layout(),
+    latest_by: Sequence[Column | str] = (), layout: tables.Layout = tables.Layout(),
 ) -> None:
     spark = updates.sparkSession
     tables.ensure_table(spark, path, schema, layout)
-    tables.upsert_table(spark, path, updates, keys, update_cols, latest_by=latest_by)
+    tables.upsert_table(
+        spark, path, updates, keys, update_cols, latest_by=latest_by, keep_newer=bool(latest_by))
 
 
 # --- silver -------------------------------------------------------------------------------------------
@@ -83,14 +93,14 @@ def load_assignees(bronze: DataFrame, root: str, buckets: int = BUCKETS) -> None
 
 
 def load_deployments(
-    bronze: DataFrame, root: str, holidays: DataFrame | Iterable = HOLIDAYS_2025,
+    bronze: DataFrame, root: str, holidays: DataFrame | Iterable,
     buckets: int = BUCKETS, days: int = PERIOD_DAYS,
 ) -> None:
     """Clean, classify and merge a deployment extract."""
     _merge(
         silver_path(root, "MEP_silver"), schemas.DEPLOYMENTS_SILVER,
         clean.clean_deployments(bronze, holidays), schemas.DEPLOYMENT_KEYS, schemas.DEPLOYMENT_UPDATES,
-        ["Mis_a_jour", "Mis_h"], tables.Layout(["Numero"], buckets, "Ouvert", days),
+        latest_at("Mis_a_jour", "Mis_h"), tables.Layout(["Numero"], buckets, "Ouvert", days),
     )
 
 
@@ -98,7 +108,7 @@ def load_requests(bronze: DataFrame, root: str, buckets: int = BUCKETS, days: in
     """Clean, classify and merge a request extract; open requests are left out."""
     _merge(
         silver_path(root, "demandes_silver"), schemas.REQUESTS_SILVER, clean.clean_requests(bronze),
-        schemas.REQUEST_KEYS, schemas.REQUEST_UPDATES, ["Ferme", "Ferme_h"],
+        schemas.REQUEST_KEYS, schemas.REQUEST_UPDATES, latest_at("Ferme", "Ferme_h"),
         tables.Layout(["Numero"], buckets, "Cree", days),
     )
 
@@ -181,12 +191,12 @@ def load_deployment_request_gold(
     _together(
         lambda: _merge(
             gold_path(root, "factMep_gold"), schemas.DEPLOYMENTS_FACT,
-            facts.fact_deployments(deployments, found), ["Numero"], None, ["Mis_a_jour", "Mis_h"],
+            facts.fact_deployments(deployments, found), ["Numero"], None, latest_at("Mis_a_jour", "Mis_h"),
             tables.Layout(["Numero"], buckets, "Ouvert", days),
         ),
         lambda: _merge(
             gold_path(root, "factDemande_gold"), schemas.REQUESTS_FACT,
-            facts.fact_requests(requests, found), ["Numero"], None, ["Ferme", "Ferme_h"],
+            facts.fact_requests(requests, found), ["Numero"], None, latest_at("Ferme", "Ferme_h"),
             tables.Layout(["Numero"], buckets, "Cree", days),
         ),
     )

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +16,7 @@ from ticketlake.operators import clean, dims, facts, metrics, quality
 from ticketlake.operators.keys import max_id
 from ticketlake.operators.upsert import upsert
 from ticketlake.plans import fixtures as fx
-from ticketlake.plans import star
+from ticketlake.plans import jobs, star
 from ticketlake.plans.oracle_views import hours_band_sql, shift_sql, with_views
 from ticketlake.session import scratch_path
 from ticketlake.sources import readers, tables
@@ -92,11 +94,30 @@ def scan_requests(spark, sf):
     return readers.read_csv(spark, extract, schemas.REQUESTS_CSV)
 
 
-@query("scan_path", "SELECT Numero, Affecte FROM v_assignee")
+ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+@query("scan_path", f"SELECT {', '.join(ORDER_COLUMNS)} FROM orders")
 def scan_path(spark, sf):
-    path = scratch_path(spark, "bridge")
-    tables.overwrite_path(fx.assignee(spark, sf), path, tables.Layout(["Numero"], 4))
-    return tables.read_path(spark, path)
+    """A Parquet file by its path alone."""
+    return without_zone(readers.read_path(spark, f"{sf}/orders.parquet")).select(*ORDER_COLUMNS)
+
+
+@query("scan_format", "SELECT Numero, Affecte FROM v_assignee")
+def scan_format(spark, sf):
+    """A folder by an explicit format."""
+    path = scratch_path(spark, "orc")
+    fx.assignee(spark, sf).write.orc(path)
+    return readers.read_path(spark, path, "orc").select("Numero", "Affecte")
+
+
+@query("scan_table", "SELECT Etat, count(*) AS tickets FROM v_incidents GROUP BY Etat")
+def scan_table(spark, sf):
+    """A catalog table: created, filled, read by name and grouped through SQL."""
+    name = f"supervision_{uuid.uuid4().hex}"
+    tables.create_catalog_table(spark, name, schemas.INCIDENTS_SILVER, scratch_path(spark, "catalog"))
+    fx.incidents(spark, sf).select(*schemas.INCIDENTS_SILVER.names).write.insertInto(name)
+    return spark.sql("SELECT Etat, count(*) AS tickets FROM {t} GROUP BY Etat", t=readers.read_table(spark, name))
 
 
 @query("sql_preview", f"SELECT {INCIDENT_COLUMNS} FROM v_incidents ORDER BY Ouvert NULLS FIRST, Numero NULLS FIRST LIMIT 1000")
@@ -503,6 +524,87 @@ def upsert_fact(spark, sf):
         latest_by=["Mis_a_jour"])
 
 
+_STATES = [("9:05:00", "A"), ("10:00:00", "B"), ("ab:cd:ef", "C"), ("25:00:00", "D")]
+_STATES_SQL = "(VALUES ('9:05:00', 'A'), ('10:00:00', 'B'), ('ab:cd:ef', 'C'), ('25:00:00', 'D')) AS s(moment, note)"
+
+
+def _clock_seconds(time: str) -> str:
+    """Second of the day of a well-formed time in SQL, else NULL."""
+    h, m, s = (f"TRY_CAST(string_split({time}, ':')[{i}] AS INTEGER)" for i in (1, 2, 3))
+    return (f"CASE WHEN len(string_split({time}, ':')) = 3 AND {h} BETWEEN 0 AND 23 AND {m} BETWEEN 0 AND 59"
+            f" AND {s} BETWEEN 0 AND 59 THEN {h} * 3600 + {m} * 60 + {s} END")
+
+
+def _in_states(df: DataFrame, time: str, note: str) -> DataFrame:
+    """Every ticket four times: unpadded, later, malformed and out of range, in this text order."""
+    states = F.array(*[F.struct(F.lit(t).alias("at"), F.lit(n).alias("note")) for t, n in _STATES])
+    return df.withColumn("__s", F.explode(states)).withColumns({time: F.col("__s.at"), note: F.col("__s.note")}).drop("__s")
+
+
+def timed_upsert_sql(target: str, updates: str, keys, columns, date: str, time: str) -> str:
+    """Upsert in which the latest state by real time wins, a stored one included."""
+    rest = [c for c in columns if c not in keys]
+
+    def age(side: str) -> str:
+        moment = f"epoch({side}{date}::TIMESTAMP) + {_clock_seconds(side + time)}"
+        return f"coalesce({moment}, -1e18), coalesce({side}{date}, DATE '0001-01-01')"
+
+    order = ", ".join([f"coalesce(epoch({date}::TIMESTAMP) + {_clock_seconds(time)}, -1e18) DESC", f"{date} DESC NULLS LAST"]
+                      + [f"{c} NULLS FIRST" for c in rest])
+    match = " AND ".join(f"t.{k} IS NOT DISTINCT FROM u.{k}" for k in keys)
+    inner = ", ".join([f"t.{c} AS t_{c}" for c in columns] + [f"u.{c} AS u_{c}" for c in columns])
+    picks = ", ".join(f"CASE WHEN newer THEN u_{c} ELSE t_{c} END AS {c}" for c in columns)
+    return f"""SELECT {picks} FROM (SELECT {inner},
+        t.here IS NULL OR (u.here IS NOT NULL AND ({age('u.')}) >= ({age('t.')})) AS newer
+        FROM (SELECT *, 1 AS here FROM {target}) t FULL OUTER JOIN
+        (SELECT *, 1 AS here FROM {updates} QUALIFY row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {order}) = 1) u
+        ON {match})"""
+
+
+def _timed_views(kind: str, date: str, time: str, note: str) -> tuple[str, str]:
+    first, second = _LOAD_VIEWS[kind]
+    return first, f"(SELECT d.* REPLACE (s.moment AS {time}, s.note AS {note}) FROM {second} d CROSS JOIN {_STATES_SQL})"
+
+
+def _dims_view(view: str, second: str) -> str:
+    return f"(SELECT * FROM {view} UNION ALL SELECT * FROM {second})"
+
+
+@query("upsert_timed_deployments", timed_upsert_sql(
+    *_timed_views("deployments", "Mis_a_jour", "Mis_h", "Etat"), schemas.DEPLOYMENT_KEYS,
+    schemas.DEPLOYMENTS_SILVER.names, "Mis_a_jour", "Mis_h"))
+def upsert_timed_deployments(spark, sf):
+    """Silver merge: of unpadded, malformed and stored times the latest real one wins."""
+    first, second = _loads("deployments", spark, sf)
+    return upsert(first, _in_states(second, "Mis_h", "Etat"), schemas.DEPLOYMENT_KEYS,
+                  latest_by=jobs.latest_at("Mis_a_jour", "Mis_h"), keep_newer=True)
+
+
+@query("upsert_fact_deployments", f"""WITH old_fact AS (
+    SELECT {', '.join(facts.DEPLOYMENT_ATTRS)} FROM {_LOAD_VIEWS['deployments'][0]}),
+    new_fact AS (SELECT {', '.join(facts.DEPLOYMENT_ATTRS)} FROM {_timed_views('deployments', 'Mis_a_jour', 'Mis_h', 'Etat')[1]})
+    """ + timed_upsert_sql("old_fact", "new_fact", ["Numero"], facts.DEPLOYMENT_ATTRS, "Mis_a_jour", "Mis_h"))
+def upsert_fact_deployments(spark, sf):
+    """Fact merge by ticket number; the keys follow the row that wins, its attributes are compared."""
+    found = star.stored_dims(spark, sf, *[look.dim for look in facts.DEPLOYMENT_LOOKUPS])
+    first, second = _loads("deployments", spark, sf)
+    later = facts.fact_deployments(_in_states(second, "Mis_h", "Etat"), found)
+    return upsert(facts.fact_deployments(first, found), later, ["Numero"],
+                  latest_by=jobs.latest_at("Mis_a_jour", "Mis_h"), keep_newer=True).select(*facts.DEPLOYMENT_ATTRS)
+
+
+@query("upsert_fact_requests", f"""WITH old_fact AS (
+    SELECT {', '.join(facts.REQUEST_ATTRS)} FROM {_LOAD_VIEWS['requests'][0]}),
+    new_fact AS (SELECT {', '.join(facts.REQUEST_ATTRS)} FROM {_timed_views('requests', 'Ferme', 'Ferme_h', 'Cree_h')[1]})
+    """ + timed_upsert_sql("old_fact", "new_fact", ["Numero"], facts.REQUEST_ATTRS, "Ferme", "Ferme_h"))
+def upsert_fact_requests(spark, sf):
+    found = star.stored_dims(spark, sf, *[look.dim for look in facts.REQUEST_LOOKUPS])
+    first, second = _loads("requests", spark, sf)
+    later = facts.fact_requests(_in_states(second, "Ferme_h", "Cree_h"), found)
+    return upsert(facts.fact_requests(first, found), later, ["Numero"],
+                  latest_by=jobs.latest_at("Ferme", "Ferme_h"), keep_newer=True).select(*facts.REQUEST_ATTRS)
+
+
 @query("upsert_insert_only", "SELECT DISTINCT * FROM v_shift")
 def upsert_insert_only(spark, sf):
     rows = fx.shift(spark, sf)
@@ -557,6 +659,66 @@ REQUEST_FACT_SQL = _typed_fact_sql("v_request", facts.REQUEST_ATTRS, [
 add("fact_deployments", lambda s, sf: star.deployment_star(s, sf)[0], DEPLOY_FACT_SQL)
 add("fact_requests", lambda s, sf: star.request_star(s, sf)[0], REQUEST_FACT_SQL)
 
+# --- end to end -------------------------------------------------------------------------------------------
+def _labelled(fact: DataFrame, lookups, gold) -> DataFrame:
+    """A stored fact with its labels instead of its keys; a NULL key keeps a NULL label."""
+    for i, look in enumerate(lookups):
+        dim = gold(look.dim).select(F.col(look.id_col).alias(f"__id_{i}"), F.col(look.dim_key).alias(f"__label_{i}"))
+        fact = fact.join(dim, F.col(look.id_col) == F.col(f"__id_{i}"), "left").drop(look.id_col, f"__id_{i}")
+    return fact.withColumnsRenamed({f"__label_{i}": look.fact_key for i, look in enumerate(lookups)})
+
+
+_INCIDENT_RESULT = ["Numero", "Ouvert", "Mis_a_jour", *[look.fact_key for look in facts.INCIDENT_LOOKUPS]]
+
+
+@query("pipeline_incidents", f"""SELECT {', '.join(_INCIDENT_RESULT)} FROM ({upsert_sql(
+    'v_load1', 'v_load2', schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, schemas.INCIDENTS_CSV.names, ['Mis_a_jour'])})
+    QUALIFY row_number() OVER (PARTITION BY Numero ORDER BY Mis_a_jour DESC) = 1""")
+def pipeline_incidents(spark, sf):
+    """Two CSV extracts through silver into the stored gold fact, read back with its labels."""
+    root = scratch_path(spark, "lake")
+    for load in fx.incident_loads(spark, sf):
+        jobs.load_incidents(readers.read_csv(spark, as_csv(load), schemas.INCIDENTS_CSV), root, buckets=4, days=400)
+        jobs.load_incident_gold(spark, root, fx.group_types(spark), buckets=4, days=400)
+    fact = jobs.gold(spark, root, "factSupervision_gold")
+    return without_zone(_labelled(fact, facts.INCIDENT_LOOKUPS, partial(jobs.gold, spark, root)).select(*_INCIDENT_RESULT))
+
+
+def _ticket_lake(spark, sf) -> str:
+    """Two extracts of deployments and requests through silver into both facts; the second closes tickets."""
+    root = scratch_path(spark, "lake")
+    deployments = fx.events_split(fx.deployments_raw(spark, sf), F.substring("Numero", 4, 18).cast("bigint"))
+    requests = fx.events_split(fx.requests_raw(spark, sf), F.substring("Numero", 5, 18).cast("bigint"))
+    for part in (0, 1):
+        rows = deployments[part].withColumn("Etat", F.lit("Clos")) if part else deployments[part]
+        jobs.load_deployments(
+            readers.read_csv(spark, as_csv(fx.deployments_csv(rows)), schemas.DEPLOYMENTS_CSV), root, fx.HOLIDAYS,
+            buckets=4, days=400)
+        jobs.load_requests(
+            readers.read_csv(spark, as_csv(fx.requests_csv(requests[part])), schemas.REQUESTS_CSV), root, buckets=4, days=400)
+        jobs.load_deployment_request_gold(spark, root, buckets=4, days=400)
+    return root
+
+
+_DEPLOYMENT_RESULT = ["Numero", "Ouvert", "Mis_a_jour", "Etat", "Ovrt_h", "Mis_h",
+                      *[look.fact_key for look in facts.DEPLOYMENT_LOOKUPS]]
+_REQUEST_RESULT = [*facts.REQUEST_ATTRS, *[look.fact_key for look in facts.REQUEST_LOOKUPS]]
+
+
+@query("pipeline_deployments", f"""
+    SELECT {', '.join(_DEPLOYMENT_RESULT)} FROM (SELECT * REPLACE (
+        CASE WHEN substr(Numero, 4)::BIGINT % 10 >= 5 THEN 'Clos' ELSE Etat END AS Etat) FROM v_deploy)""")
+def pipeline_deployments(spark, sf):
+    gold = partial(jobs.gold, spark, _ticket_lake(spark, sf))
+    return _labelled(gold("factMep_gold"), facts.DEPLOYMENT_LOOKUPS, gold).select(*_DEPLOYMENT_RESULT)
+
+
+@query("pipeline_requests", f"SELECT {', '.join(_REQUEST_RESULT)} FROM v_request")
+def pipeline_requests(spark, sf):
+    gold = partial(jobs.gold, spark, _ticket_lake(spark, sf))
+    return _labelled(gold("factDemande_gold"), facts.REQUEST_LOOKUPS, gold).select(*_REQUEST_RESULT)
+
+
 # --- metrics ----------------------------------------------------------------------------------------------
 CLOSED, OPEN = fx.CLOSED_STATES, fx.OPEN_STATES
 _CLOSED_SQL = "Etat IN ('Clos', 'Résolu')"
@@ -593,13 +755,23 @@ add("kpi_team_load",
     _incident_metric(["ID_Groupe_affectation", "ID_Etat"], lambda f, d: metrics.kpi_team_load(f, d, OPEN)), """
     SELECT Groupe_affectation, count(*) AS tickets, count(*) FILTER (Etat = 'En cours') AS open_tickets
     FROM v_incidents GROUP BY ALL""")
-add("kpi_assignee_load",
-    lambda s, sf: metrics.kpi_assignee_load(star.incident_star(s, sf, [])[0], fx.assignee(s, sf)), """
-    SELECT Affecte, count(*) AS tickets FROM v_incidents JOIN v_assignee USING (Numero) GROUP BY ALL""")
+@query("kpi_assignee_load", """
+    SELECT Affecte, count(*) AS tickets FROM v_incidents
+    LEFT JOIN (SELECT DISTINCT * FROM v_assignee WHERE substr(Numero, 4)::BIGINT % 10 < 9) USING (Numero) GROUP BY ALL""")
+def kpi_assignee_load(spark, sf):
+    """A tenth of the tickets have no assignee; extract rows that come twice count once."""
+    number = F.substring("Numero", 4, 18).cast("bigint")
+    assigned = fx.assignee(spark, sf).filter(number % 10 < 9)
+    bridge = quality.dedup(assigned.unionByName(assigned))
+    return metrics.kpi_assignee_load(star.incident_star(spark, sf, [])[0], bridge)
+
+
 add("kpi_trend", _incident_metric(["ID_Etat"], lambda f, d: metrics.kpi_trend(f, d, CLOSED, OPEN)), f"""
-    SELECT date_trunc('month', Ouvert)::DATE AS month, count(*) AS opened,
-           count(*) FILTER ({_CLOSED_SQL}) AS closed, count(*) FILTER (Etat = 'En cours') AS in_progress
-    FROM v_incidents GROUP BY 1""")
+    SELECT month, count(*) FILTER (kind = 'opened') AS opened, count(*) FILTER (kind = 'closed') AS closed,
+           count(*) FILTER (kind = 'opened' AND Etat = 'En cours') AS in_progress
+    FROM (SELECT date_trunc('month', Ouvert)::DATE AS month, 'opened' AS kind, Etat FROM v_incidents
+          UNION ALL SELECT date_trunc('month', Mis_a_jour)::DATE, 'closed', Etat FROM v_incidents WHERE {_CLOSED_SQL})
+    GROUP BY month""")
 
 
 def _type_metric(metric):
@@ -625,10 +797,18 @@ add("kpi_type_trend", _type_metric(metrics.kpi_type_trend), f"""
     SELECT date_trunc('month', opened)::DATE AS month, Type, count(*) AS tickets FROM {_BOTH_SQL} GROUP BY ALL""")
 
 
-@query("kpi_band_load", "SELECT Affecte_a AS Collaborateur, Plages_horaires, count(*) AS tickets FROM v_request GROUP BY ALL")
+@query("kpi_band_load", """
+    SELECT Collaborateur, Plages_horaires, count(*) AS tickets
+    FROM (SELECT Affecte_a AS Collaborateur, Plages_horaires FROM v_request
+          UNION ALL SELECT Ouvert_par, Plages_horaires FROM v_deploy) GROUP BY ALL""")
 def kpi_band_load(spark, sf):
-    fact, found = star.request_star(spark, sf, ["ID_Collaborateur", "ID_Plage_Horaires"])
-    return metrics.kpi_band_load(fact, found["collaborateur_d"], found["plage_horaires_d"])
+    """Requests by shift and deployments by working hours."""
+    ids = ["ID_Collaborateur", "ID_Plage_Horaires"]
+    requests, of_requests = star.request_star(spark, sf, ids)
+    deployments, of_deployments = star.deployment_star(spark, sf, ids)
+    return metrics.kpi_band_load(
+        (requests, of_requests["collaborateur_d"], of_requests["plage_horaires_d"]),
+        (deployments, of_deployments["collaborateur"], of_deployments["plage_horaires"]))
 
 
 @query("kpi_band_share", """
@@ -641,20 +821,28 @@ def kpi_band_share(spark, sf):
 
 @query("kpi_collab_rank", f"""
     SELECT *, row_number() OVER (ORDER BY tickets DESC, mean_hours NULLS FIRST, Collaborateur NULLS FIRST) AS rank
-    FROM (SELECT Affecte_a AS Collaborateur, count(*) AS tickets, {_MEAN_SQL.format(s='Task_Duration')} AS mean_hours
-          FROM v_request GROUP BY Affecte_a)""")
+    FROM (SELECT Collaborateur, count(*) AS tickets, {_MEAN_SQL.format(s='seconds')} AS mean_hours
+          FROM (SELECT Affecte_a AS Collaborateur, Task_Duration AS seconds FROM v_request UNION ALL
+                SELECT Ouvert_par, date_sub('second', {_clock_ts('Ouvert', 'Ovrt_h')}, {_clock_ts('Mis_a_jour', 'Mis_h')})
+                FROM v_deploy) GROUP BY Collaborateur)""")
 def kpi_collab_rank(spark, sf):
-    fact, found = star.request_star(spark, sf, ["ID_Collaborateur"])
-    return metrics.kpi_collab_rank(fact, found["collaborateur_d"], F.col("Task_Duration"))
+    requests, of_requests = star.request_star(spark, sf, ["ID_Collaborateur"])
+    deployments, of_deployments = star.deployment_star(spark, sf, ["ID_Collaborateur"])
+    return metrics.kpi_collab_rank(
+        (requests, of_requests["collaborateur_d"], F.col("Task_Duration")),
+        (deployments, of_deployments["collaborateur"], metrics.deployment_seconds()))
 
 
 @query("kpi_sla", f"""
-    SELECT priority, count(*) AS closed_tickets, count(*) FILTER ({_SECONDS_SQL} <= hours * 3600) AS within_limit,
-           round(count(*) FILTER ({_SECONDS_SQL} <= hours * 3600) / count(*), 4) AS compliance
-    FROM v_incidents JOIN v_sla ON Priorite = priority WHERE {_CLOSED_SQL} GROUP BY priority""")
+    SELECT Priorite AS priority, count(*) AS closed_tickets,
+           count(*) FILTER ({_SECONDS_SQL} <= hours * 3600) AS within_limit,
+           CASE WHEN count(hours) > 0 THEN round(count(*) FILTER ({_SECONDS_SQL} <= hours * 3600) / count(hours), 4) END AS compliance
+    FROM v_incidents LEFT JOIN (SELECT * FROM v_sla WHERE priority <> '5-LOW') ON Priorite = priority
+    WHERE {_CLOSED_SQL} GROUP BY Priorite""")
 def kpi_sla(spark, sf):
+    """One priority has no limit and shows without a share."""
     fact, found = star.incident_star(spark, sf, ["ID_Etat", "ID_Priorite"])
-    return metrics.kpi_sla(fact, found, fx.sla_limits(spark), CLOSED)
+    return metrics.kpi_sla(fact, found, fx.sla_limits(spark).filter("priority <> '5-LOW'"), CLOSED)
 
 
 add("kpi_long_running", lambda s, sf: metrics.kpi_long_running(star.incident_star(s, sf, [])[0], 20), f"""

@@ -32,6 +32,11 @@ def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.read.table(name)
 
 
+def read_path(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """Files of a path, in the given format, with the schema they carry."""
+    return spark.read.format(fmt).load(path)
+
+
 def preview(table: DataFrame, order: list[str], n: int = 1000) -> DataFrame:
     """First `n` rows through SQL, in a stated order so that the answer is always the same."""
     columns = ", ".join(f"`{c}` ASC NULLS FIRST" for c in order)

@@ -32,8 +32,6 @@ from ticketlake.operators.upsert import Key, key_pairs, new_rows, reduce_updates
 from ticketlake.session import scratch_path
 
 BUCKET = "bucket"
-MAX_BUCKETS = 4096
-SMALL_UPDATE_BYTES = 16 << 20  # compressed size up to which updates are sent to every executor
 
 
 class Layout(NamedTuple):
@@ -45,8 +43,8 @@ class Layout(NamedTuple):
     days: int = 30
 
     def checked(self) -> Layout:
-        if not 1 <= self.buckets <= MAX_BUCKETS or self.days < 1:
-            raise ValueError(f"buckets must be between 1 and {MAX_BUCKETS}, days at least 1")
+        if self.buckets < 1 or self.days < 1:
+            raise ValueError("buckets and days must be at least 1")
         return self._replace(keys=list(self.keys))
 
     def renamed(self, mapping: dict[str, str]) -> Layout:
@@ -71,14 +69,6 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def _size(spark: SparkSession, files: Sequence[str]) -> int:
-    """Bytes of some files of one folder."""
-    if not files:
-        return 0
-    fs, folder = _fs(spark, files[0].rsplit("/", 1)[0])
-    return fs.getContentSummary(folder).getLength()
-
-
 def _remove(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)
@@ -218,12 +208,15 @@ def ensure_table(
         _write(spark.createDataFrame([], nullable), path, "full", schema, layout, None, rebalance=False)
 
 
-def create_catalog_table(spark: SparkSession, name: str, schema: T.StructType) -> None:
-    """The same in the session catalog, as a plain Parquet table."""
+def create_catalog_table(
+    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
+) -> None:
+    """The same in the session catalog, as a plain Parquet table; `location` makes it external."""
     columns = ", ".join(
         f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema
     )
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet")
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")
 
 
 def overwrite_path(
@@ -282,17 +275,16 @@ def rename_overwrite(spark: SparkSession, path: str, mapping: dict[str, str]) ->
 
 def upsert_table(
     spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[Key], update_cols=None,
-    insert_cols=None, *, latest_by: Sequence[str] = (), null_safe: bool = True,
-    keep_newer: bool = False, tag: str | None = None, small_update_bytes: int = SMALL_UPDATE_BYTES,
+    insert_cols=None, *, latest_by: Sequence[Column | str] = (), null_safe: bool = True,
+    keep_newer: bool = False, tag: str | None = None,
 ) -> None:
     """Merge updates into a stored table (see `operators.upsert.upsert`).
 
     Updates are reduced to one row per key and staged in the shared scratch folder: they are
     computed once, later steps do not depend on the executors that made them, and their size is
     known. Only the buckets that hold their keys, or will, are read and rewritten; an insert-only
-    merge rewrites nothing and appends. Updates under `small_update_bytes` are broadcast, so that
-    the buckets are rewritten without a shuffle of the target; larger ones take a shuffled full
-    outer join.
+    merge rewrites nothing and appends. The staged updates have one row per key and a size that Spark
+    knows; the buckets are rewritten through one full outer join.
     """
     pairs = key_pairs(keys)
     header, folders = _live(spark, path)
@@ -305,16 +297,15 @@ def upsert_table(
         source = stage.drop(BUCKET)
         touched = _touched(spark, stage, pairs, schema, layout, folders, null_safe)
         target = _read(spark, schema, [f for b in touched for f in folders.get(b, [])])
-        small = _size(spark, stage.inputFiles()) <= small_update_bytes
         if update_cols is not None and not update_cols:
             rows = new_rows(target, source, keys, insert_cols, null_safe=null_safe, reduced=True)
             _write(rows, path, "append", schema, layout, tag)
             return
         rows = upsert(
             target, source, keys, update_cols, insert_cols, latest_by=latest_by, null_safe=null_safe,
-            reduced=True, broadcast_updates=small, keep_newer=keep_newer,
+            reduced=True, keep_newer=keep_newer,
         )
-        _write(rows, path, "merge", schema, layout, tag, replaces=touched, rebalance=not small)
+        _write(rows, path, "merge", schema, layout, tag, replaces=touched)
 
 
 def _source_columns(updates: DataFrame, schema: T.StructType, pairs, insert_cols) -> dict[str, Column]:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -57,30 +59,51 @@ def applied_batch(spark: SparkSession, path: str, checkpoint: str) -> int:
     return int(number) if stream == checkpoint else -1
 
 
-def live_counts(stream: DataFrame, ts: str, width: str, delay: str, by: Sequence[str]) -> DataFrame:
-    """Rows per tumbling window and group. A window is emitted once, when the watermark passes it."""
-    return (
-        stream.withWatermark(ts, delay)
-        .groupBy(F.window(ts, width).alias("w"), *by)
-        .agg(F.count("*").alias("n"))
-        .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
-    )
+def live_counts(
+    stream: DataFrame, path: str, ts: str, width: str, by: Sequence[str], checkpoint: str
+) -> DataStreamWriter:
+    """Keep a stored table of rows per tumbling window and group up to date.
+
+    Each micro-batch adds its counts, so open windows show what has arrived, late rows still count and
+    the result does not depend on how files fall into batches. The table holds `window_start`,
+    `window_end`, the groups and `n`; a batch that is delivered again is not added twice.
+    """
+    keys = ["window_start", "window_end", *by]
 
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        counts = batch.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(
+            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
+        tables.ensure_table(spark, path, counts.schema)
+        if applied_batch(spark, path, checkpoint) >= batch_id:
+            return
+        before = tables.read_path(spark, path).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("n").alias("_n"))
+        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
+        added = counts.join(before, same, "left").select(*keys, (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n"))
+        tables.upsert_table(spark, path, added, keys, tag=f"{checkpoint}#{batch_id}")
 
-def sla_alerts(stream: DataFrame, limits: DataFrame, delay: str) -> DataFrame:
-    """One row per ticket whose age at its update exceeds the limit of its priority.
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
-    `limits` is a static `(priority, hours)` table. Only breaches enter the deduplication state,
-    which forgets a ticket once the watermark is `delay` past its alert.
+
+def sla_alerts(stream: DataFrame, path: str, limits: DataFrame, checkpoint: str) -> DataStreamWriter:
+    """Keep a stored table of alerts: one row per ticket whose age exceeds the limit of its priority.
+
+    `limits` is a static `(priority, hours)` table. A ticket keeps its earliest breach, in whatever
+    order its updates arrive, and never alerts again.
     """
     age = elapsed_seconds(F.col("Ouvert"), F.col("Mis_a_jour"))
-    return (
-        stream.join(limits, F.col("Priorite") == F.col("priority"), "inner")
-        .filter(age > F.col("hours") * 3600)
-        .withWatermark("Mis_a_jour", delay)
-        .dropDuplicatesWithinWatermark(["Numero"])
-        .select("Numero", "Priorite", "hours", "Ouvert", "Mis_a_jour", age.alias("age_seconds"))
-    )
+    earliest = [-F.unix_micros(F.col("Mis_a_jour").cast("timestamp"))]
+
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        late = batch.join(limits, F.col("Priorite") == F.col("priority"), "inner").filter(age > F.col("hours") * 3600)
+        alerts = late.select("Numero", "Priorite", "hours", "Ouvert", "Mis_a_jour", age.alias("age_seconds"))
+        tables.ensure_table(spark, path, alerts.schema, tables.Layout(["Numero"], int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        if applied_batch(spark, path, checkpoint) < batch_id:
+            tables.upsert_table(
+                spark, path, alerts, ["Numero"], latest_by=earliest, keep_newer=True, tag=f"{checkpoint}#{batch_id}")
+
+    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
 def run_available(writer: DataStreamWriter) -> None:
