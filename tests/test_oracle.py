@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from ticketlake.plans.registry import ORACLE, QUERIES
 from compare import compare, connect
 
 
@@ -11,9 +12,9 @@ def con(sf):
     return connect(sf)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_oracle(spark, con, sf, name):
-    assert compare(spark, con, entry.queries()[name], entry.oracle_sql()[name], sf) is None
+    assert compare(spark, con, QUERIES[name], ORACLE[name], sf) is None
 
 
 def test_flagship(spark):

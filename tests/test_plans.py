@@ -1,5 +1,6 @@
 """The physical plans that make the operators hold at scale."""
 
+import bisect
 from contextlib import contextmanager
 
 import pytest
@@ -8,8 +9,8 @@ from pyspark.sql import functions as F
 from ticketlake import schemas
 from ticketlake.functions.bands import shift_band, working_hours_band
 from ticketlake.operators import clean, dims, facts, quality
+from ticketlake.operators.keys import SAMPLES_PER_RANGE, global_row_number
 from ticketlake.operators.latest import latest_per_key
-from ticketlake.operators.upsert import upsert
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans import star
 from ticketlake.plans.queries import QUERIES
@@ -111,11 +112,28 @@ def test_key_assignment_reads_its_source_once_and_gathers_no_labels(spark, sf):
     assert len(keyed) == members.count()
     text = plan(dims.extend_dim(members, None, "lab", "id"))
     # one task only ever sees the take of the sample and one partial list per map task of range sizes
-    assert "TakeOrderedAndProject(limit=255" in text
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert f"TakeOrderedAndProject(limit={ranges * SAMPLES_PER_RANGE}" in text
     assert all("partial_collect_list" in rest[:400] for rest in text.split("Exchange SinglePartition")[1:])
     assert "Join" not in text and "Filter (" not in text
 
 
+@pytest.mark.parametrize("partitions", [5, 40])
+def test_key_ranges_follow_the_partition_setting(spark, partitions):
+    with settings(spark, **{"spark.sql.shuffle.partitions": str(partitions)}):
+        labels = spark.range(30_000).select(F.md5(F.col("id").cast("string")).alias("lab"))
+        keyed = global_row_number(labels, F.col("lab"), "n")
+        assert f"TakeOrderedAndProject(limit={partitions * SAMPLES_PER_RANGE}" in plan(keyed)
+        sample = labels.orderBy(F.md5(F.to_json(F.struct(F.col("lab").alias("__order")))), "lab").limit(partitions * SAMPLES_PER_RANGE)
+        cuts = sorted(r.lab for r in sample.collect())
+        cuts = [cuts[int(i * len(cuts) / partitions)] for i in range(1, partitions)]
+        sizes = [0] * partitions
+        for r in labels.collect():
+            sizes[bisect.bisect_right(cuts, r.lab)] += 1
+        assert max(sizes) < 2 * 30_000 / partitions
+        assert [r.n for r in keyed.orderBy("lab").collect()] == list(range(1, 30_001))
+
+
 def test_filters_and_columns_reach_the_scan(spark, sf):
     dim = dims.distinct_members(fx.table(spark, sf, "orders"), "o_orderpriority")
     assert "ReadSchema: struct<o_orderpriority:string>" in plan(dim)

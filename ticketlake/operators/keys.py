@@ -6,24 +6,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Sampled orders for each range: the largest of very many ranges then stays under twice the mean.
+SAMPLES_PER_RANGE = 64
+
+
 def global_row_number(
-    df: DataFrame, order: Column, name: str = "row_number", buckets: int = 256
+    df: DataFrame, order: Column, name: str = "row_number", buckets: int | None = None
 ) -> DataFrame:
     """Number all rows 1..n by `order`, which must be unique; a NULL order comes first.
 
-    A fixed-size sample (the `buckets - 1` orders with the smallest digests, so always the same for
-    the same rows) cuts the order into ranges. Rows are numbered inside their range, which is one
-    window partition, and shifted by the sizes of the ranges before it. Only the sample and the
-    range sizes, at most `buckets` rows each, ever meet in one place; both come back as scalar
-    subqueries, without a join.
+    A sample (the orders with the smallest digests, so always the same for the same rows) cuts the
+    order into `buckets` ranges, as many as the session has shuffle partitions unless given. Rows are
+    numbered inside their range, which is one window partition, and shifted by the sizes of the
+    ranges before it. Only the sample, `SAMPLES_PER_RANGE` rows for each range, and the range sizes
+    ever meet in one place; both come back as scalar subqueries, without a join.
     """
+    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     keyed = df.withColumn("__order", order)
     # The three uses of `keyed` stay free of filters of their own, so that they share one shuffle:
     # collect_list drops a sampled NULL, and the range is never NULL.
     sample = keyed.select("__order").orderBy(
         F.md5(F.to_json(F.struct("__order"))).asc_nulls_first(), "__order"
-    ).limit(buckets - 1)
-    cuts = sample.agg(F.sort_array(F.collect_list("__order"))).scalar()
+    ).limit(buckets * SAMPLES_PER_RANGE)
+    cuts = sample.agg(F.sort_array(F.collect_list("__order")).alias("s")).select(_every(F.col("s"), buckets)).scalar()
     ranged = (
         keyed.withColumn("__cuts", cuts)
         .withColumn("__range", _cuts_up_to(F.col("__order"), F.col("__cuts"), buckets))
@@ -35,6 +40,13 @@ def global_row_number(
     return ranged.withColumn(name, start + F.row_number().over(inside)).drop("__range", "__order")
 
 
+def _every(sample: Column, ranges: int) -> Column:
+    """The `ranges - 1` values that cut an ascending array into equal parts; all of a short one."""
+    places = F.sequence(F.lit(1), F.lit(ranges - 1))
+    even = F.transform(places, lambda i: F.get(sample, F.floor(i * F.size(sample) / ranges).cast("int")))
+    return F.when(F.size(sample) < ranges, sample).otherwise(even)
+
+
 def _rows_before(sizes: DataFrame, ranges: int) -> DataFrame:
     """One array: for every range the number of rows in the ranges before it."""
     def before(position: Column) -> Column:
