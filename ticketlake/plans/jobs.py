@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 
 from ticketlake import schemas
 from ticketlake.functions.times import at_time
-from ticketlake.operators import clean, dims, facts, quality
+from ticketlake.operators import clean, dims, facts
 from ticketlake.operators.upsert import Key
 from ticketlake.plans import star
 from ticketlake.sources import tables
@@ -78,10 +78,8 @@ def load_incidents(bronze: DataFrame, root: str, buckets: int = BUCKETS, days: i
 
 
 def load_shift(bronze: DataFrame, root: str) -> None:
-    """Shift reference table: insert what is new, then rewrite it without copies."""
-    path, keys = silver_path(root, "Dim_Shift"), ["Ouvert", "Plage_horaire"]
-    _merge(path, schemas.SHIFT_SILVER, bronze, keys, [])
-    tables.overwrite_path(quality.dedup(tables.read_path(bronze.sparkSession, path)), path)
+    """Shift reference table: insert what is new, once; nothing stored is rewritten."""
+    _merge(silver_path(root, "Dim_Shift"), schemas.SHIFT_SILVER, bronze, ["Ouvert", "Plage_horaire"], [])
 
 
 def load_assignees(bronze: DataFrame, root: str, buckets: int = BUCKETS) -> None:
@@ -143,11 +141,15 @@ def refresh_type_dim(sources: Sequence[DataFrame], root: str) -> None:
 
 
 def refresh_date_dim(source: DataFrame, root: str, spec: star.DateDim) -> None:
-    """Insert new dates and refresh the parts of known ones."""
+    """Insert new dates. A timestamp fixes its parts, so known ones stay as they are; a date with a
+    time of day beside it takes an earlier time than the one it has."""
     schema = schemas.date_dim_schema(spec.date, source.schema[spec.date].dataType)
-    _merge(
-        gold_path(root, spec.name), schema, star.date_dim(source, spec), [spec.date], schemas.DATE_PARTS,
-    )
+    path, members = gold_path(root, spec.name), star.date_dim(source, spec)
+    if spec.time is None:
+        _merge(path, schema, members, [spec.date], [])
+    else:
+        earliest = -(F.col("Heure") * 3600 + F.col("Minute") * 60 + F.col("Seconde"))
+        _merge(path, schema, members, [spec.date], schemas.DATE_PARTS, [earliest])
 
 
 def _dim_loads(source: DataFrame, root: str, dates, values) -> list[Callable[[], None]]:
@@ -175,10 +177,15 @@ def load_incident_gold(
 
 
 def load_deployment_request_gold(
-    spark: SparkSession, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS
+    spark: SparkSession, root: str, changed_deployments: DataFrame | None = None,
+    changed_requests: DataFrame | None = None, buckets: int = BUCKETS, days: int = PERIOD_DAYS,
 ) -> None:
-    """Deployment and request dimensions, the shared type dimension, then both facts."""
-    deployments, requests = silver(spark, root, "MEP_silver"), silver(spark, root, "demandes_silver")
+    """Deployment and request dimensions, the shared type dimension, then both facts.
+
+    The changed rows, cleaned as silver has them, limit the load to what is new since the last one.
+    """
+    deployments = silver(spark, root, "MEP_silver") if changed_deployments is None else changed_deployments
+    requests = silver(spark, root, "demandes_silver") if changed_requests is None else changed_requests
     _together(
         *_dim_loads(deployments, root, star.DEPLOYMENT_DATES, star.DEPLOYMENT_DIMS),
         *_dim_loads(requests, root, star.REQUEST_DATES, star.REQUEST_DIMS),
