@@ -13,12 +13,10 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlake.llm import words as W
-from ticketlake.llm.bpe import Memo
 from ticketlake.llm.common import staged
 
 #: Pieces that are ranked together, about; a frequent length is dealt to several such groups.
@@ -35,9 +33,6 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in own else chr(next(others)) for b in range(256)]
 
 
-# Fixed value: what the vocabulary's file splits words by.
-WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
 
 class Tokens:
     """Ids of one tokenizer file, word by word: its words never reach across white space."""
@@ -47,31 +42,48 @@ class Tokens:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.letters = byte_letters()
-        self.parts = regex.compile(WORD_PARTS).findall
-        self.plain = regex.compile(r"[\x21-\x3b\x3d-\x7eß-öø-ÿÀ-ÖØ-Þ]*").fullmatch
-        self.part = Memo(self.part_ids)
-        self.word = Memo(self.word_ids)
+        self.parts, self.words = W.IdLists(self.part_ids), W.IdLists(self.word_ids)
 
     def part_ids(self, part: str) -> list[int]:
-        return [t.id for t in self.tokenizer.model.tokenize("".join([self.letters[b] for b in part.encode()]))]
-
-    def word_ids(self, word: str) -> np.ndarray:
-        if not self.plain(word):  # other scripts, and `<` of special tokens: all steps of the tokenizer
-            return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype=np.uint32)
-        ids: list[int] = []
-        for part in self.parts(word.lower()):
-            ids.extend(self.part[part])
-        return np.array(ids, dtype=np.uint32)
+        """Ids of a lower-case stretch of letters, a digit or a stretch of other characters."""
+        if not part.isascii():
+            part = "".join([self.letters[b] for b in part.encode()])
+        return [t.id for t in self.tokenizer.model.tokenize(part)]
+
+    def word_ids(self, word: str) -> list[int]:
+        """Ids of a word by all steps of the tokenizer."""
+        return self.tokenizer.encode(word, add_special_tokens=False).ids
+
+    def vocab_ids(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct words, and where each word's ids start and how many they are.
+
+        The vocabulary's file splits words into stretches of letters, single digits and stretches of
+        signs, but for endings after an apostrophe. Words of Latin-1 letters, digits and signs are
+        cut here; those with an apostrophe or with `<` (of special tokens) and all others go through
+        the tokenizer.
+        """
+        plain = pc.match_substring_regex(vocab, W.PLAIN_WORD)
+        found = W.letter_parts(pc.utf8_lower(vocab.filter(plain)), single_digits=True)
+        part_ids, part_at, part_n = self.parts.find(found.vocab.to_pylist())
+        word_ids, word_at, word_n = self.words.find(vocab.filter(pc.invert(plain)).to_pylist())
+        ids = np.concatenate([part_ids[W.take_lists(part_at, part_n, found.codes)], word_ids])
+        sizes = W.per_text(part_n[found.codes], found.offsets)
+        plain = plain.to_numpy(zero_copy_only=False)
+        starts, lengths = np.zeros(len(vocab), np.int64), np.zeros(len(vocab), np.int64)
+        starts[plain], lengths[plain] = np.cumsum(sizes) - sizes, sizes
+        starts[~plain], lengths[~plain] = word_at + sizes.sum(), word_n
+        return ids, starts, lengths
 
     def encode(self, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, each followed by `end`, and where each text's ids start (and the end)."""
         found = W.split_words(texts)
-        lists = [self.word[x] for x in found.vocab.to_pylist()] + [np.array([end], dtype=np.uint32)]
-        lengths = np.array([len(x) for x in lists], dtype=np.int64)
-        codes = np.insert(found.codes.astype(np.int64), found.offsets[1:], len(lists) - 1)
+        ids, starts, lengths = self.vocab_ids(found.vocab)
+        ids = np.append(ids, np.uint32(end))
+        starts, lengths = np.append(starts, len(ids) - 1), np.append(lengths, 1)
+        codes = np.insert(found.codes, found.offsets[1:], len(starts) - 1)
         offsets = found.offsets + np.arange(len(found.offsets))
-        ids = np.concatenate(lists)[W.take_lists(np.cumsum(lengths) - lengths, lengths, codes)]
-        return ids, np.concatenate([[0], np.cumsum(W.per_text(lengths[codes], offsets))])
+        return ids[W.take_lists(starts, lengths, codes)], np.concatenate(
+            [[0], np.cumsum(W.per_text(lengths[codes], offsets))])
 
 
 @lru_cache(maxsize=2)
