@@ -12,6 +12,7 @@ import base64
 import heapq
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -23,11 +24,11 @@ from pyspark.sql import functions as F
 
 from ticketlake.llm import words as W
 
-#: Remembered stretches of text; twice as many at most are kept.
-MEMO_ENTRIES = 200_000
 #: White space before a space: such a text is not cut at its spaces.
 SPACE_BEFORE_SPACE = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] "
 
+# Fixed value: the pattern that byte-level vocabularies commonly use.
+COMMON_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 class PerfectHash:
     """Minimal perfect hash from byte strings to 0..n-1, by levels of collision-free slots.
@@ -62,24 +63,6 @@ class PerfectHash:
         return -1
 
 
-class Memo(dict):
-    """Results by text in bounded memory: of two generations, the older one is dropped when full."""
-
-    def __init__(self, compute):
-        super().__init__()
-        self.compute, self.older = compute, {}
-
-    def __missing__(self, key):
-        value = self.older.get(key)
-        if value is None:
-            value = self.compute(key)
-        if len(self) >= MEMO_ENTRIES:
-            self.older = dict(self)
-            self.clear()
-        self[key] = value
-        return value
-
-
 class Codec:
     """Encoder and decoder of one rank file, whose lines are base64 tokens and ids."""
 
@@ -91,7 +74,9 @@ class Codec:
         self.tokens = {rank: token for token, rank in self.ranks.items()}
         self.find_all = regex.compile(pattern).findall
         self.find_iter = regex.compile(pattern).finditer
-        self.memo = Memo(self.stretch)
+        self.common = pattern == COMMON_PATTERN
+        self.memo = W.IdLists(self.stretch)
+        self.pieces = W.IdLists(lambda piece: self.pre_token(piece.encode()))
 
     def pre_token(self, piece: bytes) -> list[int]:
         number = self.hash.find(piece)
@@ -99,49 +84,60 @@ class Codec:
 
     def merged(self, piece: bytes) -> list[int]:
         """Ids after merging byte pairs, lowest rank first, the leftmost of equal ranks first."""
-        n, ranks = len(piece), self.ranks
+        n, rank_of = len(piece), self.ranks.get
         after, before, ends = list(range(1, n + 1)), list(range(-1, n - 1)), list(range(1, n + 1))
-        heap = []
-        for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2])
-            if rank is not None:
-                heap.append((rank, i, i + 2))
+        heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := rank_of(piece[i:i + 2])) is not None]
         heapq.heapify(heap)
-        alive = [True] * n
         while heap:
             _, i, end = heapq.heappop(heap)
-            j = after[i] if alive[i] else n
-            if j >= n or ends[j] != end:
+            j = after[i]
+            if j >= n or ends[j] != end or ends[i] != j:
                 continue  # one of the two has been merged meanwhile
-            alive[j], ends[i], after[i] = False, end, after[j]
-            if after[j] < n:
-                before[after[j]] = i
-                rank = ranks.get(piece[i:ends[after[i]]])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, i, ends[after[i]]))
-            if before[i] >= 0:
-                rank = ranks.get(piece[before[i]:end])
-                if rank is not None:
-                    heapq.heappush(heap, (rank, before[i], end))
+            k = after[j]
+            ends[i], ends[j], after[i] = end, -1, k
+            if k < n:
+                before[k] = i
+                if (rank := rank_of(piece[i:ends[k]])) is not None:
+                    heapq.heappush(heap, (rank, i, ends[k]))
+            h = before[i]
+            if h >= 0 and (rank := rank_of(piece[h:end])) is not None:
+                heapq.heappush(heap, (rank, h, end))
+        ranks = self.ranks
         out, i = [], 0
         while i < n:
             out.append(ranks[piece[i:ends[i]]])
             i = after[i]
         return out
 
-    def stretch(self, text: str) -> np.ndarray:
+    def stretch(self, text: str) -> list[int]:
         """Ids of a stretch of text, pre-token by pre-token."""
         ids: list[int] = []
         for piece in self.find_all(text):
             ids.extend(self.pre_token(piece.encode()))
-        return np.array(ids, dtype=np.int32)
+        return ids
 
     def whole(self, text: str) -> np.ndarray:
         """Ids of a text that is not cut at its spaces."""
-        ids: list[int] = []
-        for found in self.find_iter(text):
-            ids.extend(self.memo[found.group()].tolist())
-        return np.array(ids, dtype=np.int32)
+        parts = [np.zeros(0, np.uint32)]
+        found = self.find_iter(text)
+        while pieces := [m.group() for m in islice(found, 100_000)]:
+            ids, starts, lengths = self.memo.find(pieces)
+            parts.append(ids[W.take_lists(starts, lengths, np.arange(len(pieces)))])
+        return np.concatenate(parts)
+
+    def stretches(self, vocab: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of distinct stretches, and where the ids of each start and how many they are."""
+        plain = pc.and_(pc.match_substring_regex(vocab, W.PLAIN_WORD), self.common)
+        found = W.letter_parts(vocab.filter(plain), single_digits=False)
+        part_ids, part_at, part_n = self.pieces.find(found.vocab.to_pylist())
+        rest_ids, rest_at, rest_n = self.memo.find(vocab.filter(pc.invert(plain)).to_pylist())
+        ids = np.concatenate([part_ids[W.take_lists(part_at, part_n, found.codes)], rest_ids])
+        sizes = W.per_text(part_n[found.codes], found.offsets)
+        plain = plain.to_numpy(zero_copy_only=False)
+        starts, lengths = np.zeros(len(vocab), np.int64), np.zeros(len(vocab), np.int64)
+        starts[plain], lengths[plain] = np.cumsum(sizes) - sizes, sizes
+        starts[~plain], lengths[~plain] = rest_at + sizes.sum(), rest_n
+        return ids, starts, lengths
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and where each text's ids start (and the end).
@@ -156,12 +152,10 @@ class Codec:
         spaced = pc.if_else(pa.array(first), values, pc.binary_join_element_wise(
             pa.scalar(" ", values.type), values, pa.scalar("", values.type)))
         found = W.coded(offsets, spaced)
-        lists = [self.memo[x] for x in found.vocab.to_pylist()]
-        flat = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-        lengths = np.array([len(x) for x in lists], dtype=np.int64)
-        ids = flat[W.take_lists(np.cumsum(lengths) - lengths, lengths, found.codes)] if lists else flat
+        ids, starts, lengths = self.stretches(found.vocab)
+        ids = ids[W.take_lists(starts, lengths, found.codes)]
         sizes = np.zeros(len(texts), dtype=np.int64)
-        sizes[plain] = W.per_text(lengths[found.codes], found.offsets) if lists else 0
+        sizes[plain] = W.per_text(lengths[found.codes], found.offsets)
         if plain.all():
             return ids, np.concatenate([[0], np.cumsum(sizes)])
         ends = np.concatenate([[0], np.cumsum(sizes)])
