@@ -114,7 +114,22 @@ def op10_quality(spark, sf):
     return scored.select("doc_id", "held_out", "score", F.when(F.col("score") >= GOOD, 1).otherwise(0).alias("predicted"))
 
 
-@query("op7_near_dup")
+@query("op7_near_dup", r"""
+    WITH RECURSIVE w AS (SELECT doc_id, [x for x in string_split_regex(translate(coalesce(text, ''),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') if x <> ''] AS words
+        FROM documents),
+    s AS (SELECT DISTINCT doc_id, unnest(CASE
+            WHEN len(words) >= 4 THEN [array_to_string(words[i:i + 3], ' ') for i in range(1, len(words) - 2)]
+            WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w),
+    n AS (SELECT doc_id, count(*) AS size FROM s GROUP BY doc_id),
+    c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+        GROUP BY 1, 2),
+    l AS (SELECT a, b FROM c JOIN n x ON a = x.doc_id JOIN n y ON b = y.doc_id WHERE 100 * shared >= 80 * (x.size + y.size - shared)),
+    e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(doc_id, other) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+    m AS (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id)
+    SELECT doc_id, coalesce(size, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+    FROM documents LEFT JOIN n USING (doc_id) JOIN m USING (doc_id)""")
 def op7_near_dup(spark, sf):
     return near_dup.near_duplicates(table(spark, sf, "documents"), size=4, percent=80)
 
