@@ -29,8 +29,8 @@ REGISTERS, BAND = 160, 5
 BASE, RATE, TOP = 1.001, 20.0, (1 << 16) - 2
 #: How far a pair may be estimated below the threshold and still be compared, over 4 deviations.
 MARGIN = 0.15
-#: Members of a bucket that are compared with each other at a time.
-BLOCK = 64, 1024
+#: Buckets up to the first size are joined with themselves; larger ones are cut into blocks of the second.
+BLOCK = 64, 256
 SKETCH = "struct<n:long,digest:binary,registers:binary>"
 
 
@@ -144,8 +144,13 @@ def estimate(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray) ->
     return (low + high) / 2
 
 
+def likely(share: np.ndarray, more: np.ndarray, fewer: np.ndarray, same: np.ndarray, least: float) -> np.ndarray:
+    """Whether the estimate is at least `least`: where the likelihood, which has one top, still rises."""
+    return rises(share, least, more, fewer, same) >= 0
+
+
 def near(percent: int):
-    """Column function: may two classes be similar enough, by sizes and estimate."""
+    """Column function: the estimate for two classes, -1 where sizes alone tell them apart."""
     @F.arrow_udf("double")
     def of(n_a: pa.Array, n_b: pa.Array, a: pa.Array, b: pa.Array) -> pa.Array:
         sizes = n_a.to_numpy(zero_copy_only=False), n_b.to_numpy(zero_copy_only=False)
@@ -159,19 +164,38 @@ def near(percent: int):
     return column
 
 
-def block_pairs(left: pd.DataFrame, right: pd.DataFrame | None, percent: int) -> pd.DataFrame:
-    """Pairs of different components in two blocks of a bucket that sizes and estimate let pass."""
+def block_links(left: pd.DataFrame, right: pd.DataFrame | None, size: int, percent: int) -> pd.DataFrame:
+    """Links between different components within a block, or between two, of one bucket.
+
+    Pairs that sizes and estimate let pass are compared by their full sets. Pairs that share an earlier
+    bucket are left to it, and those that a link found here joins already need no test, so a block
+    returns fewer links than it has rows.
+    """
     other = left if right is None else right
+    band = left["band"].iloc[0]
     a, b = (np.frombuffer(b"".join(x["registers"]), np.uint16).reshape(-1, REGISTERS) for x in (left, other))
     n_a, n_b = left["n"].to_numpy(), other["n"].to_numpy()
+    own, root = left["component"].to_numpy().copy(), other["component"].to_numpy().copy()
+    sets_a = [frozenset(x.tolist()) for x in shingle_sets(pa.array(left["text"]), size)]
+    sets_b = sets_a if right is None else [frozenset(x.tolist()) for x in shingle_sets(pa.array(other["text"]), size)]
     out = []
     for i in range(len(left)):
         at = np.arange(i + 1 if right is None else 0, len(other))
-        fits = np.minimum(n_a[i], n_b[at]) * 100 >= np.maximum(n_a[i], n_b[at]) * percent
-        at = at[fits & (other["component"].to_numpy()[at] != left["component"].iloc[i])]
-        if len(at):
-            guess = estimate(np.full(len(at), n_a[i]), n_b[at], np.broadcast_to(a[i], (len(at), REGISTERS)), b[at])
-            out += [(left["node"].iloc[i], other["node"].iloc[j]) for j in at[guess >= percent / 100 - MARGIN]]
+        at = at[(np.minimum(n_a[i], n_b[at]) * 100 >= np.maximum(n_a[i], n_b[at]) * percent) & (root[at] != own[i])]
+        same = a[i] == b[at]
+        here = same.reshape(len(at), REGISTERS // BAND, BAND).all(axis=2).argmax(axis=1) == band
+        at, same = at[here], same[here].sum(axis=1)
+        more = (a[i] > b[at]).sum(axis=1)
+        passed = likely(n_a[i] / (n_a[i] + n_b[at]), more, REGISTERS - same - more, same, percent / 100 - MARGIN)
+        for j in at[passed]:
+            if root[j] == own[i]:
+                continue
+            common = len(sets_a[i] & sets_b[j])
+            if 100 * common >= percent * (n_a[i] + n_b[j] - common):
+                out.append((left["node"].iloc[i], other["node"].iloc[j]))
+                old = root[j]
+                own[own == old] = own[i]
+                root[root == old] = own[i]
     pairs = np.array(out, dtype=np.int64).reshape(-1, 2)
     return pd.DataFrame({"a": pairs.min(axis=1), "b": pairs.max(axis=1)})
 
@@ -189,47 +213,50 @@ def hub_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     return best.select(F.col("best.hub").alias("a"), F.col("node").alias("b"))
 
 
-def open_pairs(members: DataFrame, classes: DataFrame, linked: DataFrame, percent: int) -> DataFrame:
-    """All pairs of different components within buckets that sizes and estimate let pass.
-
-    Small buckets are joined with themselves. Larger ones are cut into blocks, and each pair of
-    blocks is compared in one group of bounded size, which returns only what passes.
-    """
-    known = linked.select("node", "component")
-    rows = members.join(known, "node", "left").select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed = rows.groupBy("key").agg(
+def open_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
+    """Members of the buckets that still hold several components, with component and bucket size."""
+    rows = members.join(linked, "node", "left").select(
+        "key", "band", "node", F.coalesce("component", "node").alias("component"))
+    several = rows.groupBy("key").agg(
         F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
-    rows = staged(rows.join(mixed.filter("least <> most").select("key", "size"), "key"), "open")
-    small, block = BLOCK
-    few = rows.filter(F.col("size") <= small)
+    return rows.join(several.filter("least <> most").select("key", "size"), "key")
+
+
+def small_bucket_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components in small buckets that sizes and estimate let pass."""
+    few = rows.filter(F.col("size") <= BLOCK[0])
     joined = (
         few.alias("x").join(few.alias("y"), "key")
         .filter((F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")))
         .select(F.col("x.node").alias("node"), F.col("y.node").alias("hub")).distinct()
     )
-    thinned = (
+    return (
         joined.join(classes.alias("a"), F.col("a.node") == joined["node"]).drop(F.col("a.node"))
         .join(classes.alias("b"), F.col("b.node") == F.col("hub")).drop(F.col("b.node"))
         .select(F.col("node").alias("a"), F.col("hub").alias("b"), near(percent)("a", "b").alias("guess"))
         .filter(F.col("guess") >= percent / 100 - MARGIN).select("a", "b")
     )
-    blocks = F.ceil(F.col("size") / block).cast("int")
+
+
+def large_bucket_links(rows: DataFrame, classes: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links between components in large buckets. Each pair of blocks meets in one group of bounded size."""
+    blocks = F.ceil(F.col("size") / BLOCK[1]).cast("int")
     many = (
-        rows.filter(F.col("size") > small).join(classes.select("node", "n", "registers"), "node")
+        rows.filter(F.col("size") > BLOCK[0]).join(classes, "node").join(texts, "node")
         .withColumn("own", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("lo", F.least("own", "with")).withColumn("hi", F.greatest("own", "with"))
-        .select("key", "lo", "hi", "own", "node", "component", "n", "registers")
+        .select("key", "lo", "hi", "own", "band", "node", "component", "n", "registers", "text")
     )
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         lo, hi = group["lo"].iloc[0], group["hi"].iloc[0]
-        if lo == hi:
-            return block_pairs(group, None, percent)
-        return block_pairs(group[group["own"] == lo], group[group["own"] == hi], percent)
+        left, right = group[group["own"] == lo], group[group["own"] == hi] if lo != hi else None
+        if left.empty or right is not None and right.empty:
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        return block_links(left, right, size, percent)
 
-    compared = many.groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long")
-    return thinned.union(compared).distinct()
+    return many.groupBy("key", "lo", "hi").applyInPandas(compare, "a long, b long")
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -261,8 +288,9 @@ def near_duplicates(
     1. Row-local sketches, written once. Equal sets become one class, reduced before the shuffle.
     2. Buckets of band keys. Each class is compared with the most similar first member of its
        buckets: one pair for each class, however large the bucket.
-    3. Buckets that still hold several components: all pairs across components, thinned by the
-       estimate where they are made. Pairs inside a component need no test, so nothing is capped.
+    3. Buckets that still hold several components: all pairs across components, thinned by sizes and
+       the estimate. Small buckets are joined with themselves; large ones are compared in blocks that
+       return links only. Pairs inside a component need no test, so nothing is capped.
     4. Components of all confirmed links.
     """
     base = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
@@ -272,14 +300,15 @@ def near_duplicates(
             F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("registers").alias("registers"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     short = classes.select("node", "n", "registers")
-    keys = classes.select("node", F.explode(bucket_keys("registers")).alias("key"))
+    keys = classes.select("node", F.posexplode(bucket_keys("registers")).alias("band", "key"))
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last")
     members = staged(keys.join(hubs.select("key", "hub"), "key"), "members")
     wanted = members.select("node").distinct().join(classes, "node").select("node", "digest", "first_id")
     texts = staged(class_texts(base, rows, wanted), "texts")
     first = staged(confirmed(hub_pairs(members, short, percent), texts, size, percent), "links")
-    second = confirmed(open_pairs(members, short, components(first), percent), texts, size, percent)
-    linked = components(first.union(second))
+    rest = staged(open_buckets(members, components(first)), "open")
+    small = confirmed(small_bucket_pairs(rest, short, percent), texts, size, percent)
+    linked = components(first.union(small).union(large_bucket_links(rest, short, texts, size, percent)))
     known = (
         classes.select("digest", "node", "first_id").join(linked, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
