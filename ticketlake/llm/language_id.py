@@ -29,7 +29,7 @@ SWITCH, WRONG_SCRIPT = 12.0, 20.0
 #: Share of a language's letters from which on it uses a script.
 SCRIPT_SHARE = 0.01
 #: Words whose best paths are found together, about.
-PATH_WORDS = 1 << 20
+PATH_WORDS = 1 << 19
 UNDETERMINED = "und"
 RESULT = ("struct<lang:string,score:double,spans:array<struct<first_word:int,last_word:int,lang:string,letters:int>>>")
 
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, text: str = "text", la
             of = np.array(batch.column("lang").to_pylist(), dtype=object)
             for name in sorted(set(of.tolist())):
                 total = np.zeros(BUCKETS + len(SCRIPT_NAMES), dtype=np.int64)
-                for chunk in W.text_chunks(batch.column("text").filter(pa.array(of == name))):
+                for chunk in W.text_chunks(batch.column("text").filter(pa.array(of == name)), W.NGRAM_CHUNK_BYTES):
                     found, bucket, offsets, _, by_script = lettered(chunk)
                     times = np.bincount(found.codes, minlength=len(found.vocab))
                     total[:BUCKETS] += np.bincount(
@@ -218,7 +218,7 @@ def identify_texts(texts: pa.Array, model: Model) -> list[dict]:
             out[i] = result
         pending.clear()
 
-    for chunk in W.text_chunks(texts) if model.langs else []:
+    for chunk in W.text_chunks(texts, W.NGRAM_CHUNK_BYTES) if model.langs else []:
         found, of_word, letters, readable = word_scores(chunk, model)
         scores, weight = of_word[found.codes], letters[found.codes]
         counted = np.where(readable[found.codes], weight, 0)

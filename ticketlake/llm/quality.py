@@ -84,7 +84,7 @@ def train(
     if len(set(target.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 3.0 * (2 * int(target[0]) - 1) if len(target) else 0.0)
     ids, shares, offsets = [], [], [0]
-    for chunk in W.text_chunks(pa.array([t for t, _ in rows], pa.string())):
+    for chunk in W.text_chunks(pa.array([t for t, _ in rows], pa.string()), W.NGRAM_CHUNK_BYTES):
         bucket, starts, found = features(chunk)
         lengths = np.diff(starts)
         pairs, pair_at = word_pairs(found)
@@ -137,7 +137,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -
 def scores(texts: pa.Array, model: Model) -> np.ndarray:
     """Probability of label 1 of each text; null counts as empty, empty texts have the bias alone."""
     out = []
-    for chunk in W.text_chunks(texts):
+    for chunk in W.text_chunks(texts, W.NGRAM_CHUNK_BYTES):
         bucket, starts, found = features(chunk)
         pairs, pair_at = word_pairs(found)
         words = W.per_text(W.per_text(model.feature[bucket], starts)[found.codes], found.offsets)

@@ -11,9 +11,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Results that are remembered between chunks, about.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES = 200_000
 #: Bytes of text that are taken apart at a time, at least one document; bounds a worker's memory.
 CHUNK_BYTES = 4 << 20
+#: The same where every distinct word is taken apart into its n-grams.
+NGRAM_CHUNK_BYTES = 1 << 20
 
 
 @dataclass
@@ -29,15 +31,16 @@ class Words:
         return np.diff(self.offsets)
 
 
-def text_chunks(texts: pa.Array) -> Iterator[pa.Array]:
-    """Consecutive slices of a text column of about `CHUNK_BYTES`; null becomes the empty text."""
+def text_chunks(texts: pa.Array, size: int = CHUNK_BYTES) -> Iterator[pa.Array]:
+    """Consecutive slices of a text column of about `size` bytes; null becomes the empty text."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False))
     start = 0
     while start < len(texts):
         base = ends[start - 1] if start else 0
-        stop = max(start + 1, int(np.searchsorted(ends, base + CHUNK_BYTES, side="right")))
+        stop = max(start + 1, int(np.searchsorted(ends, base + size, side="right")))
         yield texts.slice(start, stop - start)
+        pa.default_memory_pool().release_unused()  # what the last chunk needed
         start = stop
 
 
