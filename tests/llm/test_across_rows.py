@@ -172,3 +172,16 @@ def test_lm_scores_equal_plain_counting(spark, monkeypatch):
     assert [x[:2] for x in found] == [x[:2] for x in expected]
     assert all(abs(a[2] - b[2]) < 2e-3 * max(1, abs(b[2])) for a, b in zip(found, expected))
     assert lm_score.score_documents(docs.limit(0)).count() == 0
+
+
+def test_lm_scores_fold_no_word_of_a_long_corpus(spark):
+    texts = ["w " * 2_200_000, "once", "twice seen w", "w twice seen", "w other"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    n, w = 2_200_009, 2_200_003
+    ww, back = math.log(2_199_999 / w), math.log(0.4 / n)
+    twice, seen = back + math.log(2), math.log(2 / 2)
+    expected = [
+        math.log(w / n) + 2_199_999 * ww, math.log(1 / n), math.log(2 / n) + seen + back + math.log(w),
+        math.log(w / n) + twice + seen, math.log(w / n) + back]
+    found = [r.log_score for r in lm_score.score_documents(docs).orderBy("doc_id").collect()]
+    assert found == pytest.approx(expected, abs=2e-3)
