@@ -31,9 +31,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; undetermined ones go."""
+    """Documents whose language can be told; undetermined ones go, unless no language was learned."""
     on_workers(spark)
     model = language_id.fit(docs)
+    if not model.langs:
+        return docs
     labelled = language_id.identify(docs, model, out="_language")
     return labelled.filter(F.col("_language.lang") != language_id.UNDETERMINED).select(*docs.columns)
 

@@ -13,8 +13,9 @@ import tiktoken
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+import corpus_pipeline
 from compare import compare, connect
-from llm.helpers import LONG, odd_docs, odd_texts
+from llm.helpers import DOCS, LONG, odd_docs, odd_texts
 from ticketlake.llm import bpe, language_id, packing, pii, quality, url_filter
 from ticketlake.llm.queries import QUERIES
 
@@ -226,3 +227,16 @@ def test_long_text_counts_whole():
     model = quality.Model(np.zeros(quality.BUCKETS), 0.0)
     assert quality.scores(pa.array([LONG, None, ""]), model).tolist() == [0.5, 0.5, 0.5]
     assert zlib.crc32(hashlib.sha256(LONG.encode()).digest())
+
+
+def test_letters_of_unlearned_scripts_get_a_learned_language(spark):
+    rows = [(i, t, lang, None, None) for i, (t, lang) in enumerate(
+        [("the cat sat", "en"), ("le chat dort", "fr"), ("Μῆνιν ἄειδε θεά", None), ("слово", None), ("12 34", None)])]
+    docs = spark.createDataFrame(rows, DOCS)
+    found = [r.language for r in language_id.identify(docs, language_id.fit(docs)).orderBy("doc_id").collect()]
+    assert all(x.lang in ("en", "fr") and x.score == 0 and len(x.spans) == 1 for x in found[2:4])
+    assert found[2].spans[0].last_word == 2 and found[4].lang == "und"
+    kept = corpus_pipeline.known_language(spark, docs, "")
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 2, 3}
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert corpus_pipeline.known_language(spark, unlabelled, "").count() == 5

@@ -206,6 +206,13 @@ def word_scores(texts: pa.Array, model: Model) -> tuple[W.Words, np.ndarray, np.
     return found, scores, letters, readable & (letters > 0)
 
 
+def nearest_languages(texts: pa.Array, model: Model) -> list[str]:
+    """Languages with the largest total score, whatever scripts they use; ties take the first."""
+    found, bucket, starts, *_ = lettered(texts)
+    scores = np.stack([W.per_text(logs[bucket], starts) for logs in model.logs], axis=1)
+    return [model.langs[k] for k in W.per_text(scores[found.codes], found.offsets).argmax(axis=1)]
+
+
 def identify_texts(texts: pa.Array, model: Model) -> list[dict]:
     """Language, score and spans of each text; see `identify`."""
     nothing = {"lang": UNDETERMINED, "score": 0.0, "spans": []}
@@ -225,6 +232,10 @@ def identify_texts(texts: pa.Array, model: Model) -> list[dict]:
         every, known = W.per_text(weight, found.offsets), W.per_text(counted, found.offsets)
         best = W.per_text(scores, found.offsets).argmax(axis=1)
         calm = steady(scores, found.offsets, best)
+        alien = np.flatnonzero((every > 0) & (known == 0))
+        for i, name in zip(alien, nearest_languages(chunk.take(pa.array(alien)), model) if len(alien) else []):
+            out[base + i] = {"lang": name, "score": 0.0, "spans": [
+                {"first_word": 0, "last_word": int(found.counts[i] - 1), "lang": name, "letters": 0}]}
         for i in np.flatnonzero(known):
             a, b = found.offsets[i], found.offsets[i + 1]
             if calm[i]:
@@ -247,8 +258,9 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
     """`docs` with the struct column `out`: language, score and spans of each whole text.
 
     The language is the one with most letters along the best path, the score its share of all
-    letters. A null text, one without letters, or one in scripts that no language uses is `und`
-    with score 0 and no spans. Spans count words from 0. Row-local; a column `out` is replaced.
+    letters. A text in scripts that no language uses has the nearest language, score 0 and one span
+    without letters. A null text, one without letters, or any text where the model holds no language
+    is `und` with score 0 and no spans. Spans count words from 0. Row-local; a column `out` is replaced.
     """
     @F.arrow_udf(RESULT)
     def label(texts: pa.Array) -> pa.Array:
