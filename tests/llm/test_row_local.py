@@ -240,3 +240,12 @@ def test_letters_of_unlearned_scripts_get_a_learned_language(spark):
     assert {r.doc_id for r in kept.collect()} == {0, 1, 2, 3}
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert corpus_pipeline.known_language(spark, unlabelled, "").count() == 5
+
+
+def test_pii_iban_ends_where_its_country_says(spark):
+    ibans = ["ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "BE68539007547034", "DE89 3704 0044 0532 0130 00"]
+    texts = [f"pay {a}{after}" for a in ibans for after in (" BIC CAIXESBB", " THANKS", " 2024", " A", ", ok")]
+    texts.append(f"{ibans[2]} {ibans[0]} {ibans[1]}")
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [[s.value for s in r.pii if s.kind == "iban"] for r in pii.find_pii(docs).orderBy("doc_id").collect()]
+    assert found == [[a] for a in ibans for _ in range(5)] + [[ibans[2], ibans[0], ibans[1]]]

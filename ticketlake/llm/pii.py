@@ -95,9 +95,30 @@ KINDS = [
     Kind("phone", r"\+[0-9][\x20().0-9-]+[0-9]",
          lambda t: t.contains("+"), valid_phone, 0.6, "phone|tel|call|mobile|fax|telefon"),
 ]
+# Characters of an IBAN by country.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+    25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO EG GT HN HU LB NI PL SV",
+    29: "BR PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_pattern() -> str:
+    """An IBAN of its country's length, so that a word after it stays out; else one of any length."""
+    def groups(length: int) -> str:
+        fours, rest = divmod(length - 4, 4)
+        return r"(?:\x20?[A-Z0-9]{4}){%d}" % fours + (r"\x20?[A-Z0-9]{%d}" % rest if rest else "")
+
+    exact = "|".join(
+        rf"(?:{names.replace(' ', '|')})[0-9]{{2}}{groups(n)}(?![A-Za-z0-9])" for n, names in IBAN_LENGTHS.items())
+    other = r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])"
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{exact}|{other})"
+
+
 #: What the method adds to the base kinds.
 ADDED_KINDS = [
-    Kind("iban", r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}+(?:\x20?[A-Z0-9]{1,3})?+(?![A-Za-z0-9])",
+    Kind("iban", iban_pattern(),
          lambda t: t.isNotNull(), valid_iban, 0.9, "iban|account|bank|konto|compte|cuenta"),
 ]
 
