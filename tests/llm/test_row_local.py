@@ -249,3 +249,17 @@ def test_pii_iban_ends_where_its_country_says(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     found = [[s.value for s in r.pii if s.kind == "iban"] for r in pii.find_pii(docs).orderBy("doc_id").collect()]
     assert found == [[a] for a in ibans for _ in range(5)] + [[ibans[2], ibans[0], ibans[1]]]
+
+
+def test_language_sample_counts_equal_texts_once(spark):
+    texts = [(f"the cat number{i} sat", "en") for i in range(200)] + [(f"le chat numero{i} dort", "fr") for i in range(200)]
+    once = spark.createDataFrame(texts, "text string, lang string")
+    often = spark.createDataFrame(texts + [texts[0]] * 300 + [("ein Hund", "de")] * 400, "text string, lang string")
+    model = language_id.fit(often, per_lang=20)
+    plain = language_id.fit(once, per_lang=20)
+    assert model.langs == ["de", "en", "fr"] and model.uses[0].any()
+    assert np.array_equal(model.logs[1:], plain.logs)
+    assert language_id.fit(often.filter("lang = 'de'").limit(400), per_lang=1).uses.any()
+    few = spark.createDataFrame([(f"Hund{i}", "de") for i in range(3)] * 50, "text string, lang string")
+    for size in (0.001, 1):
+        assert language_id.fit(few, per_lang=size).uses.any()

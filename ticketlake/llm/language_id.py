@@ -22,7 +22,7 @@ from ticketlake.llm.common import hashed_fraction
 
 BUCKETS = 1 << 15
 NGRAMS = (1, 2, 3)
-#: Training documents of each language, about.
+#: Distinct training texts of each language, about.
 SAMPLE_PER_LANG = 2000
 #: What a switch of language costs, in nats, and what a word costs in a script its language lacks.
 SWITCH, WRONG_SCRIPT = 12.0, 20.0
@@ -88,18 +88,23 @@ def lettered(texts: pa.Array) -> tuple[W.Words, np.ndarray, np.ndarray, np.ndarr
 
 
 def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, text: str = "text", lang: str = "lang") -> Model:
-    """A model from about `per_lang` whole documents of each language, chosen by a hash of the text.
+    """A model from about `per_lang` whole texts of each language, chosen by a hash of the text.
 
-    Rows with a null text or language take no part. Tasks count n-grams; what comes to the driver is
+    Equal texts of a language count once, in its size and in the sample. If the hash takes none of a
+    language's texts, that of the least hash stands for it. Rows with a null text or language take no part. Tasks count n-grams; what comes to the driver is
     one count for each language and bucket. An empty table gives a model without languages.
     """
     known = docs.select(F.col(text).alias("text"), F.col(lang).alias("lang")).dropna()
-    sizes = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    texts = known.select("lang", F.xxhash64("text").alias("hash")).distinct()
+    found = texts.groupBy("lang").agg(F.count("*").alias("n"), F.min("hash").alias("least")).collect()
+    sizes, least = ({r["lang"]: r[name] for r in found} for name in ("n", "least"))
     langs = sorted(sizes)
     if not langs:
         return Model([], np.zeros((0, BUCKETS)), np.zeros((0, len(SCRIPT_NAMES)), bool))
     shares = F.create_map(*[F.lit(x) for k in langs for x in (k, per_lang / sizes[k])])
-    sample = known.filter(hashed_fraction(F.col("text"), shares[F.col("lang")]))
+    leasts = F.create_map(*[F.lit(x) for k in langs for x in (k, least[k])])
+    taken = hashed_fraction(F.col("text"), shares[F.col("lang")]) | (F.xxhash64("text") == leasts[F.col("lang")])
+    sample = known.filter(taken).distinct()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
