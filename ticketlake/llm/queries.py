@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlake.llm import ann, bpe, knn_join, language_id, lm_score, near_dup, packing, pii, quality, url_filter, vectors
+from ticketlake.llm import (
+    ann, bpe, knn_join, language_id, lm_score, merkle, near_dup, packing, pii, quality, url_filter, vectors)
 from ticketlake.llm.common import id_fold, on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -160,3 +162,62 @@ def op8_ann(spark, sf):
 @query("op9_lm_score")
 def op9_lm_score(spark, sf):
     return lm_score.score_documents(table(spark, sf, "documents"))
+
+
+def _merkle_sql(depth: int = 7) -> str:
+    """Trees of up to 16 to the power of `depth` leaves: levels up, then siblings and folds from the leaf."""
+    def field(column: str) -> str:
+        return f"CASE WHEN {column} IS NULL THEN '-' ELSE strlen({column}::VARCHAR)::VARCHAR || ':' || {column}::VARCHAR END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(map(field, ["doc_id", "source", "lang", "n_chars", text])) + ")"
+
+    def tree(name: str, key: str, leaves: str) -> str:
+        """Levels `{name}0` to `{name}{depth}` over leaves, and `{name}root`."""
+        parts = [f"{name}0 AS ({leaves})"]
+        for i in range(1, depth + 1):
+            parts.append(f"""{name}{i} AS (SELECT {key}, CASE WHEN n > 1 THEN r // 16 ELSE r END AS r,
+                CASE WHEN n > 1 THEN sha256(string_agg(h, '' ORDER BY r)) ELSE any_value(h) END AS h, (n + 15) // 16 AS n
+                FROM {name}{i - 1} GROUP BY {key}, CASE WHEN n > 1 THEN r // 16 ELSE r END, n)""")
+        return ", ".join(parts)
+
+    def climb(name: str, key: str, tree: str, start: str) -> str:
+        """Siblings and folds of every row of `start`, whose rank is r, level by level."""
+        parts = [f"{name}0 AS ({start})"]
+        for i in range(1, depth + 1):
+            same = f"{tree}{i - 1} t WHERE t.{key} = u.{key} AND t.r // 16 = u.r // 16 AND t.n > 1"
+            parts.append(f"""{name}{i} AS (SELECT * EXCLUDE (r, proof, folded), r // 16 AS r, proof || coalesce(
+                (SELECT string_agg(t.h, '' ORDER BY t.r) FROM {same} AND t.r <> u.r), '') AS proof, coalesce(
+                (SELECT sha256(string_agg(CASE WHEN t.r = u.r THEN u.folded ELSE t.h END, '' ORDER BY t.r)) FROM {same}),
+                folded) AS folded FROM {name}{i - 1} u)""")
+        return ", ".join(parts)
+
+    crc = ("xor(list_reduce([ord(x) FOR x IN string_split(doc_id::VARCHAR, '')], lambda c, b: list_reduce(range(8),"
+           " lambda d, k: xor(d >> 1, 3988292384 * (d & 1)), xor(c, b::BIGINT)), 4294967295::BIGINT), 4294967295)")
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+        WITH d AS (SELECT doc_id, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS s, {leaf('text')} AS leaf,
+            CASE WHEN {crc} % 5 = 0 THEN {leaf(lowered)} END AS tampered FROM documents),
+        l AS (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id NULLS FIRST, leaf) - 1 AS r,
+            count(*) OVER (PARTITION BY s) AS n FROM d),
+        {tree('a', 's', 'SELECT s, r, leaf AS h, n FROM l')},
+        {tree('b', 'g', f'SELECT 0 AS g, s AS r, h, count(*) OVER () AS n FROM a{depth}')},
+        {climb('u', 's', 'a', "SELECT doc_id, s, leaf, r, '' AS proof, coalesce(tampered, leaf) AS folded FROM l")},
+        {climb('v', 'g', 'b', f'SELECT doc_id, 0 AS g, s, leaf, s AS r, proof, folded FROM u{depth}')}
+        SELECT doc_id, leaf, a{depth}.h AS subroot, b{depth}.h AS root, sha256(proof) AS proof_sha256,
+               folded AS folded_root, folded = b{depth}.h AS verified
+        FROM v{depth} v JOIN a{depth} ON v.s = a{depth}.s, b{depth}"""
+
+
+@query("op11_merkle", _merkle_sql())
+def op11_merkle(spark, sf):
+    docs = table(spark, sf, "documents")
+    parts = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaves = docs.select(
+        F.col("source").alias("group"), F.col("doc_id").alias("order"), merkle.digest(*map(F.col, parts), F.col("text")).alias("digest"),
+        F.struct("doc_id", F.when(chosen, merkle.digest(*map(F.col, parts), lowered)).alias("tampered")).alias("row"))
+    proved = merkle.proofs(merkle.manifest(leaves), F.col("row.tampered"))
+    return proved.select(
+        "row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
