@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.llm import (
-    ann, bpe, knn_join, language_id, lm_score, merkle, near_dup, packing, pii, quality, url_filter, vectors)
+    alignment, ann, bpe, knn_join, language_id, lm_score, merkle, near_dup, packing, pii, quality, token_counts,
+    url_filter, vectors)
 from ticketlake.llm.common import id_fold, on_workers, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,3 +222,16 @@ def op11_merkle(spark, sf):
     proved = merkle.proofs(merkle.manifest(leaves), F.col("row.tampered"))
     return proved.select(
         "row.doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+@query("op12_alignment")
+def op12_alignment(spark, sf):
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    aligned = alignment.align_tokenizers(table(spark, sf, "documents").select("doc_id", "text"), *paths)
+    return aligned.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query("op13_token_counts")
+def op13_token_counts(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), SEQUENCE_TOKENS)
