@@ -9,6 +9,7 @@ stretch of a batch is encoded and aligned once, and documents are put together f
 from __future__ import annotations
 
 import hashlib
+import json
 from functools import lru_cache
 from itertools import chain
 from typing import NamedTuple
@@ -20,17 +21,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlake.llm import words as W
-from ticketlake.llm.bpe import SPACE_BEFORE_SPACE
+from ticketlake.llm.bpe import COMMON_PATTERN, SPACE_BEFORE_SPACE
 from ticketlake.llm.common import staged
 from ticketlake.llm.packing import byte_letters
 
 SIGN = "▁"
 #: A space beside white space or in front, or the sign of a space: such a text is one stretch.
+ENDS_IN_SPACE = f"{SPACE_BEFORE_SPACE[:-1]}$"
 UNEVEN = f"{SPACE_BEFORE_SPACE}|^{SPACE_BEFORE_SPACE[:-1]}|{SIGN}"
 #: Pairs of tokens from which on a group's equal ids are put together before they are paired.
 WIDE_GROUP = 4096
-#: Bytes of remembered stretches in a worker, about.
-MEMO_BYTES = 32 << 20
+#: Bytes of text that are aligned at a time, at least one document.
+CHUNK_BYTES = 1 << 20
 #: Id pairs, those of most documents, whose counts are sent to all tasks.
 FREQUENT_PAIRS = 1 << 18
 
@@ -148,29 +150,35 @@ def group_texts(a: Side, b: Side, groups: Groups) -> list[bytes]:
 
 
 class Aligner:
-    """The two tokenizers: A of byte-level pieces, B of pieces with byte fallback."""
+    """The two tokenizers: A of byte-level pieces, B of pieces with byte fallback.
+
+    A's vocabulary file numbers its tokens in the order of its merges, so that merging by number gives its
+    ids; the texts of many stretches are encoded by it at once. Special tokens are in neither vocabulary.
+    """
 
     def __init__(self, path_a: str, path_b: str):
         import sentencepiece
-        from tokenizers import Tokenizer
-
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their strings in a text are plain text
-        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        import tiktoken
+
+        with open(path_a, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        numbers = [model["vocab"]["".join(m)] for m in merges]
+        if numbers != sorted(numbers):
+            raise ValueError("the ids of the first tokenizer are not in the order of its merges")
         byte_of = {letter: byte for byte, letter in enumerate(byte_letters())}
-        entries = sorted((i, entry) for entry, i in self.a.get_vocab().items())
-        a_bytes = [b""] * (entries[-1][0] + 1)
-        for i, entry in entries:
-            known = all(x in byte_of for x in entry)
-            a_bytes[i] = bytes([byte_of[x] for x in entry]) if known else entry.encode()
+        learned = set(numbers)
+        tokens = {i: bytes([byte_of[x] for x in entry]) for entry, i in model["vocab"].items() if len(entry) == 1 or i in learned}
+        self.a = tiktoken.Encoding(
+            "a", pat_str=COMMON_PATTERN, mergeable_ranks={x: i for i, x in tokens.items()}, special_tokens={})
+        self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
+        a_bytes = [tokens.get(i, b"") for i in range(max(tokens) + 1)]
         b_bytes = []
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace(SIGN, " ").encode())
         self.bytes = [self._table(x) for x in (a_bytes, b_bytes)]
         self.alone = self.b.piece_to_id(SIGN)
-        self.memo: dict[str, tuple[list[int], list[int]]] = {}
-        self.held = 0
 
     @staticmethod
     def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,38 +186,48 @@ class Aligner:
         sizes = np.array([len(x) for x in tokens], dtype=np.int64)
         return np.frombuffer(b"".join(tokens), dtype=np.uint8), np.cumsum(sizes) - sizes, sizes
 
-    def encoded(self, stretches: list[str]) -> list[tuple[list[int], list[int]]]:
-        """Ids by A of a space and the stretch, and by B of the stretch, which adds the space."""
-        if self.held > MEMO_BYTES:
-            self.memo, self.held = {}, 0
-        new = [s for s in stretches if s not in self.memo]
-        a = [e.ids for e in self.a.encode_batch_fast([" " + s for s in new], add_special_tokens=False)]
-        b = self.b.encode(new, num_threads=1) if new else []
-        fresh = {s: (x, y if s else [self.alone]) for s, x, y in zip(new, a, b)}
-        out = [self.memo.get(s) or fresh[s] for s in stretches]
-        for s, ids in fresh.items():
-            if len(s) <= 64:
-                self.memo[s] = ids
-                self.held += 300 + 40 * (len(ids[0]) + len(ids[1]))
-        return out
-
-    def side(self, lists: list[list[int]], which: int, want: np.ndarray, starts: np.ndarray) -> tuple[Side, np.ndarray]:
+    def ids_a(self, spaced: pa.Array, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of stretches after a space, and where those of each one start; `ends` are their bytes.
+
+        Stretches that end in something else than white space are encoded as one text, because the next
+        one's space then starts a token.
+        """
+        apart = pc.match_substring_regex(spaced, ENDS_IN_SPACE).to_numpy(zero_copy_only=False)
+        together = np.flatnonzero(~apart)
+        ids = self.a.encode_to_numpy(W.joined(spaced.take(pa.array(together))).decode(), disallowed_special=())
+        token_ends = np.cumsum(self.bytes[0][2][ids])
+        stops = np.searchsorted(token_ends, np.cumsum(np.diff(ends)[together])) + 1
+        if not apart.any():
+            return ids.astype(np.int64), np.concatenate([[0], stops])
+        lists = [np.zeros(0, np.int64)] * len(spaced)
+        for i, part in zip(together.tolist(), np.split(ids, stops[:-1])):
+            lists[i] = part
+        for i in np.flatnonzero(apart).tolist():
+            lists[i] = self.a.encode_to_numpy(spaced[i].as_py(), disallowed_special=())
+        return np.concatenate(lists).astype(np.int64), np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+
+    def ids_b(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """B's ids of stretches, which it puts a space before, and where those of each one start."""
+        found = self.b.encode(stretches, num_threads=1) if stretches else []
+        if "" in stretches:
+            found[stretches.index("")] = [self.alone]
+        offsets = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))])
+        return np.fromiter(chain.from_iterable(found), dtype=np.int64, count=int(offsets[-1])), offsets
+
+    def side(self, which: int, ids: np.ndarray, offsets: np.ndarray, want: np.ndarray, starts: np.ndarray):
         """Tokens of one side, and which stretches their bytes give back (`want`, starting at `starts`)."""
-        sizes = np.fromiter(map(len, lists), dtype=np.int64, count=len(lists))
-        offsets = np.concatenate([[0], np.cumsum(sizes)])
-        ids = np.fromiter(chain.from_iterable(lists), dtype=np.int64, count=int(offsets[-1]))
         flat, first, length = self.bytes[which]
         given = flat[W.take_lists(first, length, ids)]
         ends = np.cumsum(length[ids])
         before = np.concatenate([[0], ends])[offsets]
         same = np.diff(before) == np.diff(starts)
-        if len(given) == len(want) and same.all():
+        if same.all():
             wrong = np.flatnonzero(given != want)
             same[np.searchsorted(starts, wrong, side="right") - 1] = False
         else:
             for i in np.flatnonzero(same).tolist():
                 same[i] = np.array_equal(given[before[i]:before[i + 1]], want[starts[i]:starts[i + 1]])
-        return Side(ids, offsets, ends - np.repeat(before[:-1], sizes)), same
+        return Side(ids, offsets, ends - np.repeat(before[:-1], np.diff(offsets))), same
 
     def align(self, texts: pa.Array) -> dict[str, pa.Array | np.ndarray]:
         """Columns of the aligned texts; null is taken out before."""
@@ -223,12 +241,11 @@ class Aligner:
         place = np.empty(len(order), dtype=np.int64)
         place[order] = np.arange(len(order))
         found = W.coded(offsets, pa.concat_arrays([values, texts.filter(pa.array(~even))]).take(pa.array(place)))
-        stretches = found.vocab.to_pylist()
-        ids = self.encoded(stretches)
         spaced = pc.binary_join_element_wise(pa.scalar(" ", found.vocab.type), found.vocab, pa.scalar("", found.vocab.type))
         want = np.frombuffer(W.joined(spaced), dtype=np.uint8)
         starts = np.concatenate([[0], np.cumsum(pc.binary_length(spaced).to_numpy(zero_copy_only=False))]).astype(np.int64)
-        (a, a_same), (b, b_same) = (self.side([x[i] for x in ids], i, want, starts) for i in (0, 1))
+        encoded = self.ids_a(spaced, starts), self.ids_b(found.vocab.to_pylist())
+        (a, a_same), (b, b_same) = (self.side(i, *encoded[i], want, starts) for i in (0, 1))
         same = a_same & b_same
         a, b = (x if same.all() else only(x, same) for x in (a, b))
         groups = groups_of(a, b)
@@ -294,7 +311,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, text: str = "text") -> Data
     def aligned(texts: pa.Array) -> pa.Array:
         types = [pa.int64()] * 4 + [pa.string()] + [pa.list_(pa.int64())] * 2
         parts = []
-        for chunk in W.text_chunks(texts):
+        for chunk in W.text_chunks(texts, CHUNK_BYTES):
             found = aligner(path_a, path_b).align(chunk)
             parts.append(pa.StructArray.from_arrays([found[c].cast(t) for c, t in zip(COLUMNS, types)], list(COLUMNS)))
         return pa.concat_arrays(parts) if parts else pa.array([], pa.struct(list(zip(COLUMNS, types))))
