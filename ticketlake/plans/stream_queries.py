@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans.queries import query, upsert_sql, without_zone
 from ticketlake import schemas
-from ticketlake.session import scratch_path
+from ticketlake.session import ROCKSDB_STATE, scratch_path, settings
 from ticketlake.sources import readers, tables
 from ticketlake.streaming import tickets
 
@@ -100,3 +100,41 @@ def stream_sla_alerts(spark, sf):
     stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=3)
     tickets.run_available(tickets.sla_alerts(stream, path, fx.sla_limits(spark), ckpt))
     return without_zone(tables.read_path(spark, path))
+
+
+def in_order_of_time(df: DataFrame, at: str, slices: int) -> list[DataFrame]:
+    """The rows in consecutive, equally long slices of time."""
+    first, last = df.agg(F.min(at), F.max(at)).first()
+    step = (last - first) / slices
+    cuts = [first + step * i for i in range(1, slices)]
+    lows, highs = [None, *cuts], [*cuts, None]
+    return [
+        df.filter((F.lit(True) if low is None else F.col(at) >= low) & (F.lit(True) if high is None else F.col(at) < high))
+        for low, high in zip(lows, highs)
+    ]
+
+
+BREACH_DELAY = 2  # days
+_BREACH_EVENTS = """(SELECT Numero, Priorite, Ouvert, Ouvert AS moment, 'En cours' AS Etat FROM v_incidents
+    UNION ALL SELECT Numero, Priorite, Ouvert, Mis_a_jour, Etat FROM v_incidents WHERE Etat IN ('Clos', 'Résolu'))"""
+
+
+@query("stream_sla_breach_timer", f"""
+    SELECT Numero, Priorite, hours, Ouvert, Ouvert + to_hours(hours) AS breached_at
+    FROM (SELECT DISTINCT Numero, Priorite, Ouvert FROM {_BREACH_EVENTS}) t JOIN v_sla s ON Priorite = s.priority
+    WHERE Ouvert + to_hours(hours) < (SELECT max(moment) - INTERVAL {BREACH_DELAY} DAY FROM {_BREACH_EVENTS})
+      AND NOT EXISTS (SELECT 1 FROM {_BREACH_EVENTS} e WHERE e.Numero = t.Numero AND e.Etat IN ('Clos', 'Résolu')
+                      AND e.moment <= t.Ouvert + to_hours(s.hours))""")
+def stream_sla_breach_timer(spark, sf):
+    """Every ticket is heard of when it opens and, if it was closed, when it closes; most are silent between."""
+    src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "breaches", "ckpt"))
+    tickets_ = fx.incidents(spark, sf).select("Numero", "Priorite", "Ouvert", "Mis_a_jour", "Etat")
+    opened = tickets_.withColumn("Mis_a_jour", F.col("Ouvert")).withColumn("Etat", F.lit(fx.OPEN_STATES[0]))
+    events = opened.unionByName(tickets_.filter(F.col("Etat").isin(*fx.CLOSED_STATES)))
+    with settings(spark, ROCKSDB_STATE):
+        for part in in_order_of_time(events, "Mis_a_jour", 2):
+            rows = arriving(part, src)
+            stream = readers.stream_tickets(spark, src, rows.schema)
+            tickets.run_available(tickets.breach_alerts(
+                stream, path, fx.sla_limits(spark), fx.CLOSED_STATES, f"{BREACH_DELAY} days", ckpt))
+    return without_zone(tables.read_path(spark, path))

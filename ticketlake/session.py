@@ -4,10 +4,32 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 
+#: Keyed state with timers needs this store; it also keeps large state out of the heap.
+ROCKSDB_STATE = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Session settings that hold inside the context; what they were before comes back."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 def build_session(app: str = "ticketlake", master: str | None = None, **conf) -> SparkSession:
     """Session with the settings every job assumes; `conf` keys use `__` for dots.
 
@@ -18,9 +40,7 @@ def build_session(app: str = "ticketlake", master: str | None = None, **conf) ->
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass": (
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-        ),
+        **ROCKSDB_STATE,
         # Python call sites in error messages cost a stack walk per column expression
         "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.ui.enabled": "false",

@@ -1,4 +1,10 @@
-"""Ticket streams: ingest, near-real-time upsert, live counts and SLA alerts."""
+"""Ticket streams: ingest, near-real-time upsert, live counts, SLA alerts and breaches.
+
+Two columns say when: an event's own time, and its arrival, stamped when it was landed. Arrivals ascend
+from file to file (but for a stated disorder), event times need not. Whether a row is late is decided by
+its own two times, so the answer does not depend on how files fall into batches, and what a watermark
+would drop unseen is routed to a table of late rows instead.
+"""
 
 from __future__ import annotations
 
@@ -106,6 +112,162 @@ def sla_alerts(stream: DataFrame, path: str, limits: DataFrame, checkpoint: str)
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
+def once(stream: DataFrame, keys: Sequence[str], arrival: str, horizon: str) -> DataFrame:
+    """Each event once, though its source delivers it again within `horizon` of its first arrival.
+
+    `keys` tell events apart (an event's number, or all its columns). What is remembered are the keys of
+    the last `horizon` by arrival, so the state does not grow with the stream. A row without an arrival
+    passes: it cannot be placed, and a merge takes it twice without harm.
+    """
+    placed = stream.filter(F.col(arrival).isNotNull()).withWatermark(arrival, horizon)
+    return placed.dropDuplicatesWithinWatermark(list(keys))
+
+
+def split_late(stream: DataFrame, ts: str, arrival: str, delay: str) -> tuple[DataFrame, DataFrame]:
+    """Rows that arrived within `delay` of their event time, and all others.
+
+    The others are older, lie after their own arrival, or lack one of the two times.
+    """
+    age = F.col(arrival) - F.col(ts)
+    timely = F.coalesce((age >= F.expr("INTERVAL 0 SECOND")) & (age <= F.expr(f"INTERVAL {delay}")), F.lit(False))
+    return stream.filter(timely), stream.filter(~timely)
+
+
+def window_counts(
+    stream: DataFrame, path: str, late_path: str, ts: str, arrival: str, width: str, by: Sequence[str],
+    delay: str, checkpoint: str, disorder: str = "0 seconds",
+) -> list[DataStreamWriter]:
+    """Rows per tumbling window and group, kept in state, and a table of the rows that came too late.
+
+    Two writers, for one run each. A window is counted while it can still change: its state is dropped
+    once the watermark, `delay` and the arrivals' `disorder` behind the latest event, has passed it, and
+    a timely row is never behind that. A batch writes the windows that it changed, with their whole
+    counts, so a batch that is delivered again changes nothing. Late rows are appended as they are.
+    """
+    timely, late = split_late(stream, ts, arrival, delay)
+    marked = timely.withWatermark(ts, f"{_seconds(stream.sparkSession, delay, disorder)} seconds")
+    counts = marked.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
+    keys = ["window_start", "window_end", *by]
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables.ensure_table(spark, path, batch.schema, tables.Layout(keys, period="window_start"))
+        tables.upsert_table(spark, path, batch, keys)
+
+    return [
+        counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", f"{checkpoint}/counts"),
+        late.writeStream.format("parquet").outputMode("append").option("path", late_path)
+        .option("checkpointLocation", f"{checkpoint}/late"),
+    ]
+
+
+def _seconds(spark: SparkSession, *intervals: str) -> int:
+    """Seconds of intervals of days, hours and smaller units together."""
+    whole = " + ".join(f"INTERVAL {i}" for i in intervals)
+    return int(spark.sql(f"SELECT CAST({whole} AS INTERVAL SECOND)").first()[0].total_seconds())
+
+
+def breach_timer():
+    """The keyed state behind `sla_breaches`: a ticket's latest state, and a timer at its limit.
+
+    The class is made here, so that it travels to the workers by value and they need no copy of this
+    library.
+    """
+    from pyspark.sql.streaming import StatefulProcessor
+
+    class BreachTimer(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.handle = handle
+            self.ticket = handle.getValueState(
+                "ticket", "priority string, hours int, opened bigint, deadline bigint, at bigint, closed boolean")
+
+        def handleInputRows(self, key, rows, timerValues):
+            import pandas as pd
+
+            known = self.ticket.get() if self.ticket.exists() else None
+            before = known and known[3]
+            arrived = pd.concat(list(rows)).sort_values(["at", "closed"])
+            overdue = None
+            for e in arrived[["priority", "hours", "opened", "deadline", "at", "closed"]].itertuples(index=False):
+                event = (e.priority, int(e.hours), int(e.opened), int(e.deadline), int(e.at), bool(e.closed))
+                if known is None and event[4] > event[3]:
+                    overdue = overdue if event[5] else overdue or event  # heard of first after its limit
+                elif known is None or known[4] <= event[4] <= known[3]:
+                    known = event
+            if known is not None:
+                self.ticket.update(known)
+                if known[3] != before:
+                    if before is not None:
+                        self.handle.deleteTimer(before + 1)
+                    self.handle.registerTimer(known[3] + 1)
+            if known is None and overdue is not None:
+                yield self.breach(key, overdue)
+
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+            known = self.ticket.get()
+            self.ticket.clear()
+            if known is not None and not known[5]:
+                yield self.breach(key, known)
+
+        @staticmethod
+        def breach(key, ticket):
+            import pandas as pd
+
+            return pd.DataFrame({
+                "Numero": [key[0]], "priority": [ticket[0]], "hours": [ticket[1]], "opened": [ticket[2]], "deadline": [ticket[3]]})
+
+        def close(self) -> None:
+            pass
+
+    return BreachTimer()
+
+
+def sla_breaches(
+    stream: DataFrame, limits: DataFrame, closed: Sequence[str], delay: str = "1 hour"
+) -> DataFrame:
+    """Tickets that were open at their limit, also if nobody has touched them since they were opened.
+
+    `limits` is a static `(priority, hours)` table. A ticket's latest state waits with a timer at its
+    opening plus the limit of its priority; once the watermark, `delay` behind the latest change of any
+    ticket, is past that moment, an open ticket is a breach and its state goes. A close up to the limit
+    cancels it, a reopening brings it back, and states may arrive in any order within `delay`. A ticket
+    first heard of after its limit is a breach at once, if it is open. Later events of a ticket may say
+    so again, so a sink keeps one alert of each (`breach_alerts`). Rows without a number, one of the
+    times or a limit take no part.
+    """
+    moment = F.unix_millis("Ouvert")
+    events = (
+        stream.filter("Numero IS NOT NULL AND Ouvert IS NOT NULL AND Mis_a_jour IS NOT NULL")
+        .withWatermark("Mis_a_jour", delay)
+        .join(limits.filter("hours IS NOT NULL"), F.col("Priorite") == F.col("priority"))
+        .select(
+            "Numero", "Mis_a_jour", "priority", F.col("hours").cast("int").alias("hours"), moment.alias("opened"),
+            (moment + F.col("hours").cast("long") * 3_600_000).alias("deadline"), F.unix_millis("Mis_a_jour").alias("at"),
+            F.coalesce(F.col("Etat").isin(*closed), F.lit(False)).alias("closed"))
+    )
+    found = events.groupBy("Numero").transformWithStateInPandas(
+        breach_timer(), "Numero string, priority string, hours int, opened bigint, deadline bigint", "Append", "EventTime")
+    return found.select(
+        "Numero", F.col("priority").alias("Priorite"), "hours", F.timestamp_millis("opened").alias("Ouvert"),
+        F.timestamp_millis("deadline").alias("breached_at"))
+
+
+def breach_alerts(
+    stream: DataFrame, path: str, limits: DataFrame, closed: Sequence[str], delay: str, checkpoint: str
+) -> DataStreamWriter:
+    """Keep a stored table of `sla_breaches`: one row for each ticket, the first breach heard of."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        tables.ensure_table(spark, path, batch.schema, tables.Layout(["Numero"], period="Ouvert"))
+        tables.upsert_table(spark, path, batch, ["Numero"], [])
+
+    return (
+        sla_breaches(stream, limits, closed, delay).writeStream.outputMode("append").foreachBatch(apply)
+        .option("checkpointLocation", checkpoint)
+    )
+
+
 def run_available(writer: DataStreamWriter) -> None:
     """Process what has arrived so far, then stop."""
     writer.trigger(availableNow=True).start().awaitTermination()
