@@ -157,15 +157,48 @@ def test_duplicate_count_combines_before_the_shuffle(spark, sf):
     assert text.count("partial_count") >= 2
 
 
-def test_upsert_rewrites_only_touched_buckets(spark, sf):
+def test_upsert_rewrites_only_touched_periods(spark, sf):
     rows = fx.incidents(spark, sf)
-    path = scratch_path(spark, "buckets")
+    path = scratch_path(spark, "periods")
     tables.ensure_table(spark, path, rows.schema, tables.Layout(["Numero"], 2, "Ouvert", 200))
     tables.upsert_table(spark, path, rows, ["Numero"], latest_by=["Mis_a_jour"])
-    one = rows.filter("Numero = 'INC00000007'").withColumn("Etat", F.lit("Clos"))
+    before = set(tables.read_path(spark, path).inputFiles())
+    one = rows.orderBy("Numero").limit(1).withColumn("Etat", F.lit("changed"))
     tables.upsert_table(spark, path, one, ["Numero"], latest_by=["Mis_a_jour"])
-    newest = tables.committed(spark, path)[-1]
-    assert len([n for n in tables._children(spark, tables._snap(path, newest)) if n.startswith("bucket=")]) == 1
-    after = tables.read_path(spark, path)
-    assert after.count() == rows.count()
-    assert after.filter("Numero = 'INC00000007'").first()["Etat"] == "Clos"
+    after = set(tables.read_path(spark, path).inputFiles())
+    assert {f.split("/")[-2] for f in before - after} == {f.split("/")[-2] for f in after - before}
+    assert len({f.split("/")[-2] for f in after - before}) == 1 and before & after
+    stored = tables.read_path(spark, path)
+    assert stored.count() == rows.count() and stored.filter("Etat = 'changed'").count() == 1
+
+
+def test_a_date_filter_prunes_periods(spark, sf):
+    rows = fx.incidents(spark, sf)
+    path = scratch_path(spark, "periods")
+    tables.ensure_table(spark, path, rows.schema, tables.Layout(["Numero"], 2, "Ouvert", 30))
+    tables.upsert_table(spark, path, rows, ["Numero"])
+    first, last = rows.agg(F.min("Ouvert"), F.max("Ouvert")).first()
+    middle = rows.filter(F.col("Ouvert") >= F.lit(first + (last - first) / 2)).agg(F.min("Ouvert")).first()[0].date()
+    for since, until in [(middle, None), (None, middle), (middle, middle)]:
+        found = tables.read_path(spark, path, since, until)
+        own = F.col("Ouvert").cast("date")
+        want = rows.filter((own >= F.lit(since or first.date())) & (own <= F.lit(until or last.date())))
+        assert found.count() == want.count() > 0
+        text = plan(found)
+        filters = text[text.index("PartitionFilters: ["):].split("]")[0]
+        assert tables.PERIOD in filters
+    assert len(found.inputFiles()) < len(tables.read_path(spark, path).inputFiles()) / 4
+
+
+@pytest.mark.parametrize("buckets", [3, 16])
+def test_a_merge_shuffles_the_updates_only(spark, sf, buckets, monkeypatch):
+    rows = fx.incidents(spark, sf)
+    path = scratch_path(spark, "buckets")
+    tables.ensure_table(spark, path, rows.schema, tables.Layout(["Numero"], buckets, "Ouvert", 400))
+    tables.upsert_table(spark, path, rows, schemas.INCIDENT_KEYS)
+    plans, replace = [], tables._replace
+    monkeypatch.setattr(tables, "_replace", lambda df, *how: (plans.append(plan(df)), replace(df, *how)))
+    tables.upsert_table(spark, path, rows.withColumn("Etat", F.lit("Clos")), schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES)
+    assert plans[0].count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plans[0]
+    assert f"SelectedBucketsCount: {buckets} out of {buckets}" in plans[0]
+    assert tables.read_path(spark, path).filter("Etat = 'Clos'").count() == rows.count()

@@ -44,6 +44,7 @@ def upsert(
     null_safe: bool = True,
     reduced: bool = False,
     keep_newer: bool = False,
+    filled: Sequence[str] = (),
 ) -> DataFrame:
     """The target after merging `updates` into it by key.
 
@@ -54,7 +55,8 @@ def upsert(
 
     `latest_by` are columns or expressions of columns that both frames have. With `keep_newer` a
     matching row only takes an update that is not older by them, NULL being oldest, so updates may
-    arrive in any order.
+    arrive in any order. Ages are compared in the target's types. `filled` are target keys that no
+    update has a NULL in: they are matched by plain equality, which keeps a stored bucketing.
 
     The target must be unique by key, as every table written by this function is; updates are
     reduced to one row per key first unless `reduced` says they already are. Then no key is hot on
@@ -63,7 +65,7 @@ def upsert(
     if not null_safe:
         return _upsert_filled_keys(
             target, updates, keys, update_cols, insert_cols, latest_by=latest_by, reduced=reduced,
-            keep_newer=keep_newer,
+            keep_newer=keep_newer, filled=filled,
         )
     pairs = key_pairs(keys)
     source_keys = [s for _, s in pairs]
@@ -74,10 +76,13 @@ def upsert(
 
     one_per_key = updates if reduced else reduce_updates(updates, source_keys, latest_by)
     ages = {f"__age_{i}": as_column(c) for i, c in enumerate(latest_by if keep_newer else [])}
-    source = _prefixed(one_per_key.withColumns(ages))
+    # aged in the target's types, so that texts or times of another kind are compared as they are stored
+    typed = one_per_key.withColumns({
+        f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in target.schema.fields if f.name in one_per_key.columns})
+    source = _prefixed((typed if ages else one_per_key).withColumns(ages))
 
     if not to_update:
-        return target.unionByName(new_rows(target, one_per_key, keys, insert_cols, reduced=True))
+        return target.unionByName(new_rows(target, one_per_key, keys, insert_cols, reduced=True, filled=filled))
 
     matched = F.col("__in_updates").isNotNull()
     if ages:
@@ -91,7 +96,7 @@ def upsert(
         return F.when(matched, new).otherwise(F.col(f"`{column}`")).alias(column)
 
     known = target.withColumns({**ages, "__in_target": F.lit(True)})
-    joined = known.join(marked, _match(pairs), "full_outer")
+    joined = known.join(marked, _match(pairs, filled), "full_outer")
     is_new = F.col("__in_target").isNull()
     return joined.select(
         *[
@@ -103,7 +108,7 @@ def upsert(
 
 def new_rows(
     target: DataFrame, updates: DataFrame, keys: Sequence[Key], insert_cols=None, *,
-    latest_by: Sequence[str] = (), null_safe: bool = True, reduced: bool = False,
+    latest_by: Sequence[str] = (), null_safe: bool = True, reduced: bool = False, filled: Sequence[str] = (),
 ) -> DataFrame:
     """The rows an upsert would insert: updates whose key the target does not have."""
     pairs = key_pairs(keys)
@@ -111,12 +116,12 @@ def new_rows(
     others = [c for c in target.columns if c not in dict(pairs)]
     inserted = _inserted(target, {**_column_map(insert_cols, others, updates), **dict(pairs)})
     if null_safe:
-        fresh = _prefixed(one_per_key).join(target.select(*dict(pairs)), _match(pairs), "left_anti")
+        fresh = _prefixed(one_per_key).join(target.select(*dict(pairs)), _match(pairs, filled), "left_anti")
         return fresh.select(*inserted)
-    filled = _filled([t for t, _ in pairs]), _filled([s for _, s in pairs])
-    known, source = target.filter(filled[0]), one_per_key.filter(filled[1])
-    return new_rows(known, source, keys, insert_cols, reduced=True).unionByName(
-        _prefixed(one_per_key.filter(~filled[1])).select(*inserted)
+    whole = _filled([t for t, _ in pairs]), _filled([s for _, s in pairs])
+    known, source = target.filter(whole[0]), one_per_key.filter(whole[1])
+    return new_rows(known, source, keys, insert_cols, reduced=True, filled=filled).unionByName(
+        _prefixed(one_per_key.filter(~whole[1])).select(*inserted)
     )
 
 
@@ -154,8 +159,12 @@ def _column_map(spec, others: Sequence[str], updates: DataFrame) -> dict[str, st
     return dict(spec) if isinstance(spec, Mapping) else {c: c for c in spec}
 
 
-def _match(pairs) -> Column:
-    return reduce(and_, (F.col(f"`{t}`").eqNullSafe(F.col(f"`__u_{s}`")) for t, s in pairs))
+def _match(pairs, filled: Sequence[str] = ()) -> Column:
+    def same(t: str, s: str) -> Column:
+        left, right = F.col(f"`{t}`"), F.col(f"`__u_{s}`")
+        return left == right if t in filled else left.eqNullSafe(right)
+
+    return reduce(and_, (same(t, s) for t, s in pairs))
 
 
 def _inserted(target: DataFrame, to_insert: Mapping[str, str]) -> list[Column]:

@@ -102,6 +102,68 @@ def stream_sla_alerts(spark, sf):
     return without_zone(tables.read_path(spark, path))
 
 
+_ARRIVED = "ts + to_hours((event_id % 80)::INTEGER)"
+_TIMELY = "event_id % 80 <= 48"
+
+
+def _stamped(spark, sf) -> DataFrame:
+    """Events with the moment they arrived, up to 79 hours after they happened."""
+    late = F.timestamp_add("HOUR", (F.col("event_id") % 80).cast("int"), F.col("ts"))
+    return fx.table(spark, sf, "events").select("event_id", "ts", "event_type", late.alias("arrived"))
+
+
+def _run_window_counts(spark, sf) -> tuple[str, str, DataFrame]:
+    """Two arrivals, in order; windows count what came within two days, the rest is kept as late."""
+    src, path, late, ckpt = (scratch_path(spark, p) for p in ("arrivals", "counts", "late", "ckpt"))
+    with settings(spark, ROCKSDB_STATE):
+        for part in in_order_of_time(_stamped(spark, sf), "arrived", 2):
+            rows = arriving(part, src)
+            stream = readers.stream_tickets(spark, src, rows.schema)
+            for writer in tickets.window_counts(stream, path, late, "ts", "arrived", "1 day", ["event_type"], "48 hours", ckpt):
+                tickets.run_available(writer)
+    return path, late, rows
+
+
+@query("stream_window_counts", f"""
+    SELECT date_trunc('day', ts)::TIMESTAMP AS window_start, date_trunc('day', ts)::TIMESTAMP + INTERVAL 1 DAY AS window_end,
+           event_type, count(*) AS n FROM events WHERE {_TIMELY} GROUP BY ALL""")
+def stream_window_counts(spark, sf):
+    return without_zone(tables.read_path(spark, _run_window_counts(spark, sf)[0]))
+
+
+@query("stream_late_rows", f"SELECT event_id, ts, event_type, {_ARRIVED} AS arrived FROM events WHERE NOT {_TIMELY}")
+def stream_late_rows(spark, sf):
+    _, late, rows = _run_window_counts(spark, sf)
+    return without_zone(spark.read.schema(rows.schema).parquet(late)).select("event_id", "ts", "event_type", "arrived")
+
+
+@query("stream_upsert_once", f"""
+    SELECT *, 1 AS merges FROM ({upsert_sql('v_load1', 'v_load2', ['Numero'], schemas.INCIDENTS_CSV.names, schemas.INCIDENTS_CSV.names, ['Mis_a_jour'])})
+    WHERE Numero NOT IN (SELECT Numero FROM v_load1 INTERSECT SELECT Numero FROM v_load2)
+    UNION ALL SELECT *, 2 FROM ({upsert_sql('v_load1', 'v_load2', ['Numero'], schemas.INCIDENTS_CSV.names, schemas.INCIDENTS_CSV.names, ['Mis_a_jour'])})
+    WHERE Numero IN (SELECT Numero FROM v_load1 INTERSECT SELECT Numero FROM v_load2)""")
+def stream_upsert_once(spark, sf):
+    """Each extract is delivered twice, by two runs; every ticket is merged once for each extract it is in."""
+    src, path, seen, ckpt = (scratch_path(spark, p) for p in ("arrivals", "silver", "merges", "ckpt"))
+    schema = schemas.schema(*[(f.name, f.dataType) for f in schemas.INCIDENTS_SILVER], ("arrived", schemas.TS))
+    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], 4))
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        with tables.staged(batch) as rows:
+            rows.select("Numero").distinct().write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
+            tables.upsert_table(rows.sparkSession, path, rows, ["Numero"], latest_by=["Mis_a_jour"], keep_newer=True)
+
+    with settings(spark, ROCKSDB_STATE):
+        for day, load in enumerate(fx.incident_loads(spark, sf), 1):
+            stamped = load.withColumn("arrived", F.lit(f"2024-02-{day:02d} 06:00:00").cast("timestamp"))
+            for _ in range(2):
+                arriving(stamped.select(*schema.names), src)
+                stream = tickets.once(readers.stream_tickets(spark, src, schema), schema.names, "arrived", "12 hours")
+                tickets.run_available(stream.writeStream.foreachBatch(merge).option("checkpointLocation", ckpt))
+    merges = spark.read.schema("Numero string").parquet(seen).groupBy("Numero").agg(F.count("*").cast("int").alias("merges"))
+    return without_zone(tables.read_path(spark, path)).join(merges, "Numero")
+
+
 def in_order_of_time(df: DataFrame, at: str, slices: int) -> list[DataFrame]:
     """The rows in consecutive, equally long slices of time."""
     first, last = df.agg(F.min(at), F.max(at)).first()

@@ -14,6 +14,8 @@ from pyspark.sql import SparkSession
 ROCKSDB_STATE = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # a batch writes what it changed, not all files of the store
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
@@ -41,6 +43,8 @@ def build_session(app: str = "ticketlake", master: str | None = None, **conf) ->
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         **ROCKSDB_STATE,
+        # rows bucketed by a part of the key need no shuffle for a join on all of it
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         # Python call sites in error messages cost a stack walk per column expression
         "spark.sql.dataFrameQueryContext.enabled": "false",
         "spark.ui.enabled": "false",

@@ -1,29 +1,28 @@
-"""Tables as folders of Parquet snapshots.
+"""Stored tables: Parquet tables of the session catalog, partitioned by period and bucketed by key.
 
-A table folder holds `snap=<n>` folders, each split into `bucket` folders. Spark writes `_SUCCESS`
-into a snapshot folder when its job has committed, and only such snapshots are read: a lost job
-leaves the table as it was, and a job may read the table it writes. A small header in `_meta` states
-the schema and what the snapshot does to the ones before it:
+A table is named by its folder. Its rows are partitioned by the period of a date (`PERIOD`) and, within
+a period, bucketed by a hash of the key, both by Spark's own writer. So a merge reads and rewrites only
+the periods it touches, by dynamic partition overwrite: Spark writes beside the old files and moves the
+new ones in place when the job has committed, so a lost job leaves the table as it was and a job may read
+the table it writes. And because the stored side lies in buckets, only the updates are shuffled.
 
-* `full` replaces everything (overwrite, also of the schema),
-* `merge` replaces the buckets it lists (upsert),
-* `append` adds rows (insert-only upsert).
-
-A `Layout` places rows in buckets by a hash of the key and, for large tables, by the period of a date
-column. Updates cluster in recent tickets, so an upsert finds most periods untouched and rewrites the
-few others. A table has one writer at a time; `compact` and `expire_snapshots` keep the folder short.
+A table has one writer at a time. A catalog that forgets, as a session's own one does, gets a table back
+from its folder by `ensure_table`.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
 import json
-from collections.abc import Iterator, Mapping, Sequence
+import re
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import reduce
 from operator import and_
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -31,7 +30,10 @@ from ticketlake.operators.quality import assert_not_null
 from ticketlake.operators.upsert import Key, key_pairs, new_rows, reduce_updates, upsert
 from ticketlake.session import scratch_path
 
-BUCKET = "bucket"
+#: The partition column; a row without a date, and every row of a table without a period, has `NO_PERIOD`.
+PERIOD = "part_period"
+NO_PERIOD = dt.date(1600, 1, 1)
+_PROPERTY = "ticketlake.table"
 
 
 class Layout(NamedTuple):
@@ -53,17 +55,18 @@ class Layout(NamedTuple):
         )
 
 
-# --- folders ----------------------------------------------------------------------------------------
+# --- names and folders ------------------------------------------------------------------------------
+def table_name(path: str) -> str:
+    """Catalog name of the table in a folder."""
+    words = re.sub(r"\W+", "_", path).strip("_").lower()[-80:]
+    return f"{words}_{hashlib.md5(path.rstrip('/').encode()).hexdigest()[:8]}"
+
+
 def _fs(spark: SparkSession, path: str):
     jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()), jvm_path
 
 
-def _children(spark: SparkSession, path: str) -> list[str]:
-    fs, folder = _fs(spark, path)
-    return [status.getPath().getName() for status in fs.listStatus(folder)] if fs.exists(folder) else []
-
-
 def _exists(spark: SparkSession, path: str) -> bool:
     fs, target = _fs(spark, path)
     return fs.exists(target)
@@ -74,238 +77,210 @@ def _remove(spark: SparkSession, path: str) -> None:
     fs.delete(target, True)
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, target = _fs(spark, path)
-    out = fs.create(target, False)
-    out.write(bytearray(text.encode("utf-8")))
-    out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str:
-    fs, target = _fs(spark, path)
-    stream = fs.open(target)
-    try:
-        return bytes(stream.readAllBytes()).decode("utf-8")
-    finally:
-        stream.close()
-
-
-# --- snapshots --------------------------------------------------------------------------------------
-def _snap(path: str, number: int) -> str:
-    return f"{path}/snap={number:08d}"
-
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return spark.catalog.tableExists(table_name(path))
 
-def _meta(path: str, number: int) -> str:
-    return f"{path}/_meta/{number:08d}.json"
 
+# --- definition -------------------------------------------------------------------------------------
+def _definition(spark: SparkSession, path: str) -> tuple[T.StructType, Layout]:
+    """Schema, with required columns as not nullable, and layout of a stored table."""
+    if not table_exists(spark, path):
+        raise FileNotFoundError(f"no table is known in {path}")
+    found = dict(spark.sql(f"SHOW TBLPROPERTIES {table_name(path)}").collect())
+    stated = json.loads(found[_PROPERTY])
+    return T.StructType.fromJson(stated["schema"]), Layout(**stated["layout"])
+
+
+def _create(spark: SparkSession, path: str, schema: T.StructType, layout: Layout) -> None:
+    layout = layout.checked()
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    stated = json.dumps({"schema": schema.jsonValue(), "layout": layout._asdict()}, ensure_ascii=True)
+    stated = stated.replace("\\", "\\\\").replace("'", "\\'")
+    buckets = f"CLUSTERED BY ({', '.join(f'`{k}`' for k in layout.keys)}) INTO {layout.buckets} BUCKETS"
+    spark.sql(
+        f"CREATE TABLE {table_name(path)} ({columns}, {PERIOD} DATE) USING parquet"
+        f" OPTIONS ('partitionOverwriteMode' = 'dynamic') PARTITIONED BY ({PERIOD})"
+        f" {buckets if layout.keys else ''} LOCATION '{path}' TBLPROPERTIES ('{_PROPERTY}' = '{stated}')")
+    if _exists(spark, path):
+        spark.sql(f"ALTER TABLE {table_name(path)} RECOVER PARTITIONS")
 
-def _header(spark: SparkSession, path: str, number: int) -> dict:
-    return json.loads(_read_text(spark, _meta(path, number)))
 
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, layout: Layout = Layout()
+) -> None:
+    """Create a table unless it is known; rows that its folder holds already belong to it.
 
-def committed(spark: SparkSession, path: str) -> list[int]:
-    """Numbers of the snapshots whose job has finished, ascending."""
-    numbers = sorted(int(n[5:]) for n in _children(spark, path) if n.startswith("snap="))
-    return [n for n in numbers if _exists(spark, f"{_snap(path, n)}/_SUCCESS")]
+    Columns declared NOT NULL are enforced by writes.
+    """
+    if not table_exists(spark, path):
+        _create(spark, path, schema, layout)
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(committed(spark, path))
-
-
-def _live(spark: SparkSession, path: str) -> tuple[dict, dict[str, list[str]]]:
-    """Header of the newest snapshot, and the folders to read for each bucket."""
-    numbers = committed(spark, path)
-    if not numbers:
-        raise FileNotFoundError(f"no committed snapshot in {path}")
-    history = []
-    for number in reversed(numbers):
-        history.append((number, _header(spark, path, number)))
-        if history[-1][1]["kind"] == "full":
-            break
-    folders: dict[str, list[str]] = {}
-    for number, header in reversed(history):
-        for bucket in header["replaces"]:
-            folders.pop(bucket, None)
-        for name in _children(spark, _snap(path, number)):
-            if name.startswith(f"{BUCKET}="):
-                bucket = name.split("=", 1)[1]
-                folders.setdefault(bucket, []).append(f"{_snap(path, number)}/{name}")
-    return history[0][1], folders
-
-
-def _read(spark: SparkSession, schema: T.StructType, folders: list[str]) -> DataFrame:
-    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
-
-
-def read_path(spark: SparkSession, path: str) -> DataFrame:
-    """The newest committed state of a table."""
-    header, folders = _live(spark, path)
-    return _read(
-        spark, T.StructType.fromJson(header["schema"]), [f for fs in folders.values() for f in fs]
+def create_catalog_table(
+    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
+) -> None:
+    """A plain Parquet table of the session catalog by its own name; `location` makes it external."""
+    columns = ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema
     )
+    where = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")
 
 
-def bucket_of(layout: Layout, schema: T.StructType, columns: dict[str, Column]) -> Column:
-    """Bucket name of a row, from its layout columns cast to the table's types.
+# --- periods ----------------------------------------------------------------------------------------
+def period_of(layout: Layout, schema: T.StructType, columns: dict[str, Column]) -> Column:
+    """First day of a row's period, from its date cast to the table's type.
 
-    Neither part depends on the session's time zone, so a row always finds its bucket again.
+    It does not depend on the session's time zone, so a row always finds its period again.
     """
-    def typed(name: str) -> Column:
-        return columns[name].cast(schema[name].dataType)
-
-    slot = F.pmod(F.hash(*map(typed, layout.keys)), F.lit(layout.buckets)) if layout.keys else F.lit(0)
     if layout.period is None:
-        return slot.cast("string")
-    moment = typed(layout.period)
+        return F.lit(NO_PERIOD)
+    moment = columns[layout.period].cast(schema[layout.period].dataType)
     zoned = isinstance(schema[layout.period].dataType, T.TimestampType)
     day = F.floor(F.unix_seconds(moment) / 86400) if zoned else F.unix_date(moment.cast("date"))
-    period = F.coalesce(F.floor(day / layout.days).cast("string"), F.lit("none"))
-    return F.concat_ws("_", period, slot.cast("string"))
-
+    first = F.date_from_unix_date((F.floor(day / layout.days) * layout.days).cast("int"))
+    return F.coalesce(first, F.lit(NO_PERIOD))
 
-def _own_bucket(layout: Layout, schema: T.StructType) -> Column:
-    return bucket_of(layout, schema, {name: F.col(f"`{name}`") for name in schema.names})
 
+def _own_period(layout: Layout, schema: T.StructType) -> Column:
+    return period_of(layout, schema, {name: F.col(f"`{name}`") for name in schema.names})
 
-def _layout(header: dict) -> Layout:
-    return Layout(**header["layout"])
 
+def read_path(
+    spark: SparkSession, path: str, since: dt.date | None = None, until: dt.date | None = None
+) -> DataFrame:
+    """The rows of a table; `since` and `until`, both included, select days of its period column.
 
-def _write(
-    df: DataFrame, path: str, kind: str, schema: T.StructType, layout: Layout, tag: str | None,
-    replaces: Sequence[str] = (), rebalance: bool = True,
-) -> int:
-    """Write one snapshot. Required columns are checked in the same job.
-
-    The rebalance hint gathers each bucket's rows in partitions of the advisory size: no small
-    files, and a large bucket is split over tasks.
+    They become partition filters, so periods outside are not listed or read, and a filter of the rows.
     """
-    spark = df.sparkSession
-    seen = [int(n[5:]) for n in _children(spark, path) if n.startswith("snap=")]
-    seen += [int(n.split(".")[0]) for n in _children(spark, f"{path}/_meta") if n.endswith(".json")]
-    number = max(seen, default=-1) + 1
-    header = {
-        "kind": kind, "schema": schema.jsonValue(), "layout": layout.checked()._asdict(), "tag": tag,
-        "replaces": list(replaces),
-    }
-    _write_text(spark, _meta(path, number), json.dumps(header, ensure_ascii=False))
+    schema, layout = _definition(spark, path)
+    rows = _stored(spark, path)
+    if since is not None or until is not None:
+        if layout.period is None:
+            raise ValueError("the table has no period")
+        zoned = isinstance(schema[layout.period].dataType, T.TimestampType)
+        spare = dt.timedelta(days=1 if zoned else 0)  # the session's day may begin in another one of the periods
+        own = F.col(f"`{layout.period}`").cast("date")
+        if since is not None:
+            rows = rows.filter((F.col(PERIOD) > F.lit(since - spare - dt.timedelta(days=layout.days))) & (own >= F.lit(since)))
+        if until is not None:
+            rows = rows.filter((F.col(PERIOD) <= F.lit(until + spare)) & (own <= F.lit(until)))
+    return rows.select(*[F.col(f"`{name}`") for name in schema.names])
+
+
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    """The table with its partition column; files that another session has written meanwhile are seen."""
+    spark.catalog.refreshTable(table_name(path))
+    return spark.read.table(table_name(path))
+
+
+# --- writing ----------------------------------------------------------------------------------------
+def _placed(df: DataFrame, schema: T.StructType, layout: Layout) -> DataFrame:
+    """Rows typed like the table, with their period; required columns are checked in the same job."""
     checked = assert_not_null(df, [f.name for f in schema.fields if not f.nullable])
     columns = [F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields]
-    rows = checked.select(*columns, _own_bucket(layout, schema).alias(BUCKET))
-    if rebalance:
-        rows = rows.hint("rebalance", BUCKET)
-    rows.write.partitionBy(BUCKET).parquet(_snap(path, number))
-    return number
+    return checked.select(*columns, _own_period(layout, schema).alias(PERIOD))
 
 
-def ensure_table(
-    spark: SparkSession, path: str, schema: T.StructType, layout: Layout = Layout()
-) -> None:
-    """Create an empty table unless it exists. Columns declared NOT NULL are enforced by writes."""
-    if not table_exists(spark, path):
-        nullable = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-        _write(spark.createDataFrame([], nullable), path, "full", schema, layout, None, rebalance=False)
+def _dealt(rows: DataFrame, layout: Layout) -> DataFrame:
+    """One task for each bucket, or tasks of the advisory size for a table without buckets."""
+    if layout.keys:
+        return rows.repartition(layout.buckets, *[F.col(f"`{k}`") for k in layout.keys])
+    return rows.hint("rebalance", PERIOD)
 
 
-def create_catalog_table(
-    spark: SparkSession, name: str, schema: T.StructType, location: str | None = None
-) -> None:
-    """The same in the session catalog, as a plain Parquet table; `location` makes it external."""
-    columns = ", ".join(
-        f"`{f.name}` {f.dataType.simpleString()}{'' if f.nullable else ' NOT NULL'}" for f in schema
-    )
-    where = f" LOCATION '{location}'" if location else ""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{where}")
+def _replace(rows: DataFrame, path: str, touched: Iterable[dt.date]) -> None:
+    """Write placed rows over the periods they fall into; of the `touched` ones, those without rows go."""
+    spark, name, seen = rows.sparkSession, table_name(path), Observation()
+    rows.observe(seen, F.collect_set(PERIOD).alias("periods")).write.insertInto(name, overwrite=True)
+    for period in sorted(set(touched) - set(seen.get["periods"])):
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PERIOD} = DATE '{period.isoformat()}')")
+        _remove(spark, f"{path}/{PERIOD}={period.isoformat()}")
+
+
+def _periods(rows: DataFrame) -> list[dt.date]:
+    """The periods of some rows: as many values as the time they span has periods."""
+    return [row[0] for row in rows.select(PERIOD).distinct().collect()]
 
 
 def overwrite_path(
-    df: DataFrame, path: str, layout: Layout = Layout(), tag: str | None = None,
-    required: Sequence[str] = (),
+    df: DataFrame, path: str, layout: Layout = Layout(), required: Sequence[str] = (),
 ) -> None:
-    """Replace a table, its schema included. `df` may read the table it replaces."""
+    """Replace a table. `df` may read the table it replaces.
+
+    With the schema and layout that the table has, a lost job leaves it as it was. With others, the new
+    rows are written to the scratch folder first, and the table is made anew from there.
+    """
+    spark = df.sparkSession
     schema = T.StructType(
         [T.StructField(f.name, f.dataType, f.name not in required) for f in df.schema.fields]
     )
-    _write(df, path, "full", schema, layout, tag)
-
-
-def append_path(df: DataFrame, path: str, tag: str | None = None) -> None:
+    layout = layout.checked()
+    if not table_exists(spark, path):
+        ensure_table(spark, path, schema, layout)
+        _dealt(_placed(df, schema, layout), layout).write.insertInto(table_name(path), overwrite=True)
+    elif _definition(spark, path) == (schema, layout):
+        before = _periods(_stored(spark, path))
+        _replace(_dealt(_placed(df, schema, layout), layout), path, before)
+    else:
+        with staged(df) as rows:
+            spark.sql(f"DROP TABLE {table_name(path)}")
+            _remove(spark, path)
+            overwrite_path(rows, path, layout, required)
+
+
+def append_path(df: DataFrame, path: str) -> None:
     """Add rows to a table."""
-    header, _ = _live(df.sparkSession, path)
-    _write(df, path, "append", T.StructType.fromJson(header["schema"]), _layout(header), tag)
-
-
-def last_tag(spark: SparkSession, path: str) -> str | None:
-    """Tag of the newest snapshot that has one, e.g. the stream batch it came from."""
-    for number in reversed(committed(spark, path)):
-        tag = _header(spark, path, number)["tag"]
-        if tag is not None:
-            return tag
-    return None
-
-
-def compact(spark: SparkSession, path: str) -> None:
-    """Rewrite the live rows as one snapshot."""
-    header, _ = _live(spark, path)
-    schema = T.StructType.fromJson(header["schema"])
-    _write(read_path(spark, path), path, "full", schema, _layout(header), last_tag(spark, path))
-
-
-def expire_snapshots(spark: SparkSession, path: str) -> list[int]:
-    """Delete the snapshots before the newest full one; no reader of the live state needs them."""
-    numbers = committed(spark, path)
-    full = [n for n in numbers if _header(spark, path, n)["kind"] == "full"]
-    expired = [n for n in numbers if full and n < full[-1]]
-    for number in expired:
-        _remove(spark, _snap(path, number))
-        _remove(spark, _meta(path, number))
-    return expired
+    schema, layout = _definition(df.sparkSession, path)
+    _dealt(_placed(df, schema, layout), layout).write.insertInto(table_name(path))
 
 
 def rename_overwrite(spark: SparkSession, path: str, mapping: dict[str, str]) -> None:
     """Rename columns of a stored table by rewriting it, keys included."""
-    header, _ = _live(spark, path)
-    required = [mapping.get(f["name"], f["name"]) for f in header["schema"]["fields"] if not f["nullable"]]
+    schema, layout = _definition(spark, path)
+    required = [mapping.get(f.name, f.name) for f in schema if not f.nullable]
     overwrite_path(
-        read_path(spark, path).withColumnsRenamed(mapping), path, _layout(header).renamed(mapping),
-        required=required,
-    )
+        read_path(spark, path).withColumnsRenamed(mapping), path, layout.renamed(mapping), required=required)
 
 
 def upsert_table(
     spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[Key], update_cols=None,
     insert_cols=None, *, latest_by: Sequence[Column | str] = (), null_safe: bool = True,
-    keep_newer: bool = False, tag: str | None = None,
+    keep_newer: bool = False, reduced: bool = False,
 ) -> None:
     """Merge updates into a stored table (see `operators.upsert.upsert`).
 
     Updates are reduced to one row per key and staged in the shared scratch folder: they are
     computed once, later steps do not depend on the executors that made them, and their size is
-    known. Only the buckets that hold their keys, or will, are read and rewritten; an insert-only
-    merge rewrites nothing and appends. The staged updates have one row per key and a size that Spark
-    knows; the buckets are rewritten through one full outer join.
+    known. `reduced` says that they have one row per key already. Only the periods that hold their keys, or will, are read and rewritten; an insert-only
+    merge rewrites nothing and appends. The stored rows lie in buckets of the key, so only the updates
+    are shuffled to them, unless an update has a NULL in one of the bucket's columns.
     """
     pairs = key_pairs(keys)
-    header, folders = _live(spark, path)
-    schema, layout = T.StructType.fromJson(header["schema"]), _layout(header)
+    schema, layout = _definition(spark, path)
     if not set(layout.keys) <= {t for t, _ in pairs}:
         raise ValueError(f"table is bucketed by {layout.keys}, which is not part of the merge key")
-    reduced = reduce_updates(updates, [s for _, s in pairs], latest_by, null_safe)
-    place = bucket_of(layout, schema, _source_columns(updates, schema, pairs, insert_cols))
-    with staged(reduced.withColumn(BUCKET, place)) as stage:
-        source = stage.drop(BUCKET)
-        touched = _touched(spark, stage, pairs, schema, layout, folders, null_safe)
-        target = _read(spark, schema, [f for b in touched for f in folders.get(b, [])])
+    one_per_key = updates if reduced else reduce_updates(updates, [s for _, s in pairs], latest_by, null_safe)
+    place = period_of(layout, schema, _source_columns(updates, schema, pairs, insert_cols))
+    with staged(one_per_key.withColumn(PERIOD, place)) as stage:
+        source = stage.drop(PERIOD)
+        nulls = [F.count_if(F.col(f"`{dict(pairs)[k]}`").isNull()) for k in layout.keys]
+        periods, *without = stage.agg(F.collect_set(PERIOD), *nulls).first()
+        plain = [k for k, n in zip(layout.keys, without) if not n]
+        stored = _stored(spark, path)
+        touched = {*periods, *_homes(stored, stage, pairs, layout, null_safe, plain)}
+        target = stored.filter(F.col(PERIOD).isin(touched)).select(*[F.col(f"`{n}`") for n in schema.names])
         if update_cols is not None and not update_cols:
-            rows = new_rows(target, source, keys, insert_cols, null_safe=null_safe, reduced=True)
-            _write(rows, path, "append", schema, layout, tag)
+            rows = new_rows(
+                target, source, keys, insert_cols, null_safe=null_safe, reduced=True, filled=plain)
+            _dealt(_placed(rows, schema, layout), layout).write.insertInto(table_name(path))
             return
         rows = upsert(
             target, source, keys, update_cols, insert_cols, latest_by=latest_by, null_safe=null_safe,
-            reduced=True, keep_newer=keep_newer,
+            reduced=True, keep_newer=keep_newer, filled=plain,
         )
-        _write(rows, path, "merge", schema, layout, tag, replaces=touched)
+        placed = _placed(rows, schema, layout)
+        _replace(placed if plain else _dealt(placed, layout), path, touched)
 
 
 def _source_columns(updates: DataFrame, schema: T.StructType, pairs, insert_cols) -> dict[str, Column]:
@@ -318,24 +293,20 @@ def _source_columns(updates: DataFrame, schema: T.StructType, pairs, insert_cols
     }
 
 
-def _touched(spark, stage, pairs, schema, layout, folders, null_safe) -> list[str]:
-    """Names of the buckets an upsert has to rewrite: few values, bounded by the layout.
+def _homes(stored: DataFrame, stage: DataFrame, pairs, layout: Layout, null_safe: bool, plain) -> list[dt.date]:
+    """The periods in which rows with the updates' keys live, when the period is not part of the key.
 
-    Those the updates themselves fall into, and, when the period is not part of the key, those in
-    which rows with the same keys live so far; finding them reads only the key and period columns.
+    Few values, bounded by the layout; finding them reads only the key and period columns.
     """
-    buckets = stage.select(BUCKET)
-    if layout.period is not None and layout.period not in dict(pairs):
-        needed = list(dict.fromkeys([*dict(pairs), *layout.keys, layout.period]))
-        known = _read(spark, schema, [f for fs in folders.values() for f in fs]).select(*needed)
-        wanted = stage.select(*[F.col(f"`{s}`").alias(f"__u_{t}") for t, s in pairs])
-        same = [
-            known[t].eqNullSafe(wanted[f"__u_{t}"]) if null_safe else known[t] == wanted[f"__u_{t}"]
-            for t, _ in pairs
-        ]
-        hits = known.join(wanted, reduce(and_, same), "left_semi")
-        buckets = buckets.union(hits.select(bucket_of(layout, schema, {n: F.col(n) for n in needed})))
-    return sorted(row[0] for row in buckets.distinct().collect())
+    if layout.period is None or layout.period in dict(pairs):
+        return []
+    known = stored.select(*dict(pairs), PERIOD)
+    wanted = stage.select(*[F.col(f"`{s}`").alias(f"__u_{t}") for t, s in pairs])
+    same = [
+        known[t].eqNullSafe(wanted[f"__u_{t}"]) if null_safe and t not in plain else known[t] == wanted[f"__u_{t}"]
+        for t, _ in pairs
+    ]
+    return _periods(known.join(wanted, reduce(and_, same), "left_semi"))
 
 
 @contextmanager

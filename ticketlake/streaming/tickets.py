@@ -9,9 +9,6 @@ would drop unseen is routed to a table of late rows instead.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +20,10 @@ from ticketlake.sources import tables
 from ticketlake.sources.readers import stream_tickets
 
 
+#: Days of windows that a stored table of counts keeps in one partition.
+WINDOW_PERIOD_DAYS = 7
+
+
 def ingest_stream(
     spark: SparkSession, src: str, schema: T.StructType, dst: str, checkpoint: str,
     max_files: int | None = None,
@@ -43,59 +44,54 @@ def upsert_stream(
 ) -> DataStreamWriter:
     """Merge every micro-batch into a stored table.
 
-    A batch is reduced to the latest row per key, and an older row never replaces a newer one. The
-    snapshot remembers the batch it came from, so a batch that is delivered again after a failure
-    is not applied twice.
+    A batch is reduced to the latest row per key, and an older row never replaces a newer one, so a
+    batch that is delivered again after a failure changes nothing.
     """
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if applied_batch(spark, path, checkpoint) >= batch_id:
-            return
         tables.upsert_table(
-            spark, path, batch, keys, update_cols, insert_cols, latest_by=latest_by, keep_newer=True,
-            tag=f"{checkpoint}#{batch_id}",
-        )
+            batch.sparkSession, path, batch, keys, update_cols, insert_cols, latest_by=latest_by, keep_newer=True)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
 
-def applied_batch(spark: SparkSession, path: str, checkpoint: str) -> int:
-    """Number of the last batch of this stream the table holds, -1 when there is none."""
-    stream, _, number = (tables.last_tag(spark, path) or "").rpartition("#")
-    return int(number) if stream == checkpoint else -1
-
-
 def live_counts(
     stream: DataFrame, path: str, ts: str, width: str, by: Sequence[str], checkpoint: str
 ) -> DataStreamWriter:
-    """Keep a stored table of rows per tumbling window and group up to date.
+    """Keep a stored table of rows per tumbling window and group up to date, however late rows come.
 
-    Each micro-batch adds its counts, so open windows show what has arrived, late rows still count and
-    the result does not depend on how files fall into batches. The table holds `window_start`,
-    `window_end`, the groups and `n`; a batch that is delivered again is not added twice.
+    The counts live in state, one for each window and group as in the table. Each micro-batch writes the
+    whole counts of the windows that it changed and no others, so open windows show what has arrived, a
+    batch that is delivered again changes nothing, and the result does not depend on how files fall into
+    batches. `window_counts` is the form whose state forgets old windows.
     """
+    counts = _counted(stream, ts, width, by)
+    return counts.writeStream.outputMode("update").foreachBatch(_merge_counts(path, by)).option("checkpointLocation", checkpoint)
+
+
+def _counted(stream: DataFrame, ts: str, width: str, by: Sequence[str]) -> DataFrame:
+    return stream.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
+
+
+def _merge_counts(path: str, by: Sequence[str]):
     keys = ["window_start", "window_end", *by]
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    def merge(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        counts = batch.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
-        tables.ensure_table(spark, path, counts.schema)
-        if applied_batch(spark, path, checkpoint) >= batch_id:
-            return
-        before = tables.read_path(spark, path).select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("n").alias("_n"))
-        same = reduce(and_, (F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys))
-        added = counts.join(before, same, "left").select(*keys, (F.col("n") + F.coalesce("_n", F.lit(0))).alias("n"))
-        tables.upsert_table(spark, path, added, keys, tag=f"{checkpoint}#{batch_id}")
+        tables.ensure_table(spark, path, batch.schema, tables.Layout(["window_start"], 1, "window_start", WINDOW_PERIOD_DAYS))
+        tables.upsert_table(spark, path, batch, keys, reduced=True)
 
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return merge
 
 
-def sla_alerts(stream: DataFrame, path: str, limits: DataFrame, checkpoint: str) -> DataStreamWriter:
+def sla_alerts(
+    stream: DataFrame, path: str, limits: DataFrame, checkpoint: str, buckets: int = 4
+) -> DataStreamWriter:
     """Keep a stored table of alerts: one row per ticket whose age exceeds the limit of its priority.
 
     `limits` is a static `(priority, hours)` table. A ticket keeps its earliest breach, in whatever
-    order its updates arrive, and never alerts again.
+    order its updates arrive, and never alerts again. The age is that of an update; `sla_breaches` also
+    finds tickets that nobody updates.
     """
     age = elapsed_seconds(F.col("Ouvert"), F.col("Mis_a_jour"))
     earliest = [-F.unix_micros(F.col("Mis_a_jour").cast("timestamp"))]
@@ -104,10 +100,8 @@ def sla_alerts(stream: DataFrame, path: str, limits: DataFrame, checkpoint: str)
         spark = batch.sparkSession
         late = batch.join(limits, F.col("Priorite") == F.col("priority"), "inner").filter(age > F.col("hours") * 3600)
         alerts = late.select("Numero", "Priorite", "hours", "Ouvert", "Mis_a_jour", age.alias("age_seconds"))
-        tables.ensure_table(spark, path, alerts.schema, tables.Layout(["Numero"], int(spark.conf.get("spark.sql.shuffle.partitions"))))
-        if applied_batch(spark, path, checkpoint) < batch_id:
-            tables.upsert_table(
-                spark, path, alerts, ["Numero"], latest_by=earliest, keep_newer=True, tag=f"{checkpoint}#{batch_id}")
+        tables.ensure_table(spark, path, alerts.schema, tables.Layout(["Numero"], buckets, "Ouvert"))
+        tables.upsert_table(spark, path, alerts, ["Numero"], latest_by=earliest, keep_newer=True)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
 
@@ -146,17 +140,9 @@ def window_counts(
     """
     timely, late = split_late(stream, ts, arrival, delay)
     marked = timely.withWatermark(ts, f"{_seconds(stream.sparkSession, delay, disorder)} seconds")
-    counts = marked.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by, "n")
-    keys = ["window_start", "window_end", *by]
-
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        tables.ensure_table(spark, path, batch.schema, tables.Layout(keys, period="window_start"))
-        tables.upsert_table(spark, path, batch, keys)
-
+    counts = _counted(marked, ts, width, by).writeStream.outputMode("update").foreachBatch(_merge_counts(path, by))
     return [
-        counts.writeStream.outputMode("update").foreachBatch(merge).option("checkpointLocation", f"{checkpoint}/counts"),
+        counts.option("checkpointLocation", f"{checkpoint}/counts"),
         late.writeStream.format("parquet").outputMode("append").option("path", late_path)
         .option("checkpointLocation", f"{checkpoint}/late"),
     ]
@@ -254,12 +240,13 @@ def sla_breaches(
 
 
 def breach_alerts(
-    stream: DataFrame, path: str, limits: DataFrame, closed: Sequence[str], delay: str, checkpoint: str
+    stream: DataFrame, path: str, limits: DataFrame, closed: Sequence[str], delay: str, checkpoint: str,
+    buckets: int = 4,
 ) -> DataStreamWriter:
     """Keep a stored table of `sla_breaches`: one row for each ticket, the first breach heard of."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        tables.ensure_table(spark, path, batch.schema, tables.Layout(["Numero"], period="Ouvert"))
+        tables.ensure_table(spark, path, batch.schema, tables.Layout(["Numero"], buckets, "Ouvert"))
         tables.upsert_table(spark, path, batch, ["Numero"], [])
 
     return (
