@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -106,6 +106,58 @@ def upsert(
     )
 
 
+def merge_changes(
+    target: DataFrame,
+    updates: DataFrame,
+    keys: Sequence[Key],
+    update_cols: Sequence[str] | Mapping[str, str] | None = None,
+    insert_cols: Sequence[str] | Mapping[str, str] | None = None,
+    *,
+    latest_by: Sequence[Column | str] = (),
+    reduced: bool = False,
+    keep_newer: bool = False,
+    filled: Sequence[str] = (),
+) -> DataFrame:
+    """What a merge by null-safe keys (`upsert`) changes: the target's keys, `op`, `before` and `after`.
+
+    `op` is `insert`, with `before` NULL, or `update`; both sides are structs of the target's columns. An
+    update that changes no value is no change. Only rows that meet an update are looked at: the join
+    starts from the updates, which have one row per key.
+    """
+    pairs = key_pairs(keys)
+    key_of = dict(pairs)
+    others = [c for c in target.columns if c not in key_of]
+    to_update = _column_map(update_cols, others, updates)
+    to_insert = {**_column_map(insert_cols, others, updates), **key_of}
+    one_per_key = updates if reduced else reduce_updates(updates, [s for _, s in pairs], latest_by)
+    typed = one_per_key.withColumns({
+        f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in target.schema.fields if f.name in one_per_key.columns})
+    ages = {f"__age_{i}": as_column(c) for i, c in enumerate(latest_by if keep_newer else [])}
+    known = target.withColumns({**ages, "__in_target": F.lit(True)})
+    joined = _prefixed(typed.withColumns(ages)).join(known, _match(pairs, filled), "left")
+    is_new = F.col("__in_target").isNull()
+    taken = ~is_new
+    if ages:
+        taken &= F.struct(*[F.col(f"__u_{a}") for a in ages]) >= F.struct(*[F.col(a) for a in ages])
+    before = [F.col(f"`{c}`") for c in target.columns]
+    inserted = _inserted(target, to_insert)
+    updated = [
+        F.col(f"`__u_{to_update[f.name]}`").cast(f.dataType) if f.name in to_update else F.col(f"`{f.name}`")
+        for f in target.schema.fields
+    ]
+    differs = reduce(or_, (~old.eqNullSafe(new) for old, new in zip(before, updated)))
+    after = [F.when(is_new, i).otherwise(u).alias(c) for c, i, u in zip(target.columns, inserted, updated)]
+    return joined.filter(is_new | (taken & differs)).select(
+        F.when(is_new, "insert").otherwise("update").alias("op"), F.when(~is_new, F.struct(*before)).alias("before"),
+        F.struct(*after).alias("after"),
+    ).select(*[F.col(f"after.`{t}`").alias(t) for t, _ in pairs], "op", "before", "after")
+
+
+def changed_rows(changes: DataFrame) -> DataFrame:
+    """The rows as they are after the changes, for a load that takes only what is new."""
+    return changes.select("after.*")
+
+
 def new_rows(
     target: DataFrame, updates: DataFrame, keys: Sequence[Key], insert_cols=None, *,
     latest_by: Sequence[str] = (), null_safe: bool = True, reduced: bool = False, filled: Sequence[str] = (),

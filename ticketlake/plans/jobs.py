@@ -60,20 +60,28 @@ def _together(*loads: Callable[[], None], at_once: int = 4) -> None:
 def _merge(
     path: str, schema: T.StructType, updates: DataFrame, keys: Sequence[Key], update_cols,
     latest_by: Sequence[Column | str] = (), layout: tables.Layout = tables.Layout(),
+    changes_to: str | None = None,
 ) -> None:
     spark = updates.sparkSession
     tables.ensure_table(spark, path, schema, layout)
     tables.upsert_table(
-        spark, path, updates, keys, update_cols, latest_by=latest_by, keep_newer=bool(latest_by))
+        spark, path, updates, keys, update_cols, latest_by=latest_by, keep_newer=bool(latest_by),
+        changes_to=changes_to)
 
 
 # --- silver -------------------------------------------------------------------------------------------
-def load_incidents(bronze: DataFrame, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS) -> None:
-    """Merge an incident extract; several rows of one ticket in it leave the latest."""
+def load_incidents(
+    bronze: DataFrame, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS, changes_to: str | None = None,
+) -> None:
+    """Merge an incident extract; several rows of one ticket in it leave the latest.
+
+    `changes_to` names a folder for what the merge changes; `changed_rows` of it is all that the next
+    gold load needs.
+    """
     _merge(
         silver_path(root, "supervision_silver"), schemas.INCIDENTS_SILVER, bronze,
         schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, ["Mis_a_jour"],
-        tables.Layout(["Numero"], buckets, "Ouvert", days),
+        tables.Layout(["Numero"], buckets, "Ouvert", days), changes_to,
     )
 
 
@@ -92,22 +100,24 @@ def load_assignees(bronze: DataFrame, root: str, buckets: int = BUCKETS) -> None
 
 def load_deployments(
     bronze: DataFrame, root: str, holidays: DataFrame | Iterable,
-    buckets: int = BUCKETS, days: int = PERIOD_DAYS,
+    buckets: int = BUCKETS, days: int = PERIOD_DAYS, changes_to: str | None = None,
 ) -> None:
     """Clean, classify and merge a deployment extract."""
     _merge(
         silver_path(root, "MEP_silver"), schemas.DEPLOYMENTS_SILVER,
         clean.clean_deployments(bronze, holidays), schemas.DEPLOYMENT_KEYS, schemas.DEPLOYMENT_UPDATES,
-        latest_at("Mis_a_jour", "Mis_h"), tables.Layout(["Numero"], buckets, "Ouvert", days),
+        latest_at("Mis_a_jour", "Mis_h"), tables.Layout(["Numero"], buckets, "Ouvert", days), changes_to,
     )
 
 
-def load_requests(bronze: DataFrame, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS) -> None:
+def load_requests(
+    bronze: DataFrame, root: str, buckets: int = BUCKETS, days: int = PERIOD_DAYS, changes_to: str | None = None,
+) -> None:
     """Clean, classify and merge a request extract; open requests are left out."""
     _merge(
         silver_path(root, "demandes_silver"), schemas.REQUESTS_SILVER, clean.clean_requests(bronze),
         schemas.REQUEST_KEYS, schemas.REQUEST_UPDATES, latest_at("Ferme", "Ferme_h"),
-        tables.Layout(["Numero"], buckets, "Cree", days),
+        tables.Layout(["Numero"], buckets, "Cree", days), changes_to,
     )
 
 
@@ -162,7 +172,7 @@ def load_incident_gold(
     spark: SparkSession, root: str, group_lookup: DataFrame, changed: DataFrame | None = None,
     buckets: int = BUCKETS, days: int = PERIOD_DAYS,
 ) -> None:
-    """Incident dimensions, then the fact. `changed` limits the load to rows new since the last one."""
+    """Incident dimensions, then the fact. `changed` limits the load to rows new since the last one (`changed_rows`)."""
     source = silver(spark, root, "supervision_silver") if changed is None else changed
     _together(
         *_dim_loads(source, root, star.INCIDENT_DATES, star.INCIDENT_DIMS),

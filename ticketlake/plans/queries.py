@@ -12,9 +12,11 @@ from pyspark.sql import functions as F
 
 from ticketlake import schemas
 from ticketlake.functions.bands import shift_band, working_hours_band
+from ticketlake.functions.times import elapsed_seconds
 from ticketlake.operators import clean, dims, facts, metrics, quality
+from ticketlake.operators.incremental import deltas, folded
 from ticketlake.operators.keys import max_id
-from ticketlake.operators.upsert import upsert
+from ticketlake.operators.upsert import changed_rows, merge_changes, upsert
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans import jobs, star
 from ticketlake.plans.oracle_views import hours_band_sql, shift_sql, with_views
@@ -476,6 +478,27 @@ def upsert_stored(spark, sf):
     return tables.read_path(spark, path)
 
 
+_CHANGED = [c for c in schemas.INCIDENTS_CSV.names if c not in schemas.INCIDENT_KEYS]
+
+
+@query("upsert_changes", f"""
+    SELECT coalesce(t.Numero, u.Numero) AS Numero, coalesce(t.Groupe_affectation, u.Groupe_affectation) AS Groupe_affectation,
+           CASE WHEN t.here IS NULL THEN 'insert' ELSE 'update' END AS op, t.Etat AS state_before, t.Mis_a_jour AS changed_before,
+           u.Etat AS state_after, u.Mis_a_jour AS changed_after
+    FROM (SELECT * FROM v_load2 QUALIFY row_number() OVER (PARTITION BY {', '.join(schemas.INCIDENT_KEYS)} ORDER BY
+          Mis_a_jour DESC NULLS LAST, {', '.join(f'{c} NULLS FIRST' for c in _CHANGED)}) = 1) u
+    LEFT JOIN (SELECT *, 1 AS here FROM v_load1) t ON {' AND '.join(f't.{k} IS NOT DISTINCT FROM u.{k}' for k in schemas.INCIDENT_KEYS)}
+    WHERE t.here IS NULL OR {' OR '.join(f't.{c} IS DISTINCT FROM u.{c}' for c in schemas.INCIDENT_UPDATES)}""")
+def upsert_changes(spark, sf):
+    """What the second extract changes in silver: told by the function, row by row."""
+    first, second = fx.incident_loads(spark, sf)
+    changes = merge_changes(first, second, schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, latest_by=["Mis_a_jour"])
+    return changes.select(
+        "after.Numero", "after.Groupe_affectation", "op", F.col("before.Etat").alias("state_before"),
+        F.col("before.Mis_a_jour").alias("changed_before"), F.col("after.Etat").alias("state_after"),
+        F.col("after.Mis_a_jour").alias("changed_after"))
+
+
 @query("upsert_deployments", upsert_sql(
     _LOAD_VIEWS["deployments"][0],
     f"(SELECT * REPLACE ('Clos' AS Etat) FROM {_LOAD_VIEWS['deployments'][1]})",
@@ -848,3 +871,56 @@ def kpi_sla(spark, sf):
 add("kpi_long_running", lambda s, sf: metrics.kpi_long_running(star.incident_star(s, sf, [])[0], 20), f"""
     SELECT Numero, Ouvert, Mis_a_jour, {_SECONDS_SQL} AS seconds FROM v_incidents
     ORDER BY seconds DESC NULLS LAST, Numero LIMIT 20""")
+
+
+# --- metrics kept up to date from changes -----------------------------------------------------------------
+_REOPENED = "(SELECT * REPLACE ('En cours' AS Etat) FROM v_load1 WHERE substr(Numero, 4)::BIGINT % 10 = 0)"
+_THREE_LOADS = upsert_sql("(" + upsert_sql(
+    "v_load1", "v_load2", schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, schemas.INCIDENTS_CSV.names, ["Mis_a_jour"]) + ")",
+    _REOPENED, schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, schemas.INCIDENTS_CSV.names, ["Mis_a_jour"])
+
+
+def _kept_totals(spark, sf, by, sums, where=None) -> DataFrame:
+    """Three extracts merged into silver one after the other; after each one its changes go into the totals."""
+    root, totals = scratch_path(spark, "lake"), scratch_path(spark, "totals")
+    first, second = fx.incident_loads(spark, sf)
+    reopened = first.filter(fx.incident_key(first) % 10 == 0).withColumn("Etat", F.lit(fx.OPEN_STATES[0]))
+    for i, load in enumerate((first, second, reopened)):
+        feed = f"{root}/changes/{i}"
+        jobs.load_incidents(load, root, buckets=4, days=400, changes_to=feed)
+        added = deltas(spark.read.parquet(feed), by, sums, where)
+        known = tables.read_path(spark, totals) if i else None
+        tables.overwrite_path(folded(known, added, list(by)), totals)
+    return tables.read_path(spark, totals)
+
+
+@query("kpi_state_counts_incremental", f"SELECT Etat, count(*) AS n FROM ({_THREE_LOADS}) GROUP BY Etat")
+def kpi_state_counts_incremental(spark, sf):
+    return _kept_totals(spark, sf, {"Etat": lambda row: row["Etat"]}, {})
+
+
+@query("kpi_mttr_month_incremental", f"""
+    SELECT year(Ouvert)::INTEGER AS annee, month(Ouvert)::INTEGER AS mois, count(*) AS closed_tickets,
+           {_MEAN_SQL.format(s=_SECONDS_SQL)} AS mttr_hours FROM ({_THREE_LOADS}) WHERE {_CLOSED_SQL} GROUP BY 1, 2""")
+def kpi_mttr_month_incremental(spark, sf):
+    """Sums and counts are kept; a reopened ticket's duration is taken back."""
+    totals = _kept_totals(
+        spark, sf, {"annee": lambda row: F.year(row["Ouvert"]), "mois": lambda row: F.month(row["Ouvert"])},
+        {"seconds": lambda row: elapsed_seconds(row["Ouvert"], row["Mis_a_jour"])}, lambda row: row["Etat"].isin(*CLOSED))
+    return totals.select(
+        "annee", "mois", F.col("n").alias("closed_tickets"), F.round(F.col("seconds") / F.col("n") / 3600, 2).alias("mttr_hours"))
+
+
+@query("pipeline_incidents_changes", f"""SELECT {', '.join(_INCIDENT_RESULT)} FROM ({upsert_sql(
+    'v_load1', 'v_load2', schemas.INCIDENT_KEYS, schemas.INCIDENT_UPDATES, schemas.INCIDENTS_CSV.names, ['Mis_a_jour'])})
+    QUALIFY row_number() OVER (PARTITION BY Numero ORDER BY Mis_a_jour DESC) = 1""")
+def pipeline_incidents_changes(spark, sf):
+    """The gold fact loaded from the changes of each silver merge alone."""
+    root = scratch_path(spark, "lake")
+    for i, load in enumerate(fx.incident_loads(spark, sf)):
+        feed = f"{root}/changes/{i}"
+        jobs.load_incidents(load, root, buckets=4, days=400, changes_to=feed)
+        changed = changed_rows(spark.read.parquet(feed))
+        jobs.load_incident_gold(spark, root, fx.group_types(spark), changed=changed, buckets=4, days=400)
+    fact = jobs.gold(spark, root, "factSupervision_gold")
+    return without_zone(_labelled(fact, facts.INCIDENT_LOOKUPS, partial(jobs.gold, spark, root)).select(*_INCIDENT_RESULT))

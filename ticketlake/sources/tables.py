@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlake.operators.quality import assert_not_null
-from ticketlake.operators.upsert import Key, key_pairs, new_rows, reduce_updates, upsert
+from ticketlake.operators.upsert import Key, key_pairs, merge_changes, new_rows, reduce_updates, upsert
 from ticketlake.session import scratch_path
 
 #: The partition column; a row without a date, and every row of a table without a period, has `NO_PERIOD`.
@@ -246,7 +246,7 @@ def rename_overwrite(spark: SparkSession, path: str, mapping: dict[str, str]) ->
 def upsert_table(
     spark: SparkSession, path: str, updates: DataFrame, keys: Sequence[Key], update_cols=None,
     insert_cols=None, *, latest_by: Sequence[Column | str] = (), null_safe: bool = True,
-    keep_newer: bool = False, reduced: bool = False,
+    keep_newer: bool = False, reduced: bool = False, changes_to: str | None = None,
 ) -> None:
     """Merge updates into a stored table (see `operators.upsert.upsert`).
 
@@ -254,7 +254,8 @@ def upsert_table(
     computed once, later steps do not depend on the executors that made them, and their size is
     known. `reduced` says that they have one row per key already. Only the periods that hold their keys, or will, are read and rewritten; an insert-only
     merge rewrites nothing and appends. The stored rows lie in buckets of the key, so only the updates
-    are shuffled to them, unless an update has a NULL in one of the bucket's columns.
+    are shuffled to them, unless an update has a NULL in one of the bucket's columns. `changes_to` names
+    a folder that takes what the merge changes (`operators.upsert.merge_changes`), written before it.
     """
     pairs = key_pairs(keys)
     schema, layout = _definition(spark, path)
@@ -270,6 +271,13 @@ def upsert_table(
         stored = _stored(spark, path)
         touched = {*periods, *_homes(stored, stage, pairs, layout, null_safe, plain)}
         target = stored.filter(F.col(PERIOD).isin(touched)).select(*[F.col(f"`{n}`") for n in schema.names])
+        if changes_to is not None:
+            if not null_safe:
+                raise ValueError("changes are told for null-safe keys")
+            merge_changes(
+                target, source, keys, update_cols, insert_cols, latest_by=latest_by, reduced=True,
+                keep_newer=keep_newer, filled=plain,
+            ).write.parquet(changes_to)
         if update_cols is not None and not update_cols:
             rows = new_rows(
                 target, source, keys, insert_cols, null_safe=null_safe, reduced=True, filled=plain)
