@@ -2,6 +2,10 @@
 
 Every stage takes the session, the documents its predecessor kept and the folder of the tables. All but
 the last return the columns of `documents`.
+
+A null text counts as the empty text throughout, and very long texts are worked on whole. An empty table
+gives an empty result in every stage. Repeated rows are judged alike by the quality and language stages,
+are one group in the near-duplicate stage, and are masked and packed each for itself.
 """
 
 from __future__ import annotations
@@ -20,11 +24,13 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 GOOD = 0.3
 SEQUENCE_TOKENS, END_ID = 4096, 1
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
+#: Smaller batches than in single queries: an executor's heap, grown by the stages before, stays beside them.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "500", "spark.sql.execution.arrow.maxBytesPerBatch": "4m"}
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier doesn't reject; labels of held-out ids are not learned from."""
-    on_workers(spark)
+    on_workers(spark, BATCH)
     labels = table(spark, sf_dir, "labels").filter(id_fold(F.col("doc_id"), 5) != 0)
     model = quality.fit(docs, labels)
     return docs.filter(quality.score_column(model, F.col("text")) >= GOOD)
@@ -32,7 +38,7 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; undetermined ones go, unless no language was learned."""
-    on_workers(spark)
+    on_workers(spark, BATCH)
     model = language_id.fit(docs)
     if not model.langs:
         return docs
@@ -42,7 +48,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates, that of the smallest id."""
-    on_workers(spark)
+    on_workers(spark, BATCH)
     return near_dup.deduplicated(docs)
 
 
@@ -54,7 +60,7 @@ def without_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces with their places in training sequences."""
-    on_workers(spark)
+    on_workers(spark, BATCH)
     pieces = packing.token_pieces(docs.select("doc_id", "text"), TOKENIZER, SEQUENCE_TOKENS, END_ID)
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"), SEQUENCE_TOKENS)
 

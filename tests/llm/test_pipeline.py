@@ -11,7 +11,7 @@ import __spark_entry__ as entry
 def test_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13
 
 
 def test_stages(spark):

@@ -14,13 +14,13 @@ from ticketlake.session import scratch_path
 BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000", "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
 
 
-def on_workers(spark: SparkSession) -> None:
+def on_workers(spark: SparkSession, batch: dict[str, str] = BATCH) -> None:
     """Let Python workers import this library from the folder where the driver has it.
 
     A folder that a worker's machine lacks is passed over, so an installed copy is used there. Also
-    bounds what a worker holds of a text column by `BATCH`.
+    bounds what a worker holds of a text column by `batch`.
     """
-    for key, value in BATCH.items():
+    for key, value in batch.items():
         spark.conf.set(key, value)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     environment = spark.sparkContext.environment
