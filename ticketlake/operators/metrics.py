@@ -68,12 +68,13 @@ def kpi_mttr(fact: DataFrame, dims: Dims, closed: Sequence[str]) -> DataFrame:
     )
 
 
-def kpi_mttr_month(fact: DataFrame, dims: Dims, closed: Sequence[str]) -> DataFrame:
-    """Mean time to resolve by opening year and month."""
+def kpi_mttr_month(fact: DataFrame, dims: Dims, closed: Sequence[str], seconds: Column | None = None) -> DataFrame:
+    """Mean time to resolve by opening year and month; `seconds` is another measure of it than real time."""
+    seconds = resolution_seconds() if seconds is None else seconds
     return (
         _in_states(fact, dims, closed)
         .groupBy(F.year("Ouvert").alias("annee"), F.month("Ouvert").alias("mois"))
-        .agg(F.count("*").alias("closed_tickets"), mean_hours(resolution_seconds()).alias("mttr_hours"))
+        .agg(F.count("*").alias("closed_tickets"), mean_hours(seconds).alias("mttr_hours"))
     )
 
 
@@ -218,12 +219,16 @@ def kpi_collab_rank(*parts: tuple[DataFrame, DataFrame, Column]) -> DataFrame:
     return global_row_number(named, order, name="rank")
 
 
-def kpi_sla(fact: DataFrame, dims: Dims, limits: DataFrame, closed: Sequence[str]) -> DataFrame:
+def kpi_sla(
+    fact: DataFrame, dims: Dims, limits: DataFrame, closed: Sequence[str], seconds: Column | None = None
+) -> DataFrame:
     """Share of closed tickets resolved within the limit of their priority.
 
     `limits` is `(priority, hours)`; it is resolved to keys before it meets the fact. A priority
-    without a limit, and tickets without a priority, have a row of their own without a share.
+    without a limit, and tickets without a priority, have a row of their own without a share. `seconds`
+    is another measure of the time to resolve than real time.
     """
+    seconds = resolution_seconds() if seconds is None else seconds
     allowed = dims["priorite"].join(limits, F.col("Priorite") == F.col("priority"), "left").select(
         "ID_Priorite", F.col("Priorite").alias("label"), (F.col("hours") * 3600).alias("limit_s")
     )
@@ -232,17 +237,18 @@ def kpi_sla(fact: DataFrame, dims: Dims, limits: DataFrame, closed: Sequence[str
         timed.groupBy(F.col("label").alias("priority"))
         .agg(
             F.count("*").alias("closed_tickets"),
-            F.count_if(resolution_seconds() <= F.col("limit_s")).alias("within_limit"),
+            F.count_if(seconds <= F.col("limit_s")).alias("within_limit"),
             F.count("limit_s").alias("limited"),
         )
         .withColumn("compliance", F.round(F.try_divide("within_limit", "limited"), 4)).drop("limited")
     )
 
 
-def kpi_long_running(fact: DataFrame, k: int = 20) -> DataFrame:
-    """The `k` tickets with the longest time between opening and last update."""
+def kpi_long_running(fact: DataFrame, k: int = 20, seconds: Column | None = None) -> DataFrame:
+    """The `k` tickets with the longest time between opening and last update, or by other `seconds`."""
+    seconds = resolution_seconds() if seconds is None else seconds
     return (
-        fact.select("Numero", "Ouvert", "Mis_a_jour", resolution_seconds().alias("seconds"))
+        fact.select("Numero", "Ouvert", "Mis_a_jour", seconds.alias("seconds"))
         .orderBy(F.col("seconds").desc_nulls_last(), "Numero")
         .limit(k)
     )

@@ -19,6 +19,7 @@ from ticketlake.operators import clean
 HOLIDAYS = (dt.date(2024, 1, 1),)
 GROUP_TYPES = [("BUILDING", "Exploitation"), ("MACHINERY", "Exploitation"), ("HOUSEHOLD", "Supervision")]
 GROUP_TYPES_REVISED = [("BUILDING", "Exploitation"), ("MACHINERY", "Supervision"), ("FURNITURE", "Exploitation")]
+HOLIDAY_RULE = ("01-01", "05-01", "12-25")  # of every year that a ticket was opened in, and the next
 SLA_HOURS = [("1-URGENT", 24), ("2-HIGH", 72), ("3-MEDIUM", 168), ("4-NOT SPECIFIED", 336), ("5-LOW", 720)]
 CLOSED_STATES = ["Clos", "Résolu"]
 OPEN_STATES = ["En cours"]
@@ -49,6 +50,14 @@ def sla_limits(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(SLA_HOURS, "priority string, hours int")
 
 
+def holiday_calendar(tickets: DataFrame, opened: str = "Ouvert") -> DataFrame:
+    """The holidays of all years in which tickets were open."""
+    years = tickets.select(F.explode(F.array(F.year(opened), F.year(opened) + 1)).alias("year")).distinct()
+    days = F.explode(F.array(*[F.lit(d) for d in HOLIDAY_RULE])).alias("rest")
+    return years.filter("year IS NOT NULL").select("year", days).select(
+        F.to_date(F.concat_ws("-", "year", "rest")).alias("day"))
+
+
 def clock(ts: Column) -> Column:
     return F.date_format(ts, "HH:mm:ss")
 

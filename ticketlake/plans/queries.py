@@ -11,9 +11,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake import schemas
-from ticketlake.functions.bands import shift_band, working_hours_band
+from ticketlake.functions.bands import shift_band, well_formed, working_hours_band
 from ticketlake.functions.times import elapsed_seconds
-from ticketlake.operators import clean, dims, facts, metrics, quality
+from ticketlake.functions.working_time import working_seconds
+from ticketlake.operators import clean, dims, facts, metrics, profiles, quality
 from ticketlake.operators.incremental import deltas, folded
 from ticketlake.operators.keys import max_id
 from ticketlake.operators.upsert import changed_rows, merge_changes, upsert
@@ -206,11 +207,7 @@ def hno_rows(spark, sf):
            count(*) FILTER (event_id % 17 = 0) AS null_dates
     FROM events WHERE event_type IN ('error', 'purchase', 'signup')""")
 def bad_dates(spark, sf):
-    raw = fx.deployments_raw(spark, sf)
-    number = F.substring("Numero", 4, 18).cast("bigint")
-    mixed = F.when(number % 17 == 0, F.date_format("Ouvert", "dd/MM/yyyy")).otherwise(F.col("Ouvert").cast("string"))
-    extract = as_csv(fx.deployments_csv(raw.withColumn("Ouvert", mixed)))
-    read = readers.read_csv(spark, extract, schemas.DEPLOYMENTS_CSV, keep_corrupt=True)
+    read = readers.read_csv(spark, _mixed_extract(spark, sf), schemas.DEPLOYMENTS_CSV, keep_corrupt=True)
     return read.agg(
         F.count("*").alias("rows"),
         F.count_if(F.col(readers.CORRUPT).isNotNull()).alias("bad_rows"),
@@ -218,6 +215,47 @@ def bad_dates(spark, sf):
     )
 
 
+def _mixed_extract(spark, sf) -> str:
+    """Deployments as CSV, whose opening date is now and then in another format."""
+    raw = fx.deployments_raw(spark, sf)
+    number = F.substring("Numero", 4, 18).cast("bigint")
+    mixed = F.when(number % 17 == 0, F.date_format("Ouvert", "dd/MM/yyyy")).otherwise(F.col("Ouvert").cast("string"))
+    return as_csv(fx.deployments_csv(raw.withColumn("Ouvert", mixed)))
+
+
+def _quarantined(spark, sf) -> readers.Quarantine:
+    extract = readers.read_csv(spark, _mixed_extract(spark, sf), schemas.DEPLOYMENTS_CSV, keep_corrupt=True)
+    number, _, updated, *_, clock, _ = schemas.DEPLOYMENTS_CSV.names
+    rules = {
+        "no time": F.col(f"`{clock}`").isNull(), "bad time": ~well_formed(F.col(f"`{clock}`")),
+        "not updated": F.col(f"`{updated}`").isNull() | F.col(f"`{number}`").isNull(),
+    }
+    return readers.quarantine(extract, rules, scratch_path(spark, "quarantine"))
+
+
+_QUARANTINE_SQL = """(SELECT Numero, concat_ws(',', CASE WHEN substr(Numero, 4)::BIGINT % 17 = 0 THEN 'malformed' END,
+        CASE WHEN Ovrt_h IS NULL THEN 'no time' END,
+        CASE WHEN NOT regexp_matches(Ovrt_h, '^[0-9]+:[0-9]+:[0-9]+$') THEN 'bad time' END) AS reasons FROM v_deploy_raw)"""
+
+
+@query("scan_quarantine", f"SELECT Numero, reasons, reasons = '' AS good FROM {_QUARANTINE_SQL}")
+def scan_quarantine(spark, sf):
+    """Every row of the extract, from the side it was written to."""
+    split, number = _quarantined(spark, sf), F.col(f"`{schemas.DEPLOYMENTS_CSV.names[0]}`").alias("Numero")
+    bad = split.bad.select(number, F.array_join("_reasons", ",").alias("reasons"), F.lit(False).alias("good"))
+    return split.good.select(number, F.lit("").alias("reasons"), F.lit(True).alias("good")).unionByName(bad)
+
+
+@query("scan_quarantine_counts", f"""
+    SELECT unnest(['rows', 'bad', 'malformed', 'no time', 'bad time', 'not updated']) AS what,
+           unnest([count(*), count(*) FILTER (reasons <> ''), count(*) FILTER (contains(reasons, 'malformed')),
+                   count(*) FILTER (contains(reasons, 'no time')), count(*) FILTER (contains(reasons, 'bad time')), 0]) AS n
+    FROM {_QUARANTINE_SQL}""")
+def scan_quarantine_counts(spark, sf):
+    """What was observed while the rows were written."""
+    return spark.createDataFrame(list(_quarantined(spark, sf).counts.items()), "what string, n long")
+
+
 # --- data quality -------------------------------------------------------------------------------------
 def _counts_sql(condition: str, view: str, columns) -> str:
     return "SELECT " + ", ".join(
@@ -279,6 +317,40 @@ add("dq_profile", lambda s, sf: quality.profile(fx.assignee(s, sf)),
         f"count(*) FILTER ({c} IS NULL) AS {c}_null, count(*) FILTER ({c} = '') AS {c}_empty" for c in _PROFILED)
     + " FROM v_assignee")
 
+
+# --- profiles kept up to date from states by load ------------------------------------------------------
+_COUNTED = ["Etat", "Priorite", "Groupe_affectation"]
+_ALL_LOADS = "(SELECT * FROM v_load1 UNION ALL SELECT * FROM v_load2)"
+
+
+def _kept_profile(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Two extracts profiled one by one; the second is delivered twice."""
+    path = scratch_path(spark, "profile")
+    first, second = fx.incident_loads(spark, sf)
+    for name, load in (("first", first), ("second", second), ("second", second)):
+        profiles.keep_load(load, path, name, _COUNTED)
+    return profiles.kept_profile(spark, path)
+
+
+def _shown_sql(column: str) -> str:
+    return f"CASE typeof({column}) WHEN 'VARCHAR' THEN {column}::VARCHAR ELSE strftime(TRY_CAST({column} AS TIMESTAMP), '%Y-%m-%d %H:%M:%S') END"
+
+
+@query("dq_profile_merged", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) FILTER ({c} IS NULL) AS n_null,
+        count(*) FILTER ({c}::VARCHAR = '') AS n_empty, {_shown_sql(f'min({c})')} AS least,
+        {_shown_sql(f'max({c})')} AS greatest FROM {_ALL_LOADS}""" for c in schemas.INCIDENTS_CSV.names))
+def dq_profile_merged(spark, sf):
+    """The exact columns; the estimates of distinct values are tested against their error."""
+    return _kept_profile(spark, sf)[0].drop("distinct_estimate")
+
+
+@query("dq_value_counts_merged", " UNION ALL ".join(
+    f"""SELECT '{c}' AS "column", {c}::VARCHAR AS value, count(*) AS n FROM {_ALL_LOADS} GROUP BY ALL""" for c in _COUNTED))
+def dq_value_counts_merged(spark, sf):
+    return _kept_profile(spark, sf)[1]
+
+
 # --- classifiers --------------------------------------------------------------------------------------
 add("band_ho_hno",
     lambda s, sf: fx.deployments_raw(s, sf).select(
@@ -873,6 +945,46 @@ add("kpi_long_running", lambda s, sf: metrics.kpi_long_running(star.incident_sta
     ORDER BY seconds DESC NULLS LAST, Numero LIMIT 20""")
 
 
+# --- metrics in working time: the SQL adds up every day of a ticket ------------------------------------
+_WORKED_SQL = """(SELECT *, coalesce((SELECT sum(greatest(0, date_diff('second',
+        greatest(Ouvert, d.day + INTERVAL 510 MINUTE), least(Mis_a_jour, d.day + INTERVAL 1110 MINUTE))))
+    FROM (SELECT unnest(generate_series(date_trunc('day', Ouvert)::TIMESTAMP, Mis_a_jour, INTERVAL 1 DAY)) AS day) AS d
+    WHERE isodow(d.day) < 6 AND strftime(d.day, '%m-%d') NOT IN ('01-01', '05-01', '12-25')), 0)::BIGINT AS worked
+    FROM v_incidents)"""
+
+
+def _worked(spark, sf, ids):
+    fact, found = star.incident_star(spark, sf, ids)
+    calendar = fx.holiday_calendar(fx.table(spark, sf, "orders"), "o_orderdate")
+    return fact, found, working_seconds(F.col("Ouvert"), F.col("Mis_a_jour"), calendar)
+
+
+@query("kpi_sla_working_hours", f"""
+    SELECT Priorite AS priority, count(*) AS closed_tickets, count(*) FILTER (worked <= hours * 3600) AS within_limit,
+           CASE WHEN count(hours) > 0 THEN round(count(*) FILTER (worked <= hours * 3600) / count(hours), 4) END AS compliance
+    FROM {_WORKED_SQL} LEFT JOIN (SELECT * FROM v_sla WHERE priority <> '5-LOW') ON Priorite = priority
+    WHERE {_CLOSED_SQL} GROUP BY Priorite""")
+def kpi_sla_working_hours(spark, sf):
+    """The limits as hours of working time."""
+    fact, found, seconds = _worked(spark, sf, ["ID_Etat", "ID_Priorite"])
+    return metrics.kpi_sla(fact, found, fx.sla_limits(spark).filter("priority <> '5-LOW'"), CLOSED, seconds)
+
+
+@query("kpi_mttr_month_working_hours", f"""
+    SELECT year(Ouvert)::INTEGER AS annee, month(Ouvert)::INTEGER AS mois, count(*) AS closed_tickets,
+           {_MEAN_SQL.format(s='worked')} AS mttr_hours FROM {_WORKED_SQL} WHERE {_CLOSED_SQL} GROUP BY 1, 2""")
+def kpi_mttr_month_working_hours(spark, sf):
+    fact, found, seconds = _worked(spark, sf, ["ID_Etat"])
+    return metrics.kpi_mttr_month(fact, found, CLOSED, seconds)
+
+
+@query("kpi_long_running_working_hours", f"""
+    SELECT Numero, Ouvert, Mis_a_jour, worked AS seconds FROM {_WORKED_SQL} ORDER BY seconds DESC, Numero LIMIT 20""")
+def kpi_long_running_working_hours(spark, sf):
+    fact, _, seconds = _worked(spark, sf, [])
+    return metrics.kpi_long_running(fact, 20, seconds)
+
+
 # --- metrics kept up to date from changes -----------------------------------------------------------------
 _REOPENED = "(SELECT * REPLACE ('En cours' AS Etat) FROM v_load1 WHERE substr(Numero, 4)::BIGINT % 10 = 0)"
 _THREE_LOADS = upsert_sql("(" + upsert_sql(
