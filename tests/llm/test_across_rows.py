@@ -49,6 +49,45 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def near_copies():
+    """Three texts of which each pair is alike, and a chain whose ends are not."""
+    words = [f"w{i}" for i in range(100)]
+    alike = [" ".join(words[:i] + ["x"] + words[i + 1:]) for i in (0, 50, 99)]
+    chain = [" ".join(words), " ".join(words[12:]), " ".join(words[24:])]
+    return alike, chain
+
+
+def test_rows_without_an_id_link_others(spark):
+    alike, chain = near_copies()
+    docs = spark.createDataFrame([(None, alike[0]), (None, alike[1]), (5, alike[2])], "doc_id long, text string")
+    assert {r.component_id for r in near_dup.near_duplicates(docs).collect()} == {5}
+    assert [tuple(r) for r in near_dup.deduplicated(docs).collect()] == [(5, alike[2])]
+    assert len(set(components(list(enumerate(chain)), 5, 80).values())) == 1
+    assert len(set(components([(0, chain[0]), (1, chain[2])], 5, 80).values())) == 2
+    bridge = spark.createDataFrame([(1, chain[0]), (None, chain[1]), (3, chain[2])], "doc_id long, text string")
+    assert {r.component_id for r in near_dup.near_duplicates(bridge).collect()} == {1}
+
+
+def test_each_text_of_an_id_links(spark):
+    alike, _ = near_copies()
+    docs = spark.createDataFrame([(1, "quite another text of six words"), (1, alike[0]), (2, alike[1])], "doc_id long, text string")
+    assert [r.component_id for r in near_dup.near_duplicates(docs).collect()] == [1, 1, 1]
+    assert {tuple(r) for r in near_dup.deduplicated(docs).collect()} == {(1, "quite another text of six words"), (1, alike[0])}
+
+
+def test_one_row_is_kept_by_a_stated_rule(spark):
+    alike, _ = near_copies()
+    rows = [(None, alike[0], "b", {"k": 1}), (None, alike[0], "a", {"k": 2}), (None, alike[1], "a", {"k": 3}),
+            (7, "", "z", None), (7, "", "y", None), (7, None, "x", None), (8, "one two", None, None), (8, "one two", "q", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, key string, row map<string,int>").repartition(4)
+    left = [(r.doc_id, r.text, r.key) for r in near_dup.deduplicated(docs).collect()]
+    group = [x for x in left if x[0] is None]
+    assert len(group) == 1 and group[0] in {(None, alike[0], "a"), (None, alike[1], "a")}
+    assert {x for x in left if x[0]} == {(7, "", "y"), (7, None, "x"), (8, "one two", None)} and len(left) == 4
+    again = [(r.doc_id, r.text, r.key) for r in near_dup.deduplicated(docs.repartition(3)).collect()]
+    assert sorted(map(str, again)) == sorted(map(str, left))
+
+
 def test_sketch_estimate_is_near_the_similarity():
     rng = np.random.default_rng(1)
     for share in (0.5, 0.8, 0.95):

@@ -8,6 +8,7 @@ same set form one class, and only classes are compared: every link is between di
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -282,8 +283,10 @@ def near_duplicates(
 
     Two documents link if their sets of `size`-word shingles have a similarity of `percent` or more;
     `component_id` is the smallest id that links reach, and `kept` marks the document of that id. A
-    text that is null or without words links with nothing. A null id can link others; a component
-    without any id has a null `component_id`, and its rows are kept. Repeated rows stay and agree.
+    text that is null or without words links with nothing. Rows link by their own texts: rows without an
+    id link others, and so does each text of an id that comes with several. A component without any id
+    has a null `component_id`, and its rows are kept. Repeated rows stay and agree. Very long texts are
+    worked on whole; an empty table gives an empty result; other columns don't matter.
 
     1. Row-local sketches, written once. Equal sets become one class, reduced before the shuffle.
     2. Buckets of band keys. Each class is compared with the most similar first member of its
@@ -293,42 +296,75 @@ def near_duplicates(
        return links only. Pairs inside a component need no test, so nothing is capped.
     4. Components of all confirmed links.
     """
-    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
-    rows = staged(base.select("doc_id", sketch(F.col("text"), size).alias("s")).select("doc_id", "s.*"), "sketches")
+    placed = placed_rows(docs, id_col, text, size, percent)
+    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
+    return placed.select(
+        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
+        F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+
+
+def text_key(text: Column) -> Column:
+    """128 bits of a text. A text and its row's id tell rows apart without shipping the text."""
+    return F.struct(F.xxhash64(text).alias("a"), F.xxhash64(F.lit(1), text).alias("b"))
+
+
+def placed_rows(docs: DataFrame, id_col: str, text: str, size: int, percent: int) -> DataFrame:
+    """`(doc_id, key, n, component, component_id)` of each row; without words, the last two are null."""
+    base = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"), text_key(F.col(text)).alias("key"))
+    rows = staged(base.select("doc_id", "key", sketch(F.col("text"), size).alias("s")).select("doc_id", "key", "s.*"), "sketches")
+    # the row whose text stands for the class: that of the smallest id, rows without one last
+    first_row = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key"))
     classes = staged(
         rows.filter("n > 0").groupBy("digest").agg(
-            F.min("doc_id").alias("first_id"), F.first("n").alias("n"), F.first("registers").alias("registers"))
+            first_row.alias("first"), F.first("n").alias("n"), F.first("registers").alias("registers"))
         .withColumn("node", F.monotonically_increasing_id()), "classes")
     short = classes.select("node", "n", "registers")
     keys = classes.select("node", F.posexplode(bucket_keys("registers")).alias("band", "key"))
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last")
     members = staged(keys.join(hubs.select("key", "hub"), "key"), "members")
-    wanted = members.select("node").distinct().join(classes, "node").select("node", "digest", "first_id")
-    texts = staged(class_texts(base, rows, wanted), "texts")
+    wanted = members.select("node").distinct().join(classes, "node").select("node", "first.doc_id", "first.key")
+    texts = staged(class_texts(base, wanted), "texts")
     first = staged(confirmed(hub_pairs(members, short, percent), texts, size, percent), "links")
     rest = staged(open_buckets(members, components(first)), "open")
     small = confirmed(small_bucket_pairs(rest, short, percent), texts, size, percent)
     linked = components(first.union(small).union(large_bucket_links(rest, short, texts, size, percent)))
     known = (
-        classes.select("digest", "node", "first_id").join(linked, "node", "left")
+        classes.select("digest", "node", F.col("first.doc_id").alias("first_id")).join(linked, "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
     least = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
-    placed = rows.join(known.join(least, "component").select("digest", "component_id"), "digest", "left")
-    own = F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return placed.select(
-        "doc_id", F.col("n").alias("n_shingles"), own.alias("component_id"),
-        F.coalesce(F.col("doc_id") == own, own.isNull()).alias("kept"))
+    found = known.join(least, "component").select("digest", "component", "component_id")
+    return rows.join(found, "digest", "left").select("doc_id", "key", "n", "component", "component_id")
+
+
+def same_row(left: DataFrame, right: DataFrame, id_left: str, id_right: str) -> Column:
+    """Whether two rows have the same id, null or not, and the same text."""
+    return left[id_left].eqNullSafe(right[id_right]) & (left["key.a"] == right["key.a"]) & (left["key.b"] == right["key.b"])
 
 
-def class_texts(base: DataFrame, rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """A text of each wanted class: that of its smallest id, or any if it has no id."""
-    named = wanted.filter("first_id IS NOT NULL")
-    pairs = named.join(rows.select("doc_id", "digest"), "digest").filter("doc_id = first_id").select("node", "doc_id").distinct()
-    return base.join(pairs, "doc_id").select("node", "text").dropDuplicates(["node"])
+def class_texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The text of the row that stands for each wanted class."""
+    found = base.join(wanted, same_row(base, wanted, "doc_id", "doc_id")).select(wanted["node"], base["text"])
+    return found.dropDuplicates(["node"])
 
 
-def deduplicated(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **how) -> DataFrame:
-    """The rows of `docs` that `near_duplicates` keeps, each once: of repeated rows one is left."""
-    kept = near_duplicates(docs, id_col, text, **how).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept, docs[id_col].eqNullSafe(F.col("_kept")), "left_semi").dropDuplicates([id_col, text])
+def deduplicated(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", size: int = SHINGLE_WORDS, percent: int = PERCENT,
+) -> DataFrame:
+    """One row of `docs` for each component of near duplicates: that of the smallest id, rows without one last.
+
+    Of several texts of that id within the component, the one of the least key is left; of rows with that
+    id and text, the one whose other columns are least. A text that is null or without words is no
+    duplicate of another, but of rows with the same id and text one is left.
+    """
+    placed = placed_rows(docs, id_col, text, size, percent)
+    order = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "key")
+    of_groups = placed.filter("n > 0").groupBy("component").agg(F.min(order).alias("least")).select("least.doc_id", "least.key")
+    kept = of_groups.union(placed.filter("n = 0").select("doc_id", "key").distinct())
+    kept = staged(kept.select(F.col("doc_id").alias("id"), F.col("key.a").alias("a"), F.col("key.b").alias("b")), "kept")
+    whole = docs.select(
+        F.col(id_col).alias("id"), text_key(F.col(text)).alias("key"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    is_kept = whole["id"].eqNullSafe(kept["id"]) & (F.col("key.a") == kept["a"]) & (F.col("key.b") == kept["b"])
+    sortable = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
+    rest = F.struct(*[F.col("row").getField(c) for c in sortable if c != text])
+    return whole.join(kept, is_kept, "left_semi").groupBy("id", "key").agg(F.min_by("row", rest).alias("row")).select("row.*")
