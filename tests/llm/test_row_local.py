@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -95,6 +96,41 @@ def test_pii_added_kind_scores_and_masks(spark):
     assert rows[0].m == "bank [IBAN] or GB82 WEST 1234 5698 7654 33, mail [EMAIL]\nxé[IP]"
 
 
+def plain_mask(text, spans):
+    out, at = [], 0
+    for s in spans:
+        if s.start >= at:
+            out += [text[at:s.start], f"[{s.kind.upper()}]"]
+        at = max(at, s.end)
+    return "".join(out) + text[at:]
+
+
+def test_pii_positions_in_blocks_and_pieces(spark, monkeypatch):
+    """Context, positions and masks are the same whatever the sizes of blocks and pieces."""
+    texts = PII_TEXTS + ["mail é😀a@b.de " * 9 + "x" * 90 + " 4111 1111 1111 1111, +49 4111 1111 1111 1111 " * 5, "naïve 😀" * 40, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = []
+    for block, piece in ((256, 256), (2, 7), (3, 64)):
+        monkeypatch.setattr(pii, "SCAN_BLOCK", block)
+        monkeypatch.setattr(pii, "PIECE_CHARS", piece)
+        rows = pii.find_pii(docs).select("*", pii.masked(F.col("text"), F.col("pii")).alias("m")).orderBy("doc_id").collect()
+        assert [r.m for r in rows] == [plain_mask(r.text, r.pii) for r in rows]
+        assert all(r.text[s.start:s.end] == s.value for r in rows for s in r.pii)
+        found.append(rows)
+    assert found[0] == found[1] == found[2] and sum(len(r.pii) for r in found[0]) > 20
+
+
+def test_pii_of_a_very_long_text(spark):
+    text = " ".join(f"mail user{i}@host{i % 7}.org 10.0.{i % 300}.7" for i in range(60_000))
+    assert len(text) > 2_000_000
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    pii.find_pii(docs.limit(0)).count()
+    start = time.time()
+    row = pii.find_pii(docs).select("pii", pii.masked(F.col("text"), F.col("pii")).alias("m")).first()
+    assert time.time() - start < 30
+    assert len(row.pii) == 60_000 + sum(i % 300 < 256 for i in range(60_000)) and row.m == plain_mask(text, row.pii)
+
+
 def test_bpe_equals_the_library_and_round_trips(spark):
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SPAN = "array<struct<kind:string,start:int,end:int,value:string,score:double>>"
 #: Code points before and after a span in which context words count.
 CONTEXT_CHARS = 48
+#: Code points of a piece of a long text, and elements of a block of a running total.
+PIECE_CHARS, SCAN_BLOCK = 256, 256
 
 
 def _digits(match: Column) -> Column:
@@ -123,6 +125,46 @@ ADDED_KINDS = [
 ]
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with `value` worked out once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def running(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """For each of an array of ints, `combine` over those before it, from 0; `combine` is associative.
+
+    An array that grows by one element is copied, so the array is worked on in blocks: the totals of
+    blocks are combined first, then each block by itself.
+    """
+    def scan(part: Column, start: Column) -> Column:
+        def step(state: Column, value: Column) -> Column:
+            return F.struct(
+                combine(state["now"], value).alias("now"), F.concat(state["found"], F.array(state["now"])).alias("found"))
+
+        return F.aggregate(part, F.struct(start.alias("now"), F.array().cast("array<int>").alias("found")), step)["found"]
+
+    def in_blocks(whole: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(whole), F.lit(SCAN_BLOCK))
+        return let(F.transform(starts, lambda at: F.slice(whole, at, F.lit(SCAN_BLOCK))), lambda blocks: F.flatten(F.zip_with(
+            blocks, scan(F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), combine)), F.lit(0)), scan)))
+
+    return let(values, lambda whole: F.when(F.size(whole) == 0, F.array().cast("array<int>")).otherwise(in_blocks(whole)))
+
+
+def pieces(text: Column) -> Column:
+    """The text in pieces of `PIECE_CHARS` code points; a place in it is found without passing all before."""
+    return F.when(F.length(text) <= PIECE_CHARS, F.array(text)).otherwise(
+        F.regexp_extract_all(text, F.lit("(?s).{1,%d}+" % PIECE_CHARS), F.lit(0)))
+
+
+def cut(parts: Column, start: Column, end: Column) -> Column:
+    """Code points from `start` to before `end` of a text in `pieces`; both may lie beyond its end."""
+    first = F.floor(start / PIECE_CHARS).cast("int")
+    last = F.greatest(F.floor((end - 1) / PIECE_CHARS).cast("int"), first)
+    there = F.array_join(F.slice(parts, first + 1, last - first + 1), "")
+    return F.substring(there, start - first * PIECE_CHARS + 1, F.greatest(end - start, F.lit(0)))
+
+
 def _positions(kind: Kind, text: Column) -> Column:
     """Structs `(start, value)` of every match of the kind's pattern, validated or not."""
     gaps = F.split(text, kind.pattern, -1)
@@ -131,29 +173,26 @@ def _positions(kind: Kind, text: Column) -> Column:
     pairs = F.filter(
         F.zip_with(matches, gaps, lambda m, g: F.struct(F.length(g).alias("gap"), m.alias("value"))),
         lambda pair: pair["value"].isNotNull())
-    empty = F.array().cast("array<struct<start:int,value:string>>")
 
-    def step(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
-        return F.struct(
-            (start + F.length(pair["value"])).alias("at"),
-            F.concat(state["found"], F.array(F.struct(start.alias("start"), pair["value"].alias("value")))).alias("found"))
+    def placed(found: Column) -> Column:
+        ends = running(F.transform(found, lambda p: p["gap"] + F.length(p["value"])), lambda x, y: x + y)
+        return F.zip_with(found, ends, lambda p, at: F.struct((at + p["gap"]).alias("start"), p["value"].alias("value")))
 
-    return F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("found")), step)["found"]
+    return let(pairs, placed)
 
 
 def kind_spans(kind: Kind, text: Column) -> Column:
     """Spans of one kind in a text column, with their scores.
 
     The score is the kind's own, plus 0.15 where one of its context words stands nearby, less 0.2
-    where the span touches a letter; it lies between 0 and 1.
+    where the span touches a letter; it lies between 0 and 1. The work grows with the text and with the
+    matches, not with their product.
     """
-    def span(found: Column) -> Column:
+    def span(parts: Column, found: Column) -> Column:
         start, value = found["start"], found["value"]
         end = start + F.length(value)
-        first = F.greatest(start - CONTEXT_CHARS, F.lit(0))
-        before = F.substring(text, first + 1, start - first)
-        after = F.substring(text, end + 1, F.lit(CONTEXT_CHARS))
+        before = cut(parts, F.greatest(start - CONTEXT_CHARS, F.lit(0)), start)
+        after = cut(parts, end, end + CONTEXT_CHARS)
         near = F.concat(before, F.lit(" "), after).rlike(rf"(?i)\b(?:{kind.words})\b")
         touched = before.rlike(r"\p{L}$") | after.rlike(r"^\p{L}")
         score = kind.score + F.when(near, 0.15).otherwise(0.0) - F.when(touched, 0.2).otherwise(0.0)
@@ -162,16 +201,20 @@ def kind_spans(kind: Kind, text: Column) -> Column:
             F.round(F.least(score, F.lit(1.0)), 3).alias("score"))
 
     proposed = F.filter(_positions(kind, text), lambda found: kind.valid(found["value"]))
+    none = F.array().cast(SPAN)
+    spans = let(proposed, lambda all_: F.when(F.size(all_) == 0, none).otherwise(
+        let(pieces(text), lambda parts: F.transform(all_, lambda found: span(parts, found)))).cast(SPAN))
     # the digits test is cheap next to the patterns, and every kind but email needs digits
     hint = kind.hint(text) if kind.name == "email" else kind.hint(text) & text.rlike("[0-9]")
-    return F.when(hint, F.transform(proposed, span)).otherwise(F.array()).cast(SPAN)
+    return F.when(hint, spans).otherwise(none)
 
 
 def find_pii(docs: DataFrame, text: str = "text", kinds: list[Kind] | None = None, out: str = "pii") -> DataFrame:
     """`docs` with the array column `out`: every validated span, by start, then kind in list order.
 
     Positions are code points, end exclusive. A null or empty text has no spans; whole texts are
-    searched. A column that is already named `out` is replaced; repeated rows stay repeated.
+    searched, in time that grows with their length. A column that is already named `out` is replaced; repeated rows stay repeated;
+    an empty table gives an empty one.
     """
     kinds = KINDS + ADDED_KINDS if kinds is None else kinds
     order = F.create_map(*[F.lit(x) for i, kind in enumerate(kinds) for x in (kind.name, i)])
@@ -185,21 +228,18 @@ def find_pii(docs: DataFrame, text: str = "text", kinds: list[Kind] | None = Non
 def masked(text: Column, spans: Column, least: float = 0.0) -> Column:
     """The text with every span of at least that score replaced by its kind, as in `[EMAIL]`.
 
-    Of spans that overlap, the first one's name stands and the mask covers all of them.
+    Of spans that overlap, the first one's name stands and the mask covers all of them. The spans are
+    ordered by start, as `find_pii` gives them.
     """
-    kept = F.filter(spans, lambda s: s["score"] >= least)
-
-    def step(state: Column, s: Column) -> Column:
-        inside = s["start"] < state["at"]
-        gap = F.substring(text, state["at"] + 1, s["start"] - state["at"])
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"),
-            F.when(inside, state["parts"]).otherwise(F.concat(
-                state["parts"], F.array(gap, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]"))))).alias("parts"))
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    return F.when(F.size(kept) == 0, text).otherwise(F.aggregate(kept, start, step, lambda s: F.concat(
-        F.array_join(s["parts"], ""), F.substring(text, s["at"] + 1, F.length(text)))))
+    def replaced(kept: Column, parts: Column) -> Column:
+        reach = running(F.transform(kept, lambda s: s["end"]), lambda x, y: F.greatest(x, y))
+        shown = F.zip_with(kept, reach, lambda s, at: F.when(s["start"] < at, F.lit("")).otherwise(
+            F.concat(cut(parts, at, s["start"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))))
+        end = F.array_max(F.transform(kept, lambda s: s["end"]))
+        return F.concat(F.array_join(shown, ""), cut(parts, end, F.size(parts) * PIECE_CHARS))
+
+    return let(F.filter(spans, lambda s: s["score"] >= least), lambda kept: F.when(F.size(kept) == 0, text).otherwise(
+        let(pieces(text), lambda parts: replaced(kept, parts))))
 
 
 def spans_text(spans: Column) -> Column:
