@@ -183,6 +183,33 @@ def test_packing_cuts_fills_and_loses_nothing(spark):
     assert packing.pack(pieces.limit(0), 512).count() == 0
 
 
+def test_packing_encodes_each_text_once(spark):
+    pieces = packing.token_pieces(odd_docs(spark), public_tokenizers.path("word_bpe_49k.json"), 4096, 1)
+    digests = pieces.select("doc_id", "piece", "length", F.crc32("ids"))
+    assert digests._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+
+
+def test_packing_query_equals_plain_python(spark, sf):
+    """The registered columns: ids of the library, cut, and gapless places in few sequences."""
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = set()
+    for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect():
+        ids = plain.encode(r.text or "", add_special_tokens=False).ids + [1]
+        for i in range(0, len(ids), 4096):
+            part = ids[i:i + 4096]
+            expected.add((r.doc_id, i // 4096, i, len(part), zlib.crc32(np.array(part, dtype="<u4").tobytes())))
+    rows = QUERIES["op2_packing"](spark, sf).collect()
+    assert len(rows) == len(expected)
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows} == expected
+    at = {}
+    for r in sorted(rows, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == at.get(r.sequence_id, 0)
+        at[r.sequence_id] = r.offset + r.length
+    assert max(at.values()) <= 4096 and len(at) <= 1.02 * -(-sum(at.values()) // 4096) + 1
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_bin_plan_uses_all_pieces_near_the_bound(seed):
     rng = np.random.default_rng(seed)

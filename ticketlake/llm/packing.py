@@ -115,8 +115,10 @@ def token_pieces(docs: DataFrame, path: str, capacity: int, end: int, text: str
         return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.binary()))
 
     kept = [c for c in docs.columns if c not in (text, "piece", "start", "length", "ids")]
+    # every document has a piece; without `outer`, a filter on the pieces would encode each text twice
+    pieces = F.posexplode_outer("ids").alias("piece", "ids")
     return (
-        docs.select(*kept, pieces_of(F.col(text)).alias("ids")).select(*kept, F.posexplode("ids").alias("piece", "ids"))
+        docs.select(*kept, pieces_of(F.col(text)).alias("ids")).select(*kept, pieces)
         .withColumn("start", F.col("piece").cast("long") * capacity)
         .withColumn("length", (F.octet_length("ids") / 4).cast("long"))
         .select(*kept, "piece", "start", "length", "ids")
