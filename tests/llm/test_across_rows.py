@@ -181,46 +181,71 @@ def test_index_finds_every_code_within_the_radius():
             assert index.within(codes[i], radius).tolist() == np.flatnonzero(ann.hamming(codes, codes[i]) <= radius).tolist()
 
 
-def test_lm_scores_equal_plain_counting(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "FREQUENT", 8)
-    monkeypatch.setattr(lm_score, "LEAST_SHARE", 1 / 2000)
+def plain_scores(corpus, texts, order):
+    """Stupid backoff by counting; a word that the corpus lacks counts once."""
+    split = [(t or "").encode().split() for t in corpus]
+    counts = collections.Counter(
+        tuple(w[i:i + k]) for w in split for k in range(1, order + 1) for i in range(len(w) - k + 1))
+    total = sum(map(len, split)) or 1
+
+    def word(gram):
+        if len(gram) == 1:
+            return math.log(max(1, counts[gram]) / total)
+        if counts[gram]:
+            return math.log(counts[gram] / counts[gram[:-1]])
+        return math.log(lm_score.ALPHA) + word(gram[1:])
+
+    found = []
+    for w in [(t or "").encode().split() for t in texts]:
+        found.append((len(w), sum(word(tuple(w[max(0, i - order + 1):i + 1])) for i in range(len(w)))))
+    return found
+
+
+def same_scores(found, ids, expected):
+    rows = sorted((str(r.doc_id), r.n_tokens, r.log_score, r.mean_log_score) for r in found.collect())
+    expected = sorted((str(i), n, round(s, 6), round(s / n, 9) if n else None) for i, (n, s) in zip(ids, expected))
+    assert [x[:2] for x in rows] == [x[:2] for x in expected]
+    for a, b in zip(rows, expected):
+        assert a[2] == pytest.approx(b[2], rel=1e-8, abs=2e-6)
+        assert a[3] == pytest.approx(b[3], abs=1e-8) if b[3] is not None else a[3] is None
+
+
+@pytest.mark.parametrize("order, frequent", [(1, 8), (2, 131_072), (2, 8), (3, 0), (3, 50)])
+def test_lm_scores_equal_plain_counting(spark, monkeypatch, order, frequent):
+    monkeypatch.setattr(lm_score, "FREQUENT", frequent)
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 20_000)
     texts = random_docs(150, seed=9) + odd_texts() + ["again and again"] * 3 + [None]
     ids = [*range(150), *range(200, 200 + len(odd_texts())), 500, 500, None, None]
-    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string").repartition(3)
-    split = [(t or "").encode().split() for t in texts]
-    ones, twos = collections.Counter(), collections.Counter()
-    for words in split:
-        ones.update(words)
-        twos.update(zip(words, words[1:]))
-    total = sum(ones.values())
-    known = {w for w, n in ones.items() if n >= total / 2000}
-    rare = sum(n for w, n in ones.items() if w not in known)
-
-    def count(word):
-        return ones[word] if word in known else rare
-
-    def score(words):
-        out = math.log(count(words[0]) / total) if words else 0.0
-        for a, b in zip(words, words[1:]):
-            seen = twos[a, b] if a in known and b in known else 0
-            out += math.log(seen / ones[a]) if seen >= 2 else math.log(0.4 * count(b) / total)
-        return out
-
-    expected = sorted((str(i), len(w), round(score(w), 3)) for i, w in zip(ids, split))
-    found = sorted((str(r.doc_id), r.n_tokens, round(r.log_score, 3)) for r in lm_score.score_documents(docs).collect())
-    assert [x[:2] for x in found] == [x[:2] for x in expected]
-    assert all(abs(a[2] - b[2]) < 2e-3 * max(1, abs(b[2])) for a, b in zip(found, expected))
-    assert lm_score.score_documents(docs.limit(0)).count() == 0
+    docs = spark.createDataFrame([(i, t, "z") for i, t in zip(ids, texts)], "doc_id long, text string, score string").repartition(3)
+    expected = plain_scores(texts, texts, order)
+    same_scores(lm_score.score_documents(docs, order=order), ids, expected)
+    if frequent == 50:
+        same_scores(lm_score.score_against(docs, docs, order=order), ids, expected)
+    assert lm_score.score_documents(docs.limit(0), order=order).count() == 0
+
+
+@pytest.mark.parametrize("order", [1, 2, 3])
+def test_lm_scores_back_off_in_other_documents(spark, order):
+    corpus = [t for t in random_docs(80, seed=4, vocabulary=60)]
+    texts = random_docs(40, seed=5, vocabulary=80) + odd_texts()
+    ids = list(range(len(texts)))
+    docs = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    known = spark.createDataFrame(list(enumerate(corpus)), "doc_id long, text string")
+    same_scores(lm_score.score_against(docs, known, order=order), ids, plain_scores(corpus, texts, order))
+    same_scores(lm_score.score_against(docs, known.limit(0), order=order), ids, plain_scores([], texts, order))
+
+
+def test_lm_scores_equal_their_sql(spark, sf):
+    assert compare(spark, connect(sf), entry.queries()["op9_lm_score"], entry.oracle_sql()["op9_lm_score"], sf) is None
 
 
 def test_lm_scores_fold_no_word_of_a_long_corpus(spark):
     texts = ["w " * 2_200_000, "once", "twice seen w", "w twice seen", "w other"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     n, w = 2_200_009, 2_200_003
-    ww, back = math.log(2_199_999 / w), math.log(0.4 / n)
-    twice, seen = back + math.log(2), math.log(2 / 2)
+    first, after = math.log(w / n), math.log(1 / w)
     expected = [
-        math.log(w / n) + 2_199_999 * ww, math.log(1 / n), math.log(2 / n) + seen + back + math.log(w),
-        math.log(w / n) + twice + seen, math.log(w / n) + back]
+        first + 2_199_999 * math.log(2_199_999 / w), math.log(1 / n), math.log(2 / n) + math.log(2 / 2) + math.log(1 / 2),
+        first + after + math.log(2 / 2), first + after]
     found = [r.log_score for r in lm_score.score_documents(docs).orderBy("doc_id").collect()]
     assert found == pytest.approx(expected, abs=2e-3)

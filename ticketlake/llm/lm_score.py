@@ -1,44 +1,69 @@
-"""Language-model scores with stupid backoff, computed relationally over word pairs.
+"""Language-model scores with stupid backoff, computed relationally over n-grams of words.
 
-A pair that the corpus holds at least `least` times scores c(v w) / c(v), any other one backs off to
-ALPHA * c(w) / N. Every word and every pair counts by the 64-bit hashes of its words; tasks count what
-they read before it is shuffled.
+A word after others scores c(context word) / c(context) for its `order` - 1 words of context if the corpus
+holds the n-gram, else ALPHA times what it scores with one word less; a word without context scores
+c(word) / N. Every n-gram of every document counts, by a 64-bit hash of its words.
 
-Words and pairs that are counted at least that often are tables dealt by hash. Each pair of a document
-is a row that is dealt by the hash of a word that isn't frequent, its second one if it can be: there it
-meets that word's count and what the pair scores. Pairs of two frequent words never become rows.
+A document that is itself of the corpus never backs off: its own n-grams are all held. Its score is then
+the sum over its distinct n-grams of weight * log c, where the weight is how often the n-gram is scored
+less how often it is the context. So one exchange by n-gram gives both the counts and the scores. Other
+documents are joined with the table of counts, one row for each length that a word may back off to.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlake.llm import words as W
-from ticketlake.llm.common import hashed_fraction, staged
 
-ALPHA, LEAST = 0.4, 2
-#: Words with a smaller share of the tokens form one class of unknown words, in no seen pair. 0: no word.
-LEAST_SHARE = 0.0
-#: Frequent words, from about so many texts. Their pairs are counted beforehand and never exploded,
-#: so that no pair that is left holds a large share of the rows; the choice changes no score.
-FREQUENT, SAMPLE_TEXTS = 1_024, 2_000
-#: What stands for the other word of a pair: the place of a frequent first word, BEFORE and the place of a
-#: frequent second one, else the hash of the first one. WORD: no pair but a word, HEAD: a document,
-#: HOT: a pair of frequent words. No hash is below RESERVED.
-BEFORE, WORD = 1 << 11, 1 << 12
-HEAD, HOT, RESERVED = WORD + 1, WORD + 2, WORD + 3
-
-
-def word_hashes(vocab: pa.Array) -> np.ndarray:
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in vocab.to_pylist()], dtype=np.uint64).view(np.int64)
-    return np.where((hashes >= 0) & (hashes < RESERVED), hashes + RESERVED, hashes)
+ALPHA, ORDER = 0.4, 2
+#: Frequent n-grams, at most, from about so many texts. They are counted beforehand and never become rows
+#: that are shuffled, so that no key that is left is hot; the choice changes no score.
+FREQUENT, SAMPLE_TEXTS = 131_072, 2_000
+#: Bytes of text whose n-grams are made together, at least one document.
+CHUNK_BYTES = 2 << 20
+STEP = np.uint64(0x100000001B3)
+
+
+class Grams:
+    """N-grams of some texts, by length from 1: where they start, their numbers here, and each number's key."""
+
+    def __init__(self, texts: pa.Array, order: int):
+        found = W.split_words(texts)
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in found.vocab.to_pylist()], dtype=np.uint64)
+        codes, size = found.codes.astype(np.int64), np.int64(max(1, len(hashes)))
+        self.counts = found.counts
+        self.owner = np.repeat(np.arange(len(texts)), found.counts)
+        self.first = found.offsets[:-1][self.owner]
+        self.left = found.offsets[1:][self.owner] - np.arange(len(codes))  # words up to the text's end
+        at, numbers, keys = np.arange(len(codes)), codes, W.mixed(hashes)
+        self.lengths = [(at, numbers, keys)]
+        for length in range(2, order + 1):
+            fits = self.left[at] >= length
+            at = at[fits]
+            distinct, numbers = np.unique(numbers[fits] * size + codes[at + length - 1], return_inverse=True)
+            keys = W.mixed(keys[distinct // size] * STEP + hashes[distinct % size])
+            self.lengths.append((at, numbers, keys))
+
+    def of_texts(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each length: owners, numbers, times and weights of each text's distinct n-grams, and keys."""
+        order = len(self.lengths)
+        for length, (at, numbers, keys) in enumerate(self.lengths, 1):
+            size = np.int64(max(1, len(keys)))
+            distinct, inverse, times = np.unique(
+                self.owner[at] * size + numbers, return_inverse=True, return_counts=True)
+            weight = times
+            if length < order:
+                first = at == self.first[at]
+                context = (self.left[at] > length) & (first | (length == order - 1))
+                weight = np.bincount(inverse, first.astype(float) - context, len(distinct)).astype(np.int64)
+            yield distinct // size, distinct % size, times, weight, keys
 
 
 def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -47,191 +72,158 @@ def places(sorted_keys: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return np.where(sorted_keys[at] == keys, at, -1) if len(sorted_keys) else np.full(len(keys), -1)
 
 
-def pair_starts(found: W.Words) -> np.ndarray:
-    """Positions of words that another word of the same text follows."""
-    inside = np.ones(len(found.codes), dtype=bool)
-    inside[found.offsets[1:][found.counts > 0] - 1] = False
-    return np.flatnonzero(inside)
+def by_chunk(order: int, make: Callable[[Grams, pa.RecordBatch], pa.RecordBatch]):
+    """A function for `mapInArrow` over rows whose last column is the text."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = 0
+            for chunk in W.text_chunks(batch.column(batch.num_columns - 1), CHUNK_BYTES):
+                yield make(Grams(chunk, order), batch.slice(at, len(chunk)))
+                at += len(chunk)
 
+    return run
 
-def pair_keys(hashes: np.ndarray, place: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The word by which each pair is dealt, and what stands for the other one; see BEFORE."""
-    before = place[b] >= 0
-    other = np.where(before, BEFORE + place[b], np.where(place[a] >= 0, place[a], hashes[a]))
-    return np.where(before, hashes[a], hashes[b]), other
 
+def gram_counts(docs: DataFrame, text: str = "text", order: int = ORDER) -> DataFrame:
+    """`(key, length, n)`: how often each n-gram of up to `order` words occurs, counted before the shuffle."""
+    def count(grams: Grams, _: pa.RecordBatch) -> pa.RecordBatch:
+        parts = [(keys, np.full(len(keys), i), np.bincount(numbers, minlength=len(keys)))
+                 for i, (_, numbers, keys) in enumerate(grams.lengths, 1)]
+        key, length, n = (np.concatenate(x) for x in zip(*parts))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key.view(np.int64)), pa.array(length, pa.int32()), pa.array(n, pa.int64())], ["key", "length", "n"])
 
-@dataclass
-class Model:
-    """Counts of words and of pairs seen at least `least` times as a table, of frequent ones as arrays."""
+    rows = docs.select(text).mapInArrow(by_chunk(order, count), "key long, length int, n long")
+    return rows.groupBy("key", "length").agg(F.sum("n").alias("n"))
 
-    counts: DataFrame
-    least: int
-    total: int
-    unknown: int
-    frequent: np.ndarray
-    logs: np.ndarray
-    pairs: np.ndarray
 
-    def floor(self) -> float:
-        """Tokens from which on a word is known."""
-        return self.total * LEAST_SHARE
+def frequent_grams(docs: DataFrame, text: str, order: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Sorted keys of the most frequent n-grams of a bounded sample, their counts in all texts, and all tokens."""
+    sample = docs.sample(min(1.0, SAMPLE_TEXTS / max(1, docs.count())), seed=5)
+    top = gram_counts(sample, text, order).filter("n > 1").orderBy(F.col("n").desc(), "key").limit(FREQUENT)
+    frequent = np.sort(top.select("key").toArrow()["key"].to_numpy().view(np.uint64))
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n = np.zeros(len(frequent) + 1, dtype=np.int64)  # the last one: tokens
+        for batch in batches:
+            for chunk in W.text_chunks(batch.column(0), CHUNK_BYTES):
+                grams = Grams(chunk, order)
+                n[-1] += grams.counts.sum()
+                for _, numbers, keys in grams.lengths:
+                    place = places(frequent, keys)
+                    n[place[place >= 0]] += np.bincount(numbers, minlength=len(keys))[place >= 0]
+        full = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(full), pa.array(n[full])], ["place", "n"])
+
+    counted = docs.select(text).mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+    n = np.zeros(len(frequent) + 1, dtype=np.int64)
+    n[counted["place"].to_numpy()] = counted["n"].to_numpy()
+    return frequent, n[:-1], int(n[-1])
+
+
+def totals(scored: DataFrame) -> DataFrame:
+    """The result columns from parts `(row, doc_id, n, score)` of each row's score."""
+    sums = scored.groupBy("row").agg(F.max("doc_id").alias("doc_id"), F.sum("n").alias("n"), F.sum("score").alias("score"))
+    return sums.select(
+        "doc_id", F.col("n").alias("n_tokens"), F.round("score", 6).alias("log_score"),
+        F.round(F.when(F.col("n") > 0, F.col("score") / F.col("n")), 9).alias("mean_log_score"))
 
-def frequent_words(docs: DataFrame, text: str) -> np.ndarray:
-    """Sorted hashes of the most frequent words of a bounded sample of texts."""
-    n = docs.count()
-    sample = docs.filter(hashed_fraction(F.col(text), SAMPLE_TEXTS / max(1, n))).select(text)
-    words = counted(sample, text, np.zeros(0, np.int64), pairs=False)
-    top = words.orderBy(F.col("n").desc(), "x").limit(FREQUENT)
-    return np.array(sorted(r["x"] for r in top.collect()), dtype=np.int64)
 
+def numbered(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    return docs.select(
+        F.monotonically_increasing_id().alias("row"), F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
 
-def counted(docs: DataFrame, text: str, frequent: np.ndarray, pairs: bool = True) -> DataFrame:
-    """`(x, y, n)`: counts of words, of pairs of frequent words by their places, and of all other pairs."""
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in W.text_chunks(batch.column(0)):
-                yield of_chunk(W.split_words(chunk))
-
-    def of_chunk(found: W.Words) -> pa.RecordBatch:
-        hashes = word_hashes(found.vocab)
-        place, size = places(frequent, hashes), max(1, len(hashes))
-        left = pair_starts(found) if pairs else np.zeros(0, np.int64)
-        distinct, times = np.unique(found.codes[left].astype(np.int64) * size + found.codes[left + 1], return_counts=True)
-        a, b = distinct // size, distinct % size
-        x, y = pair_keys(hashes, place, a, b)
-        hot = (place[a] >= 0) & (place[b] >= 0)
-        x, y = np.where(hot, place[a] * FREQUENT + place[b], x), np.where(hot, HOT, y)
-        return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([hashes, x]), pa.int64()),
-            pa.array(np.concatenate([np.full(len(hashes), WORD), y]), pa.int64()),
-            pa.array(np.concatenate([np.bincount(found.codes, minlength=len(hashes)), times]), pa.int64()),
-        ], ["x", "y", "n"])
-
-    rows = docs.select(text).mapInArrow(count, "x long, y long, n long")
-    return rows.groupBy("x", "y").agg(F.sum("n").alias("n"))
-
-
-def fit(docs: DataFrame, text: str = "text", least: int = LEAST) -> Model:
-    """Counts over all documents. FREQUENT words and FREQUENT^2 pairs at most come to the driver."""
-    frequent = frequent_words(docs, text)
-    kept = staged(counted(docs, text, frequent).filter(F.col("y").isin(WORD, HOT) | (F.col("n") >= least)), "counts")
-    words = kept.filter(F.col("y") == WORD)
-    total = words.agg(F.sum("n")).first()[0] or 0
-    floor = total * LEAST_SHARE
-    unknown = (words.filter(F.col("n") < floor).agg(F.sum("n")).first()[0] or 0) if LEAST_SHARE else 0
-    own = {r["x"]: r["n"] for r in words.filter(F.col("x").isin(frequent.tolist())).collect()}
-    n = np.array([own[x] for x in frequent.tolist()], dtype=np.int64)
-    pairs = kept.filter(F.col("y") == HOT).select("x", "n").toArrow()
-    matrix = np.zeros(FREQUENT * FREQUENT, dtype=np.int64)
-    matrix[pairs["x"].to_numpy()] = pairs["n"].to_numpy()
-    matrix = matrix.reshape(FREQUENT, FREQUENT)
-    rare = np.flatnonzero(n < floor)
-    matrix[rare], matrix[:, rare] = 0, 0
-    logs = np.log(np.maximum(1, np.where(n < floor, unknown, n)))
-    return Model(kept, least, total, unknown, frequent, logs, matrix)
-
-
-def exploded(docs: DataFrame, model: Model, text: str) -> DataFrame:
-    """One row for each distinct pair of each document, for its first word, and for the document itself.
-
-    `(x, y, doc_id, text_hash, times, score)`. A document's own row has the number of its tokens, and
-    its score without the counts of words that aren't frequent, as if their pairs backed off. A first
-    word or a pair of two frequent ones is no row where that row holds all of it.
-    """
-    frequent, logs, matrix, least = model.frequent, model.logs, model.pairs, model.least
-    whole, backoff = np.log(max(1, model.total)), np.log(ALPHA)
 
-    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = 0
-            for chunk in W.text_chunks(batch.column(2)):
-                yield of_chunk(chunk, batch.slice(at, len(chunk)))
-                at += len(chunk)
+def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", order: int = ORDER) -> DataFrame:
+    """`(doc_id, n_tokens, log_score, mean_log_score)`, one row for each row of `docs`, by counts over all of them.
 
-    def of_chunk(chunk: pa.Array, rows: pa.RecordBatch) -> pa.RecordBatch:
-        found = W.split_words(chunk)
-        hashes = word_hashes(found.vocab)
-        place, size = places(frequent, hashes), np.int64(max(1, len(hashes)))
-        codes = found.codes.astype(np.int64)
-        left = pair_starts(found)
-        owner = np.repeat(np.arange(len(chunk)), found.counts)
-        base = np.where(place >= 0, logs[place] if len(logs) else 0.0, 0.0)[codes] - whole
-        base[left + 1] += backoff
-        own = W.per_text(base, found.offsets)
-        hot = place[codes]
-        both = (hot[left] >= 0) & (hot[left + 1] >= 0)
-        a, b = hot[left[both]], hot[left[both] + 1]
-        n = matrix[a, b]
-        gain = np.where(n >= least, np.log(np.maximum(1, n)) - logs[a] - logs[b] + whole - backoff, 0.0) if len(a) else n
-        own += np.bincount(owner[left[both]], gain, len(chunk))
-        first = found.offsets[:-1][found.counts > 0]
-        first = first[hot[first] < 0]
-        rest = left[~both]
-        distinct, times = np.unique((owner[rest] * size + codes[rest]) * size + codes[rest + 1], return_counts=True)
-        x, y = pair_keys(hashes, place, distinct // size % size, distinct % size)
-        take = pa.array(np.concatenate([np.arange(len(chunk)), owner[first], distinct // (size * size)]))
-        heads = rows.column(1).to_numpy(zero_copy_only=False)
+    A null or empty text has 0 tokens, score 0 and a null mean. Null ids and repeated rows are kept, each
+    row counts; an empty table gives an empty result; other columns are left out. Long texts are worked on
+    whole. At most FREQUENT counts come to the driver.
+    """
+    frequent, n, total = frequent_grams(docs, text, order)
+    logs, whole = np.log(np.maximum(n, 1)), np.log(max(1, total))
+
+    def explode(grams: Grams, rows: pa.RecordBatch) -> pa.RecordBatch:
+        size, number = len(grams.counts), rows.column(0).to_numpy()
+        own = -whole * (grams.counts if order == 1 else grams.counts > 0)
+        parts = []
+        for owner, at, times, weight, keys in grams.of_texts():
+            place = places(frequent, keys)[at]
+            hot = place >= 0
+            own = own + np.bincount(owner[hot], weight[hot] * logs[place[hot]], size)
+            parts.append((keys[at[~hot]], number[owner[~hot]], times[~hot], weight[~hot]))
+        key, row, times, weight = (np.concatenate(x) for x in zip(*parts))
+        # a document's own row has its id, its tokens and what frequent n-grams score
+        none, zeros = pa.nulls(len(key), pa.int64()), np.zeros(len(key), dtype=np.int64)
+        heads = W.mixed(number.astype(np.uint64))
         return pa.RecordBatch.from_arrays([
-            pa.array(np.concatenate([heads, hashes[codes[first]], x])),
-            pa.array(np.concatenate([np.full(len(chunk), HEAD), np.full(len(first), WORD), y])),
-            rows.column(0).take(take), rows.column(1).take(take),
-            pa.array(np.concatenate([found.counts, np.ones(len(first), np.int64), times]), pa.int64()),
-            pa.array(np.concatenate([own, np.zeros(len(take) - len(chunk))])),
-        ], ["x", "y", "doc_id", "text_hash", "times", "score"])
-
-    # each row holds less than a word of the text and two numbers
-    return docs.select("doc_id", F.xxhash64(text).alias("text_hash"), text).mapInArrow(
-        explode, "x long, y long, doc_id long, text_hash long, times long, score double")
-
-
-def pair_gains(model: Model) -> DataFrame:
-    """`(x, y, gain)` of pairs that are seen: what each scores more than the document's own row has."""
-    words, y = known_words(model), F.col("y")
-    second, first = y.between(BEFORE, WORD - 1), y.between(0, BEFORE - 1)
-    # a frequent word's count is at hand; else the first word's is looked up
-    pairs = model.counts.filter(~y.isin(WORD, HOT) & (F.col("n") >= model.least)).withColumn(
-        "w", F.when(first | second, F.col("x")).otherwise(y))
-    seen = pairs.join(words.filter("known").select(F.col("x").alias("w"), "log_count"), "w")
-    frequent = F.element_at(F.lit([*model.logs.tolist(), 0.0]), F.when(second, y - BEFORE).when(first, y).otherwise(0).cast("int") + 1)
-    more = float(np.log(max(1, model.total)) - np.log(ALPHA))
-    lost = F.when(first, frequent).when(second, frequent + F.col("log_count")).otherwise(F.col("log_count"))
-    return seen.select("x", "y", (F.log("n") + more - lost).alias("gain"))
-
-
-def known_words(model: Model) -> DataFrame:
-    """`(x, log_count, known)` of every word."""
-    n, floor = F.col("n"), model.floor()
-    return model.counts.filter(F.col("y") == WORD).select(
-        "x", F.log(F.when(n >= floor, n).otherwise(model.unknown)).alias("log_count"), (n >= floor).alias("known"))
-
-
-def score_documents(
-    docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text: str = "text", least: int = LEAST,
+            pa.array(np.concatenate([heads, key]).view(np.int64)), pa.array(np.concatenate([number, row])),
+            pa.array(np.concatenate([np.zeros(size, np.int64), times]), pa.int64()),
+            pa.array(np.concatenate([np.zeros(size, np.int64), weight]), pa.int64()),
+            pa.concat_arrays([rows.column(1).cast(pa.int64()), none]),
+            pa.array(np.concatenate([grams.counts, zeros]), pa.int64()),
+            pa.array(np.concatenate([own, zeros.astype(float)])),
+        ], ["key", "row", "times", "weight", "doc_id", "n", "score"])
+
+    rows = numbered(docs, id_col, text).mapInArrow(
+        by_chunk(order, explode), "key long, row long, times long, weight long, doc_id long, n long, score double")
+    count = F.greatest(F.sum("times").over(Window.partitionBy("key")), F.lit(1))
+    return totals(rows.select("row", "doc_id", "n", (F.col("score") + F.col("weight") * F.log(count)).alias("score")))
+
+
+def score_against(
+    docs: DataFrame, corpus: DataFrame, id_col: str = "doc_id", text: str = "text", order: int = ORDER,
 ) -> DataFrame:
-    """`(doc_id, n_tokens, log_score, mean_log_score)`, one row for each row of `docs`.
+    """The columns of `score_documents`, by the counts of another table, with backoff.
 
-    All counts are over `docs`, or those of `model`, an earlier result of `fit` over `docs`, whose
-    `least` then holds. A null or empty text has 0 tokens, score 0 and a null mean. Null ids and
-    repeated rows are kept; an empty table gives an empty result.
+    A word that the corpus doesn't hold counts as one that it holds once, and so does an empty corpus's
+    length. Nulls, empty and repeated rows as in `score_documents`. The rows are a document's distinct
+    n-grams times the lengths they may back off to; the side of the counts has one row for each n-gram,
+    so Spark can split a hot n-gram's rows.
     """
-    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # rows that are dealt by x meet the pairs (x, y) where they are
-    docs.sparkSession.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    model = model or fit(docs, least=least)
-    y = F.col("y")
-    dealt = exploded(docs, model, "text").join(known_words(model).hint("shuffle_hash"), "x", "left")
-    joined = dealt.join(pair_gains(model).hint("shuffle_hash"), ["x", "y"], "left")
-    backed = F.when(y.between(BEFORE, WORD - 1), 0.0).otherwise(F.col("log_count"))
-    pair = F.col("times") * F.when(F.col("known") & F.col("gain").isNotNull(), F.col("gain")).otherwise(backed)
-    head = y == HEAD
-    scored = joined.select(
-        "doc_id", "text_hash", F.when(head, F.col("score")).otherwise(pair).alias("score"),
-        F.when(head, F.col("times")).otherwise(0).alias("n"), head.cast("long").alias("rows"))
-    sums = scored.groupBy("doc_id", "text_hash").agg(*[F.sum(c).alias(c) for c in ("score", "n", "rows")])
-    # equal rows were summed together
-    return sums.withColumn("one", F.explode(F.sequence(F.lit(1), F.col("rows")))).select(
-        "doc_id", (F.col("n") / F.col("rows")).cast("long").alias("n_tokens"),
-        F.round(F.col("score") / F.col("rows"), 6).alias("log_score"),
-        F.round(F.when(F.col("n") > 0, F.col("score") / F.col("n")), 9).alias("mean_log_score"))
+    counts = gram_counts(corpus, text, order).select("key", F.col("n").alias("c"), "length")
+    total = counts.filter("length = 1").agg(F.sum("c")).first()[0] or 1
+
+    def explode(grams: Grams, rows: pa.RecordBatch) -> pa.RecordBatch:
+        number = rows.column(0).to_numpy()
+        key_at = []
+        for at, numbers, keys in grams.lengths:
+            spread = np.zeros(len(grams.owner), dtype=np.uint64)
+            spread[at] = keys[numbers]
+            key_at.append(spread)
+        heads = W.mixed(number.astype(np.uint64))  # a document's own row has its id and its tokens
+        none = np.zeros(len(number), dtype=np.int64)
+        parts = [(number, heads, none, none, none, heads, heads)]
+        for length, (at, numbers, keys) in enumerate(grams.lengths, 1):
+            scored = np.ones(len(at), dtype=bool) if length == order else at == grams.first[at]
+            size = np.int64(max(1, len(keys)))
+            _, one, times = np.unique(
+                grams.owner[at[scored]] * size + numbers[scored], return_index=True, return_counts=True)
+            start = at[scored][one]
+            for left in range(1, length + 1):
+                key = key_at[left - 1][start + length - left]
+                context = key_at[left - 2][start + length - left] if left > 1 else key
+                parts.append((number[grams.owner[start]], key_at[length - 1][start], times, np.full(len(key), length),
+                              np.full(len(key), left), key, context))
+        row, gram, times, whole, left, key, context = (np.concatenate(x) for x in zip(*parts))
+        rest = len(row) - len(number)
+        return pa.RecordBatch.from_arrays([
+            pa.array(row), pa.array(gram.view(np.int64)), pa.array(times, pa.int64()), pa.array(whole, pa.int32()),
+            pa.array(left, pa.int32()), pa.array(key.view(np.int64)), pa.array(context.view(np.int64)),
+            pa.concat_arrays([rows.column(1).cast(pa.int64()), pa.nulls(rest, pa.int64())]),
+            pa.array(np.concatenate([grams.counts, np.zeros(rest, np.int64)]), pa.int64()),
+        ], ["row", "gram", "times", "whole", "left", "key", "context", "doc_id", "n"])
+
+    chains = numbered(docs, id_col, text).mapInArrow(
+        by_chunk(order, explode),
+        "row long, gram long, times long, whole int, left int, key long, context long, doc_id long, n long")
+    contexts = counts.select(F.col("key").alias("context"), F.col("c").alias("of"))
+    joined = chains.join(counts.select("key", "c"), "key", "left").join(contexts, "context", "left")
+    # what is held of a gram is also held of its context; of all lengths held, the longest scores
+    log = F.log(F.coalesce("c", F.lit(1))) - F.log(F.when(F.col("left") > 1, F.col("of")).otherwise(total))
+    best = joined.filter(F.col("c").isNotNull() | (F.col("left") < 2)).groupBy("row", "gram").agg(
+        F.max_by(log, "left").alias("log"), F.max("left").alias("left"), F.max("whole").alias("whole"),
+        *[F.max(c).alias(c) for c in ("times", "doc_id", "n")])
+    score = F.col("times") * (F.col("log") + (F.col("whole") - F.col("left")) * float(np.log(ALPHA)))
+    return totals(best.select("row", "doc_id", "n", score.alias("score")))

@@ -160,7 +160,18 @@ def op8_ann(spark, sf):
     return ann.nearest(rows, rows.filter(F.col("vec_id") % QUERY_STEP == 0), TOP)
 
 
-@query("op9_lm_score")
+@query("op9_lm_score", r"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+            [x for x in string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+') if x <> ''] AS words FROM documents),
+    u AS (SELECT r, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM d),
+    p AS (SELECT *, lag(w) OVER (PARTITION BY r ORDER BY i) AS v FROM u),
+    ones AS (SELECT w, count(*) AS n FROM u GROUP BY w),
+    twos AS (SELECT v, w, count(*) AS n FROM p WHERE i > 1 GROUP BY v, w),
+    s AS (SELECT r, ln(n) - ln((SELECT count(*) FROM u)) AS score FROM u JOIN ones USING (w) WHERE i = 1
+        UNION ALL SELECT r, ln(twos.n) - ln(ones.n) FROM p JOIN twos USING (v, w) JOIN ones ON ones.w = p.v),
+    t AS (SELECT r, sum(score) AS score FROM s GROUP BY r)
+    SELECT doc_id, len(words)::BIGINT AS n_tokens, round(coalesce(score, 0), 6) AS log_score,
+        round(score / len(words), 9) AS mean_log_score FROM d LEFT JOIN t USING (r)""")
 def op9_lm_score(spark, sf):
     return lm_score.score_documents(table(spark, sf, "documents"))
 
