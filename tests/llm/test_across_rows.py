@@ -177,10 +177,18 @@ def test_index_finds_every_code_within_the_radius():
     codes[:500, 0] &= 3
     index = ann.Index(codes)
     for i in (0, 7, 2000):
-        for radius in (3, 11, 20, 30):
+        for radius in (0, 3, 4, 11, 20, 30, 45, 64):
             assert index.within(codes[i], radius).tolist() == np.flatnonzero(ann.hamming(codes, codes[i]) <= radius).tolist()
 
 
+def test_index_probes_spare_rows_where_the_radius_is_small():
+    codes = np.random.default_rng(3).integers(0, 1 << 16, (3000, 4)).astype(np.uint16)
+    assert ann.Index(codes).candidates(codes[0], 7).sum() < 60
+    for radius in range(64):  # no row that the rule leaves out is within the radius
+        probed = ann.Index(codes).candidates(codes[1], radius)
+        assert (ann.hamming(codes[~probed], codes[1]) > radius).all()
+
+
 def plain_scores(corpus, texts, order):
     """Stupid backoff by counting; a word that the corpus lacks counts once."""
     split = [(t or "").encode().split() for t in corpus]

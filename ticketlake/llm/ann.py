@@ -3,14 +3,13 @@
 Codes are signs of rotated principal components; the rotation is learned to lose least (ITQ). A code
 is cut into substrings and each substring is indexed by its value. A code within Hamming radius r of a
 query's differs by at most r // m in one of m substrings, so probing all values that near finds every
-one of them. Those that are within r are ranked by the original vectors.
+one of them. Those that are within r are ranked by the original vectors. The probes run at every size
+and radius; how much they spare depends on the radius that the data need.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import lru_cache
-from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -84,36 +83,32 @@ def learn(sample: np.ndarray, most: float, k: int, seed: int = 3) -> Codes:
     return codes
 
 
-@lru_cache(maxsize=64)
-def flips(most: int) -> np.ndarray:
-    """All 16-bit masks with at most that many bits."""
-    return np.array([sum(1 << b for b in at) for n in range(most + 1) for at in combinations(range(SUBSTRING), n)],
-                    dtype=np.uint16)
-
-
 class Index:
-    """Row numbers of a block by the value of each substring of its codes."""
+    """Rows of a block by the value of each substring of its codes: sorted values, and where each one's rows are."""
 
     def __init__(self, codes: np.ndarray):
         self.codes = codes
         self.rows = [np.argsort(codes[:, j], kind="stable") for j in range(codes.shape[1])]
-        self.ends = [np.concatenate([[0], np.cumsum(np.bincount(codes[:, j], minlength=1 << SUBSTRING))])
-                     for j in range(codes.shape[1])]
+        self.values, self.starts = zip(*(
+            np.unique(codes[rows, j], return_index=True) for j, rows in enumerate(self.rows)))
+
+    def candidates(self, code: np.ndarray, radius: int) -> np.ndarray:
+        """Whether each row is in a probed bucket; true for all rows within the Hamming radius.
+
+        With radius = a * m + b, a code whose first b + 1 substrings differ by more than a, and the others by
+        a or more, differs by more than the radius. Of the values that near, those that occur are probed.
+        """
+        near, more = divmod(radius, len(code))
+        seen = np.zeros(len(self.codes), dtype=bool)
+        for j, (rows, values, starts) in enumerate(zip(self.rows, self.values, self.starts)):
+            hit = np.flatnonzero(np.bitwise_count(values ^ code[j]).astype(np.int64) <= (near if j <= more else near - 1))
+            sizes = np.append(starts, len(rows))[hit + 1] - starts[hit]
+            seen[rows[np.repeat(starts[hit] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]] = True
+        return seen
 
     def within(self, code: np.ndarray, radius: int) -> np.ndarray:
         """All rows within the Hamming radius, in order."""
-        m = len(code)
-        if radius // m >= SUBSTRING // 3:  # the probes would outnumber the rows
-            return np.flatnonzero(hamming(self.codes, code) <= radius)
-        seen = np.zeros(len(self.codes), dtype=bool)
-        for j in range(m):
-            value = code[j] ^ flips(radius // m)
-            starts, ends = self.ends[j][value], self.ends[j][value + np.int64(1)]
-            sizes = ends - starts
-            full = sizes > 0
-            starts, sizes = starts[full], sizes[full]
-            seen[self.rows[j][np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())]] = True
-        found = np.flatnonzero(seen)
+        found = np.flatnonzero(self.candidates(code, radius))
         return found[hamming(self.codes[found], code) <= radius]
 
 
