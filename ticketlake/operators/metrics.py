@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ticketlake.functions.times import at_time, elapsed_seconds, mean_hours
 from ticketlake.operators.keys import global_row_number
+from ticketlake.session import scratch_path
 
 Dims = Mapping[str, DataFrame]
 
@@ -205,7 +206,8 @@ def kpi_collab_rank(*parts: tuple[DataFrame, DataFrame, Column]) -> DataFrame:
     """Collaborators by ticket count (most first), then mean duration (shortest first), then name.
 
     Each part is a fact, its collaborators and its duration in seconds. Names are unique, so the rank
-    is a row number and needs no one-task sort either.
+    is a row number and needs no one-task sort either. The numbering uses its rows three times, so the
+    loads, one row a collaborator, are written to the shared scratch folder first.
     """
     def one(fact: DataFrame, collaborators: DataFrame, seconds: Column) -> DataFrame:
         load = fact.groupBy("ID_Collaborateur").agg(
@@ -215,8 +217,11 @@ def kpi_collab_rank(*parts: tuple[DataFrame, DataFrame, Column]) -> DataFrame:
     named = reduce(DataFrame.unionByName, [one(*part) for part in parts]).groupBy("Collaborateur").agg(
         F.sum("tickets").alias("tickets"),
         F.round(F.try_divide(F.sum("seconds"), F.sum("measured")) / 3600, 2).alias("mean_hours"))
+    path = scratch_path(named.sparkSession, "loads")
+    named.write.parquet(path)
+    stored = named.sparkSession.read.schema(named.schema).parquet(path)
     order = F.struct(-F.col("tickets"), F.col("mean_hours"), F.col("Collaborateur"))
-    return global_row_number(named, order, name="rank")
+    return global_row_number(stored, order, name="rank")
 
 
 def kpi_sla(

@@ -7,7 +7,6 @@ again on the same or a later extract: silver and facts are merged by key, dimens
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -50,13 +49,6 @@ def gold(spark: SparkSession, root: str, name: str) -> DataFrame:
     return tables.read_path(spark, gold_path(root, name))
 
 
-def _together(*loads: Callable[[], None], at_once: int = 4) -> None:
-    """Run independent table loads side by side, so that small ones do not wait for each other."""
-    with ThreadPoolExecutor(at_once) as pool:
-        for done in [pool.submit(load) for load in loads]:
-            done.result()
-
-
 def _merge(
     path: str, schema: T.StructType, updates: DataFrame, keys: Sequence[Key], update_cols,
     latest_by: Sequence[Column | str] = (), layout: tables.Layout = tables.Layout(),
@@ -174,7 +166,7 @@ def load_incident_gold(
 ) -> None:
     """Incident dimensions, then the fact. `changed` limits the load to rows new since the last one (`changed_rows`)."""
     source = silver(spark, root, "supervision_silver") if changed is None else changed
-    _together(
+    star.together(
         *_dim_loads(source, root, star.INCIDENT_DATES, star.INCIDENT_DIMS),
         lambda: refresh_group_dim(source, root, group_lookup),
     )
@@ -196,7 +188,7 @@ def load_deployment_request_gold(
     """
     deployments = silver(spark, root, "MEP_silver") if changed_deployments is None else changed_deployments
     requests = silver(spark, root, "demandes_silver") if changed_requests is None else changed_requests
-    _together(
+    star.together(
         *_dim_loads(deployments, root, star.DEPLOYMENT_DATES, star.DEPLOYMENT_DIMS),
         *_dim_loads(requests, root, star.REQUEST_DATES, star.REQUEST_DIMS),
         lambda: refresh_type_dim([requests, deployments], root),
@@ -205,7 +197,7 @@ def load_deployment_request_gold(
         look.dim: gold(spark, root, look.dim)
         for look in facts.DEPLOYMENT_LOOKUPS + facts.REQUEST_LOOKUPS
     }
-    _together(
+    star.together(
         lambda: _merge(
             gold_path(root, "factMep_gold"), schemas.DEPLOYMENTS_FACT,
             facts.fact_deployments(deployments, found), ["Numero"], None, latest_at("Mis_a_jour", "Mis_h"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from typing import NamedTuple
 
@@ -89,19 +90,30 @@ def _build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return value_dim(_SILVER[name](spark, sf_dir), _SPECS[name])
 
 
+def together(*loads: Callable[[], None], at_once: int = 4) -> None:
+    """Run independent table loads side by side, so that small ones do not wait for each other."""
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(load) for load in loads]:
+            done.result()
+
+
+def _load(spark: SparkSession, sf_dir: str, names: list[str]) -> dict[str, str]:
+    """Folders of newly built dimensions; small ones are loaded side by side."""
+    paths = {name: scratch_path(spark, f"dim-{name}") for name in names}
+    together(*[
+        lambda name=name, path=path: tables.overwrite_path(_build(spark, sf_dir, name), path)
+        for name, path in paths.items()], at_once=8)
+    return paths
+
+
 def stored_dims(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     """Dimensions as the gold layer has them: written, then read back.
 
     Read from files they carry their true size, which is what decides how a lookup joins them.
     """
-    found = {}
-    for name in names:
-        path = _prepared.get((sf_dir, name))
-        if path is None:
-            path = scratch_path(spark, f"dim-{name}")
-            tables.overwrite_path(_build(spark, sf_dir, name), path)
-        found[name] = tables.read_path(spark, path)
-    return found
+    paths = {name: _prepared[sf_dir, name] for name in names if (sf_dir, name) in _prepared}
+    paths |= _load(spark, sf_dir, [name for name in names if name not in paths])
+    return {name: tables.read_path(spark, paths[name]) for name in names}
 
 
 @contextmanager
@@ -111,10 +123,7 @@ def prepared(spark: SparkSession, sf_dir: str) -> Iterator[None]:
     For reports over a gold layer that is loaded beforehand; a benchmark times the load as its own entry.
     """
     names = [*_SPECS, "groupe", "type"]
-    for name in names:
-        path = scratch_path(spark, f"dim-{name}")
-        tables.overwrite_path(_build(spark, sf_dir, name), path)
-        _prepared[sf_dir, name] = path
+    _prepared.update({(sf_dir, name): path for name, path in _load(spark, sf_dir, names).items()})
     try:
         yield
     finally:
