@@ -6,8 +6,8 @@ from ticketlake import schemas
 from ticketlake.operators.upsert import upsert
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans.queries import without_zone
-from ticketlake.plans.stream_queries import arriving, zoned
-from ticketlake.session import scratch_path
+from ticketlake.plans.stream_queries import BATCHES, arriving, files_a_batch, zoned
+from ticketlake.session import scratch_path, settings
 from ticketlake.sources import readers, tables
 from ticketlake.streaming import tickets
 
@@ -185,3 +185,26 @@ def test_a_breach_needs_no_update(spark):
         found.append({r.Numero: str(r.breached_at)[11:16] for r in tables.read_path(spark, path).collect()} if tables.table_exists(spark, path) else {})
     overdue = {"silent": "10:00", "reopened": "10:00", "raised": "10:00", "no state": "10:00"}
     assert found == [{}, {}, overdue, {**overdue, "found late": "10:00"}]
+
+
+@pytest.mark.parametrize("files", [8, 200, 211])
+def test_an_arrival_of_any_number_of_files_is_read_in_as_many_batches(spark, files):
+    with settings(spark, {"spark.sql.shuffle.partitions": str(files)}):
+        assert -(-files // files_a_batch(spark)) == BATCHES
+
+
+def test_a_merge_takes_several_batches_and_later_ones_win(spark, monkeypatch):
+    src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "t", "ckpt"))
+    schema = schemas.schema(("k", schemas.I), ("at", schemas.I), ("v", schemas.I))
+    tables.ensure_table(spark, path, schema, tables.Layout(["k"], 2))
+    merges, upsert_table = [], tables.upsert_table
+    monkeypatch.setattr(tables, "upsert_table", lambda *a, **k: merges.append(1) or upsert_table(*a, **k))
+    for v in range(10):  # in order of arrival; one key is always as late as before, one gets older
+        data = [(k, 0, v) for k in range(100)] + [(1000, -v, v), (1001 + v, 0, v)]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(src)
+    stream = readers.stream_tickets(spark, src, schema, max_files=1)
+    tickets.run_available(tickets.upsert_stream(stream, path, ["k"], ckpt, latest_by=["at"]))
+    found = {r.k: r.v for r in tables.read_path(spark, path).collect()}
+    assert found == {**{k: 9 for k in range(100)}, 1000: 0, **{1001 + v: v for v in range(10)}}
+    assert 1 <= len(merges) <= 8
+    assert not tables.stored_bytes(spark, f"{ckpt}/waiting")

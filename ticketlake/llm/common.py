@@ -53,8 +53,3 @@ def hashed_fraction(column: Column, fraction: Column | float) -> Column:
     """True for about `fraction` of the values of `column`, always the same ones."""
     share = F.pmod(F.xxhash64(column, F.lit(17)), F.lit(1 << 20)) / float(1 << 20)
     return share < fraction
-
-
-def shuffle_partitions(spark: SparkSession) -> int:
-    """The session's number of shuffle partitions."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans.queries import query, upsert_sql, without_zone
 from ticketlake import schemas
-from ticketlake.session import ROCKSDB_STATE, scratch_path, settings
+from ticketlake.session import ROCKSDB_STATE, scratch_path, settings, shuffle_partitions, table_buckets
 from ticketlake.sources import readers, tables
 from ticketlake.streaming import tickets
 
+#: Micro-batches that one arrival is read in.
+BATCHES = 4
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
@@ -27,11 +29,16 @@ def arriving(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
     As many files as the session has shuffle partitions, unless a test asks for fewer.
     """
     rows = zoned(df)
-    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = files or shuffle_partitions(df.sparkSession)
     rows.repartition(files).write.mode("append").parquet(path)
     return rows
 
 
+def files_a_batch(spark: SparkSession) -> int:
+    """The rate limit that reads an arrival in `BATCHES` micro-batches, however many files it has."""
+    return -(-shuffle_partitions(spark) // BATCHES)
+
+
 def drained(stream: DataFrame, columns: list[str]) -> DataFrame:
     """Run an append-mode stream over what is there and read the sink."""
     spark = stream.sparkSession
@@ -46,7 +53,7 @@ def drained(stream: DataFrame, columns: list[str]) -> DataFrame:
 def stream_tickets(spark, sf):
     src = scratch_path(spark, "arrivals")
     rows = arriving(fx.table(spark, sf, "events").select(*EVENT_COLUMNS), src)
-    stream = readers.stream_tickets(spark, src, rows.schema, max_files=2)
+    stream = readers.stream_tickets(spark, src, rows.schema, max_files=files_a_batch(spark))
     return drained(stream, EVENT_COLUMNS).groupBy("event_type").agg(F.count("*").alias("n"))
 
 
@@ -57,7 +64,7 @@ def stream_ingest(spark, sf):
     events = fx.table(spark, sf, "events").select(*EVENT_COLUMNS)
     for half in (events.filter("event_id % 2 = 0"), events.filter("event_id % 2 = 1")):
         rows = arriving(half, src)
-        tickets.run_available(tickets.ingest_stream(spark, src, rows.schema, dst, ckpt, max_files=2))
+        tickets.run_available(tickets.ingest_stream(spark, src, rows.schema, dst, ckpt, max_files=files_a_batch(spark)))
     return without_zone(spark.read.schema(rows.schema).parquet(dst)).select(*EVENT_COLUMNS)
 
 
@@ -65,10 +72,10 @@ def stream_ingest(spark, sf):
     "v_load1", "v_load2", ["Numero"], schemas.INCIDENTS_CSV.names, schemas.INCIDENTS_CSV.names, ["Mis_a_jour"]))
 def stream_upsert(spark, sf):
     src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "silver", "ckpt"))
-    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], 4))
+    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], table_buckets(spark)))
     for load in fx.incident_loads(spark, sf):
         arriving(load, src)
-        stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=4)
+        stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=files_a_batch(spark))
         tickets.run_available(
             tickets.upsert_stream(stream, path, ["Numero"], ckpt, latest_by=["Mis_a_jour"]))
     return without_zone(tables.read_path(spark, path))
@@ -82,7 +89,7 @@ def stream_live_counts(spark, sf):
     """All events, over several micro-batches of unordered files; open windows are included."""
     src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "counts", "ckpt"))
     rows = arriving(fx.table(spark, sf, "events").select(*EVENT_COLUMNS), src)
-    stream = readers.stream_tickets(spark, src, rows.schema, max_files=3)
+    stream = readers.stream_tickets(spark, src, rows.schema, max_files=files_a_batch(spark))
     tickets.run_available(tickets.live_counts(stream, path, "ts", "1 hour", ["event_type"], ckpt))
     return without_zone(tables.read_path(spark, path))
 
@@ -97,8 +104,8 @@ def stream_sla_alerts(spark, sf):
     src, path, ckpt = (scratch_path(spark, p) for p in ("arrivals", "alerts", "ckpt"))
     first, second = fx.incident_loads(spark, sf)
     arriving(first.unionByName(second), src)
-    stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=3)
-    tickets.run_available(tickets.sla_alerts(stream, path, fx.sla_limits(spark), ckpt))
+    stream = readers.stream_tickets(spark, src, schemas.INCIDENTS_SILVER, max_files=files_a_batch(spark))
+    tickets.run_available(tickets.sla_alerts(stream, path, fx.sla_limits(spark), ckpt, table_buckets(spark)))
     return without_zone(tables.read_path(spark, path))
 
 
@@ -146,7 +153,7 @@ def stream_upsert_once(spark, sf):
     """Each extract is delivered twice, by two runs; every ticket is merged once for each extract it is in."""
     src, path, seen, ckpt = (scratch_path(spark, p) for p in ("arrivals", "silver", "merges", "ckpt"))
     schema = schemas.schema(*[(f.name, f.dataType) for f in schemas.INCIDENTS_SILVER], ("arrived", schemas.TS))
-    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], 4))
+    tables.ensure_table(spark, path, schemas.INCIDENTS_SILVER, tables.Layout(["Numero"], table_buckets(spark)))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         with tables.staged(batch) as rows:

@@ -58,6 +58,16 @@ def build_session(app: str = "ticketlake", master: str | None = None, **conf) ->
     return builder.getOrCreate()
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The session's number of shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def table_buckets(spark: SparkSession) -> int:
+    """Buckets of a table that a merge rewrites as a whole: one for each core, as a bucket is one task's."""
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for stages, staged tables and stream checkpoints.
 

@@ -72,11 +72,17 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(target)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def remove(spark: SparkSession, path: str) -> None:
     fs, target = _fs(spark, path)
     fs.delete(target, True)
 
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files in a folder, 0 if there is none."""
+    fs, target = _fs(spark, path)
+    return fs.getContentSummary(target).getLength() if fs.exists(target) else 0
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     return spark.catalog.tableExists(table_name(path))
 
@@ -195,7 +201,7 @@ def _replace(rows: DataFrame, path: str, touched: Iterable[dt.date]) -> None:
     rows.observe(seen, F.collect_set(PERIOD).alias("periods")).write.insertInto(name, overwrite=True)
     for period in sorted(set(touched) - set(seen.get["periods"])):
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS PARTITION ({PERIOD} = DATE '{period.isoformat()}')")
-        _remove(spark, f"{path}/{PERIOD}={period.isoformat()}")
+        remove(spark, f"{path}/{PERIOD}={period.isoformat()}")
 
 
 def _periods(rows: DataFrame) -> list[dt.date]:
@@ -225,7 +231,7 @@ def overwrite_path(
     else:
         with staged(df) as rows:
             spark.sql(f"DROP TABLE {table_name(path)}")
-            _remove(spark, path)
+            remove(spark, path)
             overwrite_path(rows, path, layout, required)
 
 
@@ -325,4 +331,4 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         df.write.parquet(path)
         yield spark.read.schema(df.schema).parquet(path)
     finally:
-        _remove(spark, path)
+        remove(spark, path)

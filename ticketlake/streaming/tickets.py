@@ -8,20 +8,26 @@ would drop unseen is routed to a table of late rows instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ticketlake.functions.times import elapsed_seconds
-from ticketlake.operators.upsert import Key
+from ticketlake.operators.latest import latest_per_key
+from ticketlake.operators.upsert import Key, key_pairs, reduce_updates
 from ticketlake.sources import tables
 from ticketlake.sources.readers import stream_tickets
 
 
 #: Days of windows that a stored table of counts keeps in one partition.
 WINDOW_PERIOD_DAYS = 7
+#: Micro-batches wait for their merge until they have this share of the table's bytes.
+LAG = 1.0
+#: The column that tells waiting batches apart, later ones having greater numbers.
+BATCH = "stream_batch"
 
 
 def ingest_stream(
@@ -38,34 +44,70 @@ def ingest_stream(
     )
 
 
+def _merged(
+    stream: DataFrame, path: str, checkpoint: str, merge: Callable[[DataFrame], None], lag: float
+) -> DataStreamWriter:
+    """A writer whose micro-batches wait beside the checkpoint and are merged into a table several at a time.
+
+    A merge rewrites what it touches, which may be the whole table, so a merge of every batch would cost
+    batches times table. Waiting batches are merged once they have `lag` times the table's bytes, hence
+    each row is rewritten a few times, and by `run_available` at the end of a run; 0 merges every batch.
+    A batch that is delivered again takes its own place, and a lost run leaves its batches to the next.
+    """
+    spark, waiting = stream.sparkSession, f"{checkpoint.rstrip('/')}/waiting"
+    schema = T.StructType([*stream.schema.fields, T.StructField(BATCH, T.LongType())])
+
+    def merge_waiting() -> None:
+        if tables.stored_bytes(spark, waiting):
+            merge(spark.read.schema(schema).parquet(waiting))
+            tables.remove(spark, waiting)
+
+    def keep(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{waiting}/{BATCH}={batch_id}")
+        if tables.stored_bytes(spark, waiting) >= lag * tables.stored_bytes(spark, path):
+            merge_waiting()
+
+    writer = stream.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint)
+    writer.merge_waiting = merge_waiting
+    return writer
+
+
 def upsert_stream(
     stream: DataFrame, path: str, keys: Sequence[Key], checkpoint: str, *, latest_by: Sequence[str],
-    update_cols=None, insert_cols=None,
+    update_cols=None, insert_cols=None, lag: float = LAG,
 ) -> DataStreamWriter:
-    """Merge every micro-batch into a stored table.
+    """Merge a stream into a stored table, which trails it by what waits (see `_merged`).
 
-    A batch is reduced to the latest row per key, and an older row never replaces a newer one, so a
-    batch that is delivered again after a failure changes nothing.
+    Waiting batches are reduced to the latest row per key, of equally late ones that of the later batch,
+    and an older row never replaces a newer one, so a batch that is delivered again after a failure
+    changes nothing.
     """
-    def apply(batch: DataFrame, batch_id: int) -> None:
+    def merge(rows: DataFrame) -> None:
+        latest = reduce_updates(rows, [s for _, s in key_pairs(keys)], [*latest_by, BATCH]).drop(BATCH)
         tables.upsert_table(
-            batch.sparkSession, path, batch, keys, update_cols, insert_cols, latest_by=latest_by, keep_newer=True)
+            rows.sparkSession, path, latest, keys, update_cols, insert_cols, latest_by=latest_by, keep_newer=True,
+            reduced=True)
 
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return _merged(stream, path, checkpoint, merge, lag)
 
 
 def live_counts(
-    stream: DataFrame, path: str, ts: str, width: str, by: Sequence[str], checkpoint: str
+    stream: DataFrame, path: str, ts: str, width: str, by: Sequence[str], checkpoint: str, lag: float = LAG
 ) -> DataStreamWriter:
-    """Keep a stored table of rows per tumbling window and group up to date, however late rows come.
+    """Keep a stored table of rows per tumbling window and group, however late rows come.
 
-    The counts live in state, one for each window and group as in the table. Each micro-batch writes the
-    whole counts of the windows that it changed and no others, so open windows show what has arrived, a
-    batch that is delivered again changes nothing, and the result does not depend on how files fall into
-    batches. `window_counts` is the form whose state forgets old windows.
+    The counts live in state, one for each window and group as in the table. Each micro-batch gives the
+    whole counts of the windows that it changed and no others, and the latest of the waiting ones are
+    merged (see `_merged`). So open windows show, a batch that is delivered again changes nothing, and the
+    result does not depend on how files fall into batches. `window_counts` is the form whose state forgets
+    old windows.
     """
-    counts = _counted(stream, ts, width, by)
-    return counts.writeStream.outputMode("update").foreachBatch(_merge_counts(path, by)).option("checkpointLocation", checkpoint)
+    apply = _merge_counts(path, by)
+
+    def merge(rows: DataFrame) -> None:
+        apply(latest_per_key(rows, ["window_start", "window_end", *by], [BATCH]).drop(BATCH), 0)
+
+    return _merged(_counted(stream, ts, width, by), path, checkpoint, merge, lag).outputMode("update")
 
 
 def _counted(stream: DataFrame, ts: str, width: str, by: Sequence[str]) -> DataFrame:
@@ -85,25 +127,26 @@ def _merge_counts(path: str, by: Sequence[str]):
 
 
 def sla_alerts(
-    stream: DataFrame, path: str, limits: DataFrame, checkpoint: str, buckets: int = 4
+    stream: DataFrame, path: str, limits: DataFrame, checkpoint: str, buckets: int = 4, lag: float = LAG
 ) -> DataStreamWriter:
     """Keep a stored table of alerts: one row per ticket whose age exceeds the limit of its priority.
 
     `limits` is a static `(priority, hours)` table. A ticket keeps its earliest breach, in whatever
-    order its updates arrive, and never alerts again. The age is that of an update; `sla_breaches` also
-    finds tickets that nobody updates.
+    order its updates arrive, and never alerts again; the table trails the stream by what waits (see
+    `_merged`). The age is that of an update; `sla_breaches` also finds tickets that nobody updates.
     """
     age = elapsed_seconds(F.col("Ouvert"), F.col("Mis_a_jour"))
     earliest = [-F.unix_micros(F.col("Mis_a_jour").cast("timestamp"))]
+    late = stream.join(limits, F.col("Priorite") == F.col("priority"), "inner").filter(age > F.col("hours") * 3600)
+    alerts = late.select("Numero", "Priorite", "hours", "Ouvert", "Mis_a_jour", age.alias("age_seconds"))
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        late = batch.join(limits, F.col("Priorite") == F.col("priority"), "inner").filter(age > F.col("hours") * 3600)
-        alerts = late.select("Numero", "Priorite", "hours", "Ouvert", "Mis_a_jour", age.alias("age_seconds"))
+    def merge(rows: DataFrame) -> None:
+        spark = rows.sparkSession
         tables.ensure_table(spark, path, alerts.schema, tables.Layout(["Numero"], buckets, "Ouvert"))
-        tables.upsert_table(spark, path, alerts, ["Numero"], latest_by=earliest, keep_newer=True)
+        first = reduce_updates(rows, ["Numero"], [*earliest, BATCH]).drop(BATCH)
+        tables.upsert_table(spark, path, first, ["Numero"], latest_by=earliest, keep_newer=True, reduced=True)
 
-    return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    return _merged(alerts, path, checkpoint, merge, lag)
 
 
 def once(stream: DataFrame, keys: Sequence[str], arrival: str, horizon: str) -> DataFrame:
@@ -256,5 +299,8 @@ def breach_alerts(
 
 
 def run_available(writer: DataStreamWriter) -> None:
-    """Process what has arrived so far, then stop."""
+    """Process what has arrived so far and merge what waits, then stop."""
     writer.trigger(availableNow=True).start().awaitTermination()
+    merge_waiting = getattr(writer, "merge_waiting", None)
+    if merge_waiting is not None:
+        merge_waiting()
