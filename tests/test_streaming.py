@@ -208,3 +208,24 @@ def test_a_merge_takes_several_batches_and_later_ones_win(spark, monkeypatch):
     assert found == {**{k: 9 for k in range(100)}, 1000: 0, **{1001 + v: v for v in range(10)}}
     assert 1 <= len(merges) <= 8
     assert not tables.stored_bytes(spark, f"{ckpt}/waiting")
+
+
+def test_breaches_are_timed_by_groups_of_tickets(spark):
+    """The keys of the state, hence the calls of Python, do not grow with the tickets."""
+    src, ckpt = scratch_path(spark, "arrivals"), scratch_path(spark, "ckpt")
+    limits = spark.createDataFrame([("P1", 2)], "priority string, hours int")
+    day = F.lit("2025-01-02 08:00:00").cast("timestamp")
+    many = spark.range(500).select(
+        F.concat(F.lit("T"), "id").alias("Numero"), F.lit("P1").alias("Priorite"), F.timestamp_add("HOUR", (F.col("id") % 3).cast("int"), day).alias("Ouvert"))
+    rows_ = many.withColumn("Mis_a_jour", F.col("Ouvert")).withColumn("Etat", F.lit("open"))
+    rows_.coalesce(1).write.mode("append").parquet(src)
+    clock = rows_.limit(1).withColumn("Numero", F.lit("clock")).withColumn("Ouvert", F.timestamp_add("MINUTE", F.lit(210), day))
+    clock.withColumn("Mis_a_jour", F.col("Ouvert")).coalesce(1).write.mode("append").parquet(src)
+    found = []
+    stream = tickets.sla_breaches(readers.stream_tickets(spark, src, TICKET, max_files=1), limits, ["closed"], "0 seconds", groups=3)
+    query = stream.writeStream.foreachBatch(lambda batch, i: found.extend(batch.collect())).option("checkpointLocation", ckpt) \
+        .trigger(availableNow=True).start()
+    query.awaitTermination()
+    sizes = [s["customMetrics"] for p in query.recentProgress for s in p["stateOperators"]]
+    assert {r.Numero for r in found} == {f"T{i}" for i in range(500) if i % 3 < 2} and len(found) == 334
+    assert max(s["numRegisteredTimers"] for s in sizes) <= 4  # the groups', not the tickets'

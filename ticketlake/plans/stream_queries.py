@@ -205,5 +205,5 @@ def stream_sla_breach_timer(spark, sf):
             rows = arriving(part, src)
             stream = readers.stream_tickets(spark, src, rows.schema)
             tickets.run_available(tickets.breach_alerts(
-                stream, path, fx.sla_limits(spark), fx.CLOSED_STATES, f"{BREACH_DELAY} days", ckpt))
+                stream, path, fx.sla_limits(spark), fx.CLOSED_STATES, f"{BREACH_DELAY} days", ckpt, table_buckets(spark)))
     return without_zone(tables.read_path(spark, path))

@@ -26,6 +26,8 @@ from ticketlake.sources.readers import stream_tickets
 WINDOW_PERIOD_DAYS = 7
 #: Micro-batches wait for their merge until they have this share of the table's bytes.
 LAG = 1.0
+#: Groups of tickets that share a timer; a task holds one group at a time.
+GROUPS = 4096
 #: The column that tells waiting batches apart, later ones having greater numbers.
 BATCH = "stream_batch"
 
@@ -198,53 +200,69 @@ def _seconds(spark: SparkSession, *intervals: str) -> int:
 
 
 def breach_timer():
-    """The keyed state behind `sla_breaches`: a ticket's latest state, and a timer at its limit.
+    """The keyed state behind `sla_breaches`: the latest states of a group of tickets, and a timer at their first limit.
 
-    The class is made here, so that it travels to the workers by value and they need no copy of this
-    library.
+    Tickets are kept by groups, because a call of Python, a frame and a message to the store for each
+    single ticket would cost milliseconds. The class is made here, so that it travels to the workers by
+    value and they need no copy of this library.
     """
     from pyspark.sql.streaming import StatefulProcessor
 
     class BreachTimer(StatefulProcessor):
         def init(self, handle) -> None:
             self.handle = handle
-            self.ticket = handle.getValueState(
-                "ticket", "priority string, hours int, opened bigint, deadline bigint, at bigint, closed boolean")
+            self.waiting = handle.getListState(
+                "waiting", "number string, priority string, hours int, opened bigint, deadline bigint, at bigint, closed boolean")
 
         def handleInputRows(self, key, rows, timerValues):
             import pandas as pd
 
-            known = self.ticket.get() if self.ticket.exists() else None
-            before = known and known[3]
+            waiting, overdue = {state[0]: state for state in self.waiting.get()}, {}
+            before = self.first(waiting)
             arrived = pd.concat(list(rows)).sort_values(["at", "closed"])
-            overdue = None
-            for e in arrived[["priority", "hours", "opened", "deadline", "at", "closed"]].itertuples(index=False):
-                event = (e.priority, int(e.hours), int(e.opened), int(e.deadline), int(e.at), bool(e.closed))
-                if known is None and event[4] > event[3]:
-                    overdue = overdue if event[5] else overdue or event  # heard of first after its limit
-                elif known is None or known[4] <= event[4] <= known[3]:
-                    known = event
-            if known is not None:
-                self.ticket.update(known)
-                if known[3] != before:
-                    if before is not None:
-                        self.handle.deleteTimer(before + 1)
-                    self.handle.registerTimer(known[3] + 1)
-            if known is None and overdue is not None:
-                yield self.breach(key, overdue)
+            columns = ["Numero", "priority", "hours", "opened", "deadline", "at", "closed"]
+            for event in zip(*[arrived[c].tolist() for c in columns]):
+                number, deadline, at, closed = event[0], event[4], event[5], event[6]
+                known = waiting.get(number)
+                if known is None and at > deadline:
+                    if not closed:
+                        overdue.setdefault(number, event)  # heard of first after its limit
+                elif known is None or known[5] <= at <= known[4]:
+                    waiting[number] = event
+            self.keep(waiting)
+            now = self.first(waiting)
+            if now != before:
+                if before is not None:
+                    self.handle.deleteTimer(before + 1)
+                if now is not None:
+                    self.handle.registerTimer(now + 1)
+            yield from self.breaches([event for number, event in overdue.items() if number not in waiting])
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-            known = self.ticket.get()
-            self.ticket.clear()
-            if known is not None and not known[5]:
-                yield self.breach(key, known)
+            watermark = timerValues.getCurrentWatermarkInMs()
+            states = list(self.waiting.get())
+            waiting = {state[0]: state for state in states if state[4] >= watermark}
+            self.keep(waiting)
+            if waiting:
+                self.handle.registerTimer(self.first(waiting) + 1)
+            yield from self.breaches([state for state in states if state[4] < watermark and not state[6]])
 
         @staticmethod
-        def breach(key, ticket):
+        def first(waiting):
+            return min((state[4] for state in waiting.values()), default=None)
+
+        def keep(self, waiting) -> None:
+            if waiting:
+                self.waiting.put(list(waiting.values()))
+            else:
+                self.waiting.clear()
+
+        @staticmethod
+        def breaches(found):
             import pandas as pd
 
-            return pd.DataFrame({
-                "Numero": [key[0]], "priority": [ticket[0]], "hours": [ticket[1]], "opened": [ticket[2]], "deadline": [ticket[3]]})
+            if found:
+                yield pd.DataFrame([state[:5] for state in found], columns=["Numero", "priority", "hours", "opened", "deadline"])
 
         def close(self) -> None:
             pass
@@ -253,7 +271,7 @@ def breach_timer():
 
 
 def sla_breaches(
-    stream: DataFrame, limits: DataFrame, closed: Sequence[str], delay: str = "1 hour"
+    stream: DataFrame, limits: DataFrame, closed: Sequence[str], delay: str = "1 hour", groups: int = GROUPS
 ) -> DataFrame:
     """Tickets that were open at their limit, also if nobody has touched them since they were opened.
 
@@ -263,7 +281,7 @@ def sla_breaches(
     cancels it, a reopening brings it back, and states may arrive in any order within `delay`. A ticket
     first heard of after its limit is a breach at once, if it is open. Later events of a ticket may say
     so again, so a sink keeps one alert of each (`breach_alerts`). Rows without a number, one of the
-    times or a limit take no part.
+    times or a limit take no part. Tickets are dealt over `groups` by a hash of their number.
     """
     moment = F.unix_millis("Ouvert")
     events = (
@@ -273,9 +291,10 @@ def sla_breaches(
         .select(
             "Numero", "Mis_a_jour", "priority", F.col("hours").cast("int").alias("hours"), moment.alias("opened"),
             (moment + F.col("hours").cast("long") * 3_600_000).alias("deadline"), F.unix_millis("Mis_a_jour").alias("at"),
-            F.coalesce(F.col("Etat").isin(*closed), F.lit(False)).alias("closed"))
+            F.coalesce(F.col("Etat").isin(*closed), F.lit(False)).alias("closed"),
+            F.pmod(F.xxhash64("Numero"), F.lit(groups)).alias("ticket_group"))
     )
-    found = events.groupBy("Numero").transformWithStateInPandas(
+    found = events.groupBy("ticket_group").transformWithStateInPandas(
         breach_timer(), "Numero string, priority string, hours int, opened bigint, deadline bigint", "Append", "EventTime")
     return found.select(
         "Numero", F.col("priority").alias("Priorite"), "hours", F.timestamp_millis("opened").alias("Ouvert"),
