@@ -6,7 +6,7 @@ from conftest import rows
 from ticketlake import schemas
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans import jobs
-from ticketlake.plans.queries import as_csv
+from ticketlake.plans.queries import as_csv, pipeline_incidents_changes
 from ticketlake.session import scratch_path
 from ticketlake.sources import readers, tables
 
@@ -105,3 +105,17 @@ def test_required_column_is_enforced(spark):
     else:
         raise AssertionError("NULL in a required column was written")
     assert tables.read_path(spark, path).count() == 0
+
+
+def test_merges_of_whole_tables_use_every_core(spark, sf, monkeypatch):
+    """A bucket is one task's, so tables that a merge rewrites have no fewer buckets than there are cores."""
+    layouts, ensure_table = {}, tables.ensure_table
+
+    def ensure(spark, path, schema, layout=tables.Layout()):
+        layouts[path.split("/")[-1]] = layout
+        ensure_table(spark, path, schema, layout)
+
+    monkeypatch.setattr(tables, "ensure_table", ensure)
+    pipeline_incidents_changes(spark, sf)
+    for name in ("supervision_silver", "factSupervision_gold"):
+        assert layouts[name].buckets >= spark.sparkContext.defaultParallelism

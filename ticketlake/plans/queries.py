@@ -21,7 +21,7 @@ from ticketlake.operators.upsert import changed_rows, merge_changes, upsert
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans import jobs, star
 from ticketlake.plans.oracle_views import hours_band_sql, shift_sql, with_views
-from ticketlake.session import scratch_path
+from ticketlake.session import scratch_path, table_buckets
 from ticketlake.sources import readers, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -773,8 +773,8 @@ def pipeline_incidents(spark, sf):
     """Two CSV extracts through silver into the stored gold fact, read back with its labels."""
     root = scratch_path(spark, "lake")
     for load in fx.incident_loads(spark, sf):
-        jobs.load_incidents(readers.read_csv(spark, as_csv(load), schemas.INCIDENTS_CSV), root, buckets=4, days=400)
-        jobs.load_incident_gold(spark, root, fx.group_types(spark), buckets=4, days=400)
+        jobs.load_incidents(readers.read_csv(spark, as_csv(load), schemas.INCIDENTS_CSV), root, buckets=table_buckets(spark), days=400)
+        jobs.load_incident_gold(spark, root, fx.group_types(spark), buckets=table_buckets(spark), days=400)
     fact = jobs.gold(spark, root, "factSupervision_gold")
     return without_zone(_labelled(fact, facts.INCIDENT_LOOKUPS, partial(jobs.gold, spark, root)).select(*_INCIDENT_RESULT))
 
@@ -788,10 +788,10 @@ def _ticket_lake(spark, sf) -> str:
         rows = deployments[part].withColumn("Etat", F.lit("Clos")) if part else deployments[part]
         jobs.load_deployments(
             readers.read_csv(spark, as_csv(fx.deployments_csv(rows)), schemas.DEPLOYMENTS_CSV), root, fx.HOLIDAYS,
-            buckets=4, days=400)
+            buckets=table_buckets(spark), days=400)
         jobs.load_requests(
-            readers.read_csv(spark, as_csv(fx.requests_csv(requests[part])), schemas.REQUESTS_CSV), root, buckets=4, days=400)
-        jobs.load_deployment_request_gold(spark, root, buckets=4, days=400)
+            readers.read_csv(spark, as_csv(fx.requests_csv(requests[part])), schemas.REQUESTS_CSV), root, buckets=table_buckets(spark), days=400)
+        jobs.load_deployment_request_gold(spark, root, buckets=table_buckets(spark), days=400)
     return root
 
 
@@ -999,7 +999,7 @@ def _kept_totals(spark, sf, by, sums, where=None) -> DataFrame:
     reopened = first.filter(fx.incident_key(first) % 10 == 0).withColumn("Etat", F.lit(fx.OPEN_STATES[0]))
     for i, load in enumerate((first, second, reopened)):
         feed = f"{root}/changes/{i}"
-        jobs.load_incidents(load, root, buckets=4, days=400, changes_to=feed)
+        jobs.load_incidents(load, root, buckets=table_buckets(spark), days=400, changes_to=feed)
         added = deltas(spark.read.parquet(feed), by, sums, where)
         known = tables.read_path(spark, totals) if i else None
         tables.overwrite_path(folded(known, added, list(by)), totals)
@@ -1031,8 +1031,8 @@ def pipeline_incidents_changes(spark, sf):
     root = scratch_path(spark, "lake")
     for i, load in enumerate(fx.incident_loads(spark, sf)):
         feed = f"{root}/changes/{i}"
-        jobs.load_incidents(load, root, buckets=4, days=400, changes_to=feed)
+        jobs.load_incidents(load, root, buckets=table_buckets(spark), days=400, changes_to=feed)
         changed = changed_rows(spark.read.parquet(feed))
-        jobs.load_incident_gold(spark, root, fx.group_types(spark), changed=changed, buckets=4, days=400)
+        jobs.load_incident_gold(spark, root, fx.group_types(spark), changed=changed, buckets=table_buckets(spark), days=400)
     fact = jobs.gold(spark, root, "factSupervision_gold")
     return without_zone(_labelled(fact, facts.INCIDENT_LOOKUPS, partial(jobs.gold, spark, root)).select(*_INCIDENT_RESULT))
