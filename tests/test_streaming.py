@@ -6,7 +6,7 @@ from ticketlake import schemas
 from ticketlake.operators.upsert import upsert
 from ticketlake.plans import fixtures as fx
 from ticketlake.plans.queries import without_zone
-from ticketlake.plans.stream_queries import BATCHES, arriving, files_a_batch, zoned
+from ticketlake.plans.stream_queries import BATCHES, arriving, files_a_batch, stream_upsert_once, zoned
 from ticketlake.session import scratch_path, settings
 from ticketlake.sources import readers, tables
 from ticketlake.streaming import tickets
@@ -229,3 +229,10 @@ def test_breaches_are_timed_by_groups_of_tickets(spark):
     sizes = [s["customMetrics"] for p in query.recentProgress for s in p["stateOperators"]]
     assert {r.Numero for r in found} == {f"T{i}" for i in range(500) if i % 3 < 2} and len(found) == 334
     assert max(s["numRegisteredTimers"] for s in sizes) <= 4  # the groups', not the tickets'
+
+
+def test_a_redelivered_extract_costs_no_merge(spark, sf, monkeypatch):
+    merges, upsert_table = [], tables.upsert_table
+    monkeypatch.setattr(tables, "upsert_table", lambda *a, **k: merges.append(1) or upsert_table(*a, **k))
+    stream_upsert_once(spark, sf)
+    assert len(merges) == 2  # each of two extracts once, though both came twice

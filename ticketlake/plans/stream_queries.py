@@ -157,6 +157,8 @@ def stream_upsert_once(spark, sf):
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         with tables.staged(batch) as rows:
+            if rows.isEmpty():  # all of it was redelivered
+                return
             rows.select("Numero").distinct().write.mode("overwrite").parquet(f"{seen}/batch={batch_id}")
             tables.upsert_table(rows.sparkSession, path, rows, ["Numero"], latest_by=["Mis_a_jour"], keep_newer=True)
 
