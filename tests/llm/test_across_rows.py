@@ -12,6 +12,7 @@ from compare import compare, connect
 from llm.helpers import components, odd_docs, odd_texts, random_docs, shingles
 from ticketlake.llm import ann, knn_join, lm_score, near_dup
 from ticketlake.llm.components import components as linked
+from ticketlake.llm.components import large_star, small_star
 from ticketlake.llm.queries import QUERIES
 
 
@@ -257,3 +258,10 @@ def test_lm_scores_fold_no_word_of_a_long_corpus(spark):
         first + after + math.log(2 / 2), first + after]
     found = [r.log_score for r in lm_score.score_documents(docs).orderBy("doc_id").collect()]
     assert found == pytest.approx(expected, abs=2e-3)
+
+
+def test_stars_leave_no_broadcast_in_the_driver(spark):
+    edges = spark.range(5).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    stars = small_star(large_star(edges))
+    assert "Broadcast" not in stars._jdf.queryExecution().executedPlan().toString()
+    assert {(r.node, r.component) for r in linked(edges).collect()} == {(n, 0) for n in range(6)}

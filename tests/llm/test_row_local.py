@@ -286,6 +286,15 @@ def test_quality_held_out_and_odd_rows(spark):
     assert quality.classify(docs.limit(0), model).count() == 0
 
 
+def test_quality_training_takes_no_text_apart_in_the_driver(spark, monkeypatch):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    rows = quality.training_rows(docs, labels).orderBy("doc_id", "text").collect()
+    expected = quality.train([(r["text"], r["quality"]) for r in rows])
+    monkeypatch.setattr(quality, "features", None)  # here, not in the workers
+    model = quality.fit(docs, labels)
+    assert model.bias == expected.bias and np.array_equal(model.feature, expected.feature)
+
+
 def test_long_text_counts_whole():
     model = quality.Model(np.zeros(quality.BUCKETS), 0.0)
     assert quality.scores(pa.array([LONG, None, ""]), model).tolist() == [0.5, 0.5, 0.5]

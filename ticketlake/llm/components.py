@@ -12,7 +12,7 @@ def large_star(edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node is linked to the least of the node and its neighbours."""
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    larger = both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    larger = both.filter("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return larger.filter("a <> b").distinct()
 
 
@@ -20,7 +20,7 @@ def small_star(edges: DataFrame) -> DataFrame:
     """A node and its smaller neighbours are linked to the least of these."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
-    smaller = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    smaller = down.join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return smaller.union(least).filter("a <> b").distinct()
 
 
@@ -29,7 +29,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     `edges` has long columns `a` and `b`; nulls and loops are left out. Each round is written to the
     shared folder, so the plan does not grow, and only a count and a hash come to the driver. A node
-    with very many edges is reduced before the shuffle and its join is one that Spark can split.
+    with very many edges is reduced before the shuffle and its join is one that Spark can split. No side is
+    broadcast, as each round would leave its copies in the driver's memory.
     """
     now = staged(edges.select("a", "b").dropna().filter("a <> b").distinct(), "edges")
     before = None

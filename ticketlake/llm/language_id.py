@@ -122,9 +122,8 @@ def fit(docs: DataFrame, per_lang: int = SAMPLE_PER_LANG, text: str = "text", la
                     [pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(total[at])], ["lang", "bucket", "n"])
 
     counts = np.zeros((len(langs), BUCKETS + len(SCRIPT_NAMES)))
-    rows = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
-    for r in rows.collect():
-        counts[langs.index(r["lang"]), r["bucket"]] = r["n"]
+    rows = sample.mapInArrow(count, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
+    counts[pc.index_in(rows["lang"], pa.array(langs, pa.string())).to_numpy(), rows["bucket"].to_numpy()] = rows["n"].to_numpy()
     grams, scripts = counts[:, :BUCKETS] + 0.5, counts[:, BUCKETS:]
     uses = scripts >= SCRIPT_SHARE * np.maximum(1, scripts.sum(axis=1, keepdims=True))
     return Model(langs, np.log(grams / grams.sum(axis=1, keepdims=True)), uses)

@@ -1,12 +1,13 @@
 """Quality classifier: learned vectors of hashed word and character n-grams, averaged per document.
 
 The average goes through a softmax over the labels. It is trained by stochastic gradient descent in
-numpy on a bounded sample of labelled documents; scoring covers whole texts of all documents, row by
-row, without a shuffle.
+numpy on a bounded sample of labelled documents, which tasks take apart: the driver gets counts of
+buckets and no text. Scoring covers whole texts of all documents, row by row, without a shuffle.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,6 +26,8 @@ PRIOR_FEATURES = 20
 LEAST_STEPS = 800
 #: Labelled documents of each label that training uses, about.
 SAMPLE_PER_LABEL = 1500
+#: Distinct buckets of a text as unsigned 16-bit numbers, and how often each occurs, as 32-bit ones.
+BAG = "struct<bucket:binary,times:binary>"
 
 
 @dataclass
@@ -58,6 +61,29 @@ def word_pairs(found: W.Words) -> tuple[np.ndarray, np.ndarray]:
     return np.where(a == b, BUCKETS - 1, pair.astype(np.int64)), np.concatenate([[0], np.cumsum(inside)])[found.offsets]
 
 
+def bags(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Distinct buckets of each text and how often each occurs."""
+    for chunk in W.text_chunks(texts, W.NGRAM_CHUNK_BYTES):
+        bucket, starts, found = features(chunk)
+        lengths = np.diff(starts)
+        pairs, pair_at = word_pairs(found)
+        for i, (a, b) in enumerate(zip(found.offsets[:-1], found.offsets[1:])):
+            grams = bucket[W.take_lists(starts[:-1], lengths, found.codes[a:b])]
+            mine, times = np.unique(np.concatenate([grams, pairs[pair_at[i]:pair_at[i + 1]]]), return_counts=True)
+            yield mine.astype(np.uint16), times.astype(np.uint32)
+
+
+def bag_column(text: Column) -> Column:
+    """The bag of a text column."""
+    @F.arrow_udf(BAG)
+    def of(texts: pa.Array) -> pa.Array:
+        found = [(bucket.tobytes(), times.tobytes()) for bucket, times in bags(texts)]
+        return pa.StructArray.from_arrays(
+            [pa.array([x[i] for x in found], pa.binary()) for i in (0, 1)], ["bucket", "times"])
+
+    return of(text)
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> DataFrame:
     """About `per_label` rows `(text, quality)` of each label 0 and 1, chosen by a hash of the id.
 
@@ -72,44 +98,39 @@ def training_rows(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PE
         docs.select("doc_id", "text").dropna().join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "quality"))
 
 
-def train(
-    rows: list[tuple[str, int]], dim: int = 8, epochs: int = 6, rate: float = 0.5, batch: int = 32, seed: int = 7,
+def train(rows: list[tuple[str, int]], **options) -> Model:
+    """A model from texts and their labels; see `descend`."""
+    return descend(
+        list(bags(pa.array([t for t, _ in rows], pa.string()))), np.array([q for _, q in rows], dtype=np.int64), **options)
+
+
+def descend(
+    found: list[tuple[np.ndarray, np.ndarray]], target: np.ndarray, dim: int = 8, epochs: int = 6, rate: float = 0.5,
+    batch: int = 32, seed: int = 7,
 ) -> Model:
-    """Word and n-gram vectors and softmax weights by stochastic gradient descent.
+    """Word and n-gram vectors and softmax weights by stochastic gradient descent over bags of texts.
 
     The labels weigh the same, so the score of a document says nothing about how rare its label is.
     Without rows of both labels every score is that of the label there is, or 0.5.
     """
-    target = np.array([q for _, q in rows], dtype=np.int64)
     if len(set(target.tolist())) < 2:
         return Model(np.zeros(BUCKETS), 3.0 * (2 * int(target[0]) - 1) if len(target) else 0.0)
-    ids, shares, offsets = [], [], [0]
-    for chunk in W.text_chunks(pa.array([t for t, _ in rows], pa.string()), W.NGRAM_CHUNK_BYTES):
-        bucket, starts, found = features(chunk)
-        lengths = np.diff(starts)
-        pairs, pair_at = word_pairs(found)
-        for i, (a, b) in enumerate(zip(found.offsets[:-1], found.offsets[1:])):
-            grams = bucket[W.take_lists(starts[:-1], lengths, found.codes[a:b])]
-            mine, n = np.unique(np.concatenate([grams, pairs[pair_at[i]:pair_at[i + 1]]]), return_counts=True)
-            ids.append(mine)
-            shares.append(n / (n.sum() + PRIOR_FEATURES))
-            offsets.append(offsets[-1] + len(mine))
     rng = np.random.default_rng(seed)
     weight = np.where(target == 1, 0.5 / np.mean(target == 1), 0.5 / np.mean(target == 0))
     vectors = rng.uniform(-1 / dim, 1 / dim, (BUCKETS, dim))
     out, bias = np.zeros((dim, 2)), np.zeros(2)
-    epochs = max(epochs, LEAST_STEPS // -(-len(rows) // batch))
-    steps = epochs * -(-len(rows) // batch)
+    epochs = max(epochs, LEAST_STEPS // -(-len(found) // batch))
+    steps = epochs * -(-len(found) // batch)
     step = 0
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
-        for at in range(0, len(rows), batch):
+        order = rng.permutation(len(found))
+        for at in range(0, len(found), batch):
             now = rate * (1 - step / steps)
             step += 1
             docs = order[at:at + batch]
-            sizes = np.array([len(ids[d]) for d in docs])
-            feature = np.concatenate([ids[d] for d in docs])
-            share = np.concatenate([shares[d] for d in docs])
+            sizes = np.array([len(found[d][0]) for d in docs])
+            feature = np.concatenate([found[d][0] for d in docs])
+            share = np.concatenate([found[d][1] / (found[d][1].sum(dtype=np.int64) + PRIOR_FEATURES) for d in docs])
             owner = np.repeat(np.arange(len(docs)), sizes)
             mean = np.zeros((len(docs), dim))
             for k in range(dim):
@@ -129,9 +150,13 @@ def train(
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_label: int = SAMPLE_PER_LABEL) -> Model:
-    """A model from labelled documents; the sample of about `2 * per_label` texts comes to the driver."""
-    rows = [(r["text"], r["quality"]) for r in training_rows(docs, labels, per_label).orderBy("doc_id", "text").collect()]
-    return train(rows)
+    """A model from labelled documents; about `2 * per_label` bags come to the driver, in Arrow batches."""
+    rows = training_rows(docs, labels, per_label).orderBy("doc_id", "text").select(
+        bag_column(F.col("text")).alias("bag"), "quality").select("bag.*", "quality").toArrow()
+    found = [
+        (np.frombuffer(bucket.as_py(), np.uint16), np.frombuffer(times.as_py(), np.uint32))
+        for bucket, times in zip(rows["bucket"], rows["times"])]
+    return descend(found, rows["quality"].to_numpy().astype(np.int64))
 
 
 def scores(texts: pa.Array, model: Model) -> np.ndarray:
