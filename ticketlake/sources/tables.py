@@ -158,9 +158,11 @@ def read_path(
     """The rows of a table; `since` and `until`, both included, select days of its period column.
 
     They become partition filters, so periods outside are not listed or read, and a filter of the rows.
+    Every row has a period; the filter that says so makes Spark list the files when it plans, and so know
+    their size, which decides about broadcasts.
     """
     schema, layout = _definition(spark, path)
-    rows = _stored(spark, path)
+    rows = _stored(spark, path).filter(F.col(PERIOD).isNotNull())
     if since is not None or until is not None:
         if layout.period is None:
             raise ValueError("the table has no period")
