@@ -11,9 +11,11 @@ import __spark_entry__ as entry
 from compare import compare, connect
 from llm.helpers import components, odd_docs, odd_texts, random_docs, shingles
 from ticketlake.llm import ann, knn_join, lm_score, near_dup
+from ticketlake.llm.common import staged
 from ticketlake.llm.components import components as linked
 from ticketlake.llm.components import large_star, small_star
 from ticketlake.llm.queries import QUERIES
+from ticketlake.session import settings
 
 
 @pytest.mark.parametrize("size,percent", [(4, 80), (2, 60)])
@@ -38,6 +40,25 @@ def test_near_duplicates_large_buckets(spark, monkeypatch):
     assert {r.doc_id: r.component_id for r in rows} == expected
 
 
+def test_near_duplicates_broadcast_no_table_that_grows(spark, monkeypatch):
+    """Bucket keys come from an explode, so Spark takes them for a table of a few KB."""
+    plans = []
+
+    def planned(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return staged(df, purpose)
+
+    monkeypatch.setattr(near_dup, "staged", planned)
+    texts = random_docs(400, seed=3)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    with settings(spark, {"spark.sql.autoBroadcastJoinThreshold": "64k"}):
+        left = near_dup.deduplicated(docs, size=4)
+        plans.append(left._jdf.queryExecution().executedPlan().toString())
+        kept = {r.doc_id for r in left.collect()}
+    assert len(plans) == 8 and [i for i, plan in enumerate(plans) if "Broadcast" in plan] == []
+    assert kept == set(components(list(enumerate(texts)), 4, 80).values())
+
+
 def test_near_duplicates_odd_rows(spark):
     docs = odd_docs(spark, ", digest string")
     rows = near_dup.near_duplicates(docs).collect()

@@ -4,6 +4,9 @@ full shingle sets decide.
 A register is the exponentially spaced, truncated minimum of one hash over a document's shingles.
 Registers of two sets merge by maximum, and equal registers tell of similar sets. Documents with the
 same set form one class, and only classes are compared: every link is between different sets.
+
+Joins with a side whose size Spark takes from a file, or from before an explode, are hinted to merge: such a
+guess can be far too low, and the driver would have to hold a table that grows with the documents.
 """
 
 from __future__ import annotations
@@ -205,8 +208,8 @@ def hub_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     """For each class, its most similar one among the first members of its buckets, if near enough."""
     pairs = members.filter("node <> hub").select("node", "hub").distinct()
     guessed = (
-        pairs.join(classes.alias("a"), F.col("a.node") == pairs["node"]).drop(F.col("a.node"))
-        .join(classes.alias("b"), F.col("b.node") == F.col("hub")).drop(F.col("b.node"))
+        pairs.join(classes.alias("a").hint("merge"), F.col("a.node") == pairs["node"]).drop(F.col("a.node"))
+        .join(classes.alias("b").hint("merge"), F.col("b.node") == F.col("hub")).drop(F.col("b.node"))
         .select("node", "hub", near(percent)("a", "b").alias("guess"))
         .filter(F.col("guess") >= percent / 100 - MARGIN)
     )
@@ -216,7 +219,7 @@ def hub_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame
 
 def open_buckets(members: DataFrame, linked: DataFrame) -> DataFrame:
     """Members of the buckets that still hold several components, with component and bucket size."""
-    rows = members.join(linked, "node", "left").select(
+    rows = members.join(linked.hint("merge"), "node", "left").select(
         "key", "band", "node", F.coalesce("component", "node").alias("component"))
     several = rows.groupBy("key").agg(
         F.count("*").alias("size"), F.min("component").alias("least"), F.max("component").alias("most"))
@@ -227,13 +230,13 @@ def small_bucket_pairs(rows: DataFrame, classes: DataFrame, percent: int) -> Dat
     """Pairs of different components in small buckets that sizes and estimate let pass."""
     few = rows.filter(F.col("size") <= BLOCK[0])
     joined = (
-        few.alias("x").join(few.alias("y"), "key")
+        few.alias("x").join(few.alias("y").hint("merge"), "key")
         .filter((F.col("x.node") < F.col("y.node")) & (F.col("x.component") != F.col("y.component")))
         .select(F.col("x.node").alias("node"), F.col("y.node").alias("hub")).distinct()
     )
     return (
-        joined.join(classes.alias("a"), F.col("a.node") == joined["node"]).drop(F.col("a.node"))
-        .join(classes.alias("b"), F.col("b.node") == F.col("hub")).drop(F.col("b.node"))
+        joined.join(classes.alias("a").hint("merge"), F.col("a.node") == joined["node"]).drop(F.col("a.node"))
+        .join(classes.alias("b").hint("merge"), F.col("b.node") == F.col("hub")).drop(F.col("b.node"))
         .select(F.col("node").alias("a"), F.col("hub").alias("b"), near(percent)("a", "b").alias("guess"))
         .filter(F.col("guess") >= percent / 100 - MARGIN).select("a", "b")
     )
@@ -243,7 +246,7 @@ def large_bucket_links(rows: DataFrame, classes: DataFrame, texts: DataFrame, si
     """Links between components in large buckets. Each pair of blocks meets in one group of bounded size."""
     blocks = F.ceil(F.col("size") / BLOCK[1]).cast("int")
     many = (
-        rows.filter(F.col("size") > BLOCK[0]).join(classes, "node").join(texts, "node")
+        rows.filter(F.col("size") > BLOCK[0]).join(classes.hint("merge"), "node").join(texts.hint("merge"), "node")
         .withColumn("own", F.pmod(F.xxhash64("node"), blocks))
         .withColumn("with", F.explode(F.sequence(F.lit(0), blocks - 1)))
         .withColumn("lo", F.least("own", "with")).withColumn("hi", F.greatest("own", "with"))
@@ -272,7 +275,7 @@ def confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Da
             out.append(100 * same >= percent * (len(sets[i]) + len(sets[j]) - same))
         return pa.array(out, pa.bool_())
 
-    left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")) for x in "ab")
+    left, right = (texts.select(F.col("node").alias(x), F.col("text").alias(f"text_{x}")).hint("merge") for x in "ab")
     return pairs.join(left, "a").join(right, "b").filter(alike("text_a", "text_b")).select("a", "b")
 
 
@@ -321,15 +324,16 @@ def placed_rows(docs: DataFrame, id_col: str, text: str, size: int, percent: int
     short = classes.select("node", "n", "registers")
     keys = classes.select("node", F.posexplode(bucket_keys("registers")).alias("band", "key"))
     hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.max("node").alias("last")).filter("hub <> last")
-    members = staged(keys.join(hubs.select("key", "hub"), "key"), "members")
-    wanted = members.select("node").distinct().join(classes, "node").select("node", "first.doc_id", "first.key")
+    members = staged(keys.join(hubs.select("key", "hub").hint("merge"), "key"), "members")
+    wanted = members.select("node").distinct().join(classes.hint("merge"), "node").select("node", "first.doc_id", "first.key")
     texts = staged(class_texts(base, wanted), "texts")
     first = staged(confirmed(hub_pairs(members, short, percent), texts, size, percent), "links")
     rest = staged(open_buckets(members, components(first)), "open")
     small = confirmed(small_bucket_pairs(rest, short, percent), texts, size, percent)
     linked = components(first.union(small).union(large_bucket_links(rest, short, texts, size, percent)))
     known = (
-        classes.select("digest", "node", F.col("first.doc_id").alias("first_id")).join(linked, "node", "left")
+        classes.select("digest", "node", F.col("first.doc_id").alias("first_id"))
+        .join(linked.hint("merge"), "node", "left")
         .withColumn("component", F.coalesce("component", "node"))
     )
     least = known.groupBy("component").agg(F.min("first_id").alias("component_id"))
@@ -344,7 +348,7 @@ def same_row(left: DataFrame, right: DataFrame, id_left: str, id_right: str) ->
 
 def class_texts(base: DataFrame, wanted: DataFrame) -> DataFrame:
     """The text of the row that stands for each wanted class."""
-    found = base.join(wanted, same_row(base, wanted, "doc_id", "doc_id")).select(wanted["node"], base["text"])
+    found = base.join(wanted.hint("merge"), same_row(base, wanted, "doc_id", "doc_id")).select(wanted["node"], base["text"])
     return found.dropDuplicates(["node"])
 
 
@@ -367,4 +371,4 @@ def deduplicated(
     is_kept = whole["id"].eqNullSafe(kept["id"]) & (F.col("key.a") == kept["a"]) & (F.col("key.b") == kept["b"])
     sortable = [f.name for f in docs.schema.fields if not re.search("map<|variant", f.dataType.simpleString())]
     rest = F.struct(*[F.col("row").getField(c) for c in sortable if c != text])
-    return whole.join(kept, is_kept, "left_semi").groupBy("id", "key").agg(F.min_by("row", rest).alias("row")).select("row.*")
+    return whole.join(kept.hint("merge"), is_kept, "left_semi").groupBy("id", "key").agg(F.min_by("row", rest).alias("row")).select("row.*")
